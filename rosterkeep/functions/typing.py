@@ -80,11 +80,11 @@ def apply_types(df: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FOR
 
 
 def unreadable(df: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Names of the columns of a raw row whose text is there but cannot be typed."""
+    """``column: text`` of each value of a raw row that is there but cannot be typed."""
     checks = [
         F.when(
             (strip(F.col(f"`{f.name}`")) != F.lit("")) & typed(F.col(f"`{f.name}`"), f.role, formats).isNull(),
-            F.lit(f.name),
+            F.concat(F.lit(f"{f.name}: "), F.col(f"`{f.name}`")),
         )
         for f in layout.fields
         if f.name in df.columns and f.role != "string"

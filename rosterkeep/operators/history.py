@@ -60,3 +60,26 @@ def fold(history: DataFrame | None, snapshots: Iterable[DataFrame], layout: Layo
             raise ValueError("neither a history nor a snapshot")
         history, pending = pending[0], pending[1:]
     return latest_states(reduce(append_by_name, pending, history), layout, match)
+
+
+# --- Open and closed states ---------------------------------------------------------------------------------------
+#
+# A state seen in the newest snapshot is open, the others are closed. A fold needs only the open states and the new
+# snapshots: what is not seen again is closed and stays as it was written. So a fold costs as much as a snapshot,
+# however long the history is. A closed state that comes back is written once more with its new date; reading the
+# history keeps the later one.
+
+
+def fold_open(opened: DataFrame | None, snapshots: Iterable[DataFrame], layout: Layout, match: str = "binary") -> DataFrame:
+    """The open states with pending snapshots taken in, and whether each is still ``open`` (H6)."""
+    pending = list(snapshots)
+    newest = reduce(DataFrame.union, [s.select("updated_date") for s in pending]).agg(F.max("updated_date")).scalar()
+    return fold(opened, pending, layout, match).withColumn("open", F.coalesce(F.col("updated_date") >= newest, F.lit(False)))
+
+
+def whole_history(closed: DataFrame, opened: DataFrame, layout: Layout, match: str = "binary") -> DataFrame:
+    """Every distinct state once, with its latest date and whether it is ``open``."""
+    columns = layout.columns
+    rows = closed.select(*columns, F.lit(False).alias("open")).union(opened.select(*columns, F.lit(True).alias("open")))
+    carry = [name for name in layout.not_state if name != "updated_date"]
+    return latest_per_key(rows, layout.state_key, ["updated_date"], [*carry, "open"], match)

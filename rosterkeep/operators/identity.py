@@ -66,7 +66,8 @@ def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column) -> Da
 
     Result: ``username, email, address, user_id, department, alternate``. Candidates are spread out as narrow rows and
     meet the index by equality; an aggregate then keeps the first hit in candidate order. It is keyed by the account's
-    own values, not by a generated row number, so a task that is run again cannot give other keys.
+    own values, not by a generated row number, so a task that is run again cannot give other keys. Both joins read the
+    same candidate columns, so the candidates are shuffled once.
     """
     tries = (
         accounts.select("username", "email", F.posexplode(candidates).alias("pos", "tried"))
@@ -74,22 +75,23 @@ def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column) -> Da
     )
     principals = principal_index(directory)
     alternates = alternate_index(directory, principals)
-    hit_type = "struct<pos:int,address:string,user_id:string,department:string>"
+    hit = "struct<pos:int,address:string,user_id:string,department:string,tried:string>"
+    none = F.lit(None).cast(hit)
     direct = tries.join(principals, F.col("_key") == F.col("key")).select(
         "username",
         "email",
-        F.struct("pos", F.col("tried").alias("address"), "user_id", "department").cast(hit_type).alias("_direct"),
-        F.lit(None).cast(hit_type).alias("_alternate"),
+        F.struct("pos", F.col("tried").alias("address"), "user_id", "department", "tried").cast(hit).alias("_direct"),
+        none.alias("_alternate"),
     )
     led = tries.join(alternates, F.col("_key") == F.col("key")).select(
         "username",
         "email",
-        F.lit(None).cast(hit_type).alias("_direct"),
-        F.struct("pos", "address", "user_id", "department").cast(hit_type).alias("_alternate"),
+        none.alias("_direct"),
+        F.struct("pos", "address", "user_id", "department", "tried").cast(hit).alias("_alternate"),
     )
     first = (
         direct.unionByName(led)
-        .groupBy(F.xxhash64("username", "email").alias("_digest"), "username", "email")
+        .groupBy("username", "email")
         .agg(F.min("_direct").alias("_direct"), F.min("_alternate").alias("_alternate"))
     )
     alternate = F.when(strip(F.col("_alternate.address")) != "", F.col("_alternate"))
@@ -105,15 +107,18 @@ def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column) -> Da
 def managers(manager_edges: DataFrame, directory: DataFrame) -> DataFrame:
     """``user_id, manager_email, manager_department``; users without a known manager are left out.
 
-    An id listed more than once counts by its last listing.
+    An id listed more than once counts by its last listing. The result is grouped by user last, so it comes out in the
+    partitioning the next join needs.
     """
     people = directory.where("id is not null").groupBy(F.col("id").alias("_id")).agg(
-        F.max(F.struct("listing_pos", "mail", "department")).alias("_manager")
+        F.max(F.struct("listing_pos", "mail", "department")).alias("_person")
     )
-    edges = manager_edges.where("user_id is not null and manager_id is not null").groupBy("user_id").agg(
-        F.min("manager_id").alias("manager_id")
+    edges = manager_edges.where("user_id is not null")
+    known = edges.join(people, F.col("manager_id") == F.col("_id")).select(
+        "user_id", F.struct("manager_id", F.col("_person.mail").alias("mail"), F.col("_person.department").alias("department")).alias("_manager")
     )
-    return edges.join(people, F.col("manager_id") == F.col("_id")).select(
+    first = known.groupBy("user_id").agg(F.min("_manager").alias("_manager"))
+    return first.select(
         "user_id", F.col("_manager.mail").alias("manager_email"), F.col("_manager.department").alias("manager_department")
     )
 

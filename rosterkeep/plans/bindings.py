@@ -64,9 +64,9 @@ def order_items(t: Tables) -> DataFrame:
 
 
 def event_items(t: Tables) -> DataFrame:
-    """Events as items of their user; error events have no id."""
+    """Events as items of their user; the largest error events have no id."""
     return t.events.select(
-        F.when(F.col("event_type") != "error", text("event_id")).alias("item_id"), text("user_id").alias("owner")
+        F.when((F.col("event_type") != "error") | (F.col("value") <= 200), text("event_id")).alias("item_id"), text("user_id").alias("owner")
     )
 
 

@@ -234,7 +234,7 @@ ORACLE: dict[str, str] = {
         SELECT l_returnflag, l_linestatus, CASE l_returnflag WHEN 'A' THEN TRUE WHEN 'N' THEN FALSE END AS flag, count(*) AS n
         FROM lineitem GROUP BY ALL""",
     "unreadable_values": """
-        SELECT event_id, CASE event_type WHEN 'error' THEN 'value' ELSE 'seen' END AS unreadable
+        SELECT event_id, CASE event_type WHEN 'error' THEN 'value: n/a' ELSE 'seen: yesterday' END AS unreadable
         FROM events WHERE event_type IN ('error', 'click')""",
     "blank_test": r"""
         SELECT conv_id, turn, role <> 'user' OR regexp_full_match(text, '\s*') AS blank,
@@ -263,10 +263,11 @@ ORACLE: dict[str, str] = {
         FROM orders GROUP BY ALL""",
     "history_bootstrap": _IDENTITY_HISTORY,
     "history_incremental": _IDENTITY_HISTORY,
+    "history_compacted": _IDENTITY_HISTORY,
     "streaming_intake": _IDENTITY_HISTORY,
     "users_without_items": """
         SELECT DISTINCT c_custkey::VARCHAR AS username FROM customer LEFT JOIN events ON c_custkey = user_id
-        WHERE event_id IS NULL OR event_type = 'error'""",
+        WHERE event_id IS NULL OR (event_type = 'error' AND value > 200)""",
     "users_without_items_caseless": """
         SELECT upper(s_name) AS username FROM supplier
         WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity >= 50 AND l_discount = 0)""",

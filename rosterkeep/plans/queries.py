@@ -281,7 +281,21 @@ def history_incremental(t):
     for part, date in ((early, "1996-12-31"), (~early, "2001-07-31")):
         store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
         runs.fold_history(store, config, "identity")
-    return _shown(store.read("hist_identity"), IDENTITY_SHOWN)
+    return _shown(store.history("identity"), IDENTITY_SHOWN)
+
+
+@query
+def history_compacted(t):
+    """H6: the same, with the parts summed up in between; states come back after that."""
+    store = Store(t.spark, paths.scratch(t.spark, "history"))
+    rows = b.identity_rows(t)
+    config = runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA)
+    early = F.col("updated_date") < F.lit("1997-01-01").cast("date")
+    for part, date in ((~early, "2001-07-30"), (early, "2001-07-31")):
+        store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
+        runs.fold_history(store, config, "identity")
+        store.compact_history("identity")
+    return _shown(store.history("identity"), IDENTITY_SHOWN)
 
 
 @query
@@ -294,7 +308,7 @@ def streaming_intake(t):
     for part, date in ((early, "1996-12-31"), (~early, "2001-07-31")):
         store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
         intake.fold_new_files(store, "identity", marks).awaitTermination()
-    return _shown(store.read("hist_identity"), IDENTITY_SHOWN)
+    return _shown(store.history("identity"), IDENTITY_SHOWN)
 
 
 # --- Lifecycle ----------------------------------------------------------------------------------------------------

@@ -17,6 +17,7 @@ from rosterkeep.model import (
     ITEMS,
     KINDS,
     MEMBERS,
+    Layout,
     OVER_QUOTA,
     OVER_QUOTA_NAME,
     STATE,
@@ -56,36 +57,33 @@ class Directory:
     whitelist: DataFrame
 
 
-def history_table(kind: str) -> str:
-    return f"hist_{kind}"
-
-
 def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
-    """Take every pending snapshot of a kind into its history, in one pass (H2, H6)."""
+    """Take every earlier snapshot that is pending into the history of a kind, in one pass (H2, H6).
+
+    Snapshots of the run date itself wait, so a run can be repeated on its date.
+    """
     pending = [date for date in store.pending_dates(kind) if date < config.run_date]
-    if not pending:
-        return []
-    table, layout = history_table(kind), KINDS[kind]
-    known = store.read(table) if store.has(table) else None
-    snapshots = [store.snapshot(kind, date).drop("directory_id") for date in pending]
-    store.replace(table, history.fold(known, snapshots, layout, config.match))
-    store.mark_folded(kind, pending)
+    if pending:
+        layout = KINDS[kind]
+        opened = store.open_states(kind)
+        if opened is None:
+            opened = store.spark.createDataFrame([], layout.schema)
+        store.add_fold(kind, history.fold_open(opened, [store.snapshot(kind, d) for d in pending], layout, config.match))
+        store.mark_folded(kind, pending)
     return pending
 
 
-def take_in(store: Store, config: RunConfig, layout, path: str) -> None:
+def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
     """One report as the snapshot of the run date; rows with unreadable values are listed besides."""
-    raw = reports.read_text_columns(store.spark, path, layout, config.multi_line)
-    listed = reports.unreadable_rows(raw, layout, config.date_formats).withColumn("unreadable", F.concat_ws(", ", "unreadable"))
-    reports.write_csv(listed, store.report_path(reports.dated_name(f"unreadable_{layout.name}", config.run_date)))
     df = reports.read_report(
-        store.spark, path, layout, config.run_date, config.date_formats, config.na_tokens, config.multi_line
+        store.spark, path, layout, config.run_date, config.date_formats, config.na_tokens, config.multi_line, note_unreadable=True
     )
     store.write_snapshot(layout.name, config.run_date, df)
+    written = store.snapshot(layout.name, config.run_date)
+    listed = written.where(F.size("unreadable") > 0).withColumn("unreadable", F.concat_ws("; ", "unreadable"))
+    reports.write_csv(listed, store.report_path(reports.dated_name(f"unreadable_{layout.name}", config.run_date)), layout)
     reports.write_csv(
-        store.snapshot(layout.name, config.run_date),
-        store.report_path(reports.dated_name(TITLE_MARKS[layout.name], config.run_date)),
-        layout,
+        written.drop("unreadable"), store.report_path(reports.dated_name(TITLE_MARKS[layout.name], config.run_date)), layout
     )
 
 
@@ -111,10 +109,7 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory) -> No
 
 
 def catalogue(store: Store, config: RunConfig, report_folder: str, directory: Directory) -> None:
-    """Fold the earlier snapshots, take in the newest reports, resolve the members to directory users.
-
-    A snapshot of the run date itself is not folded, so a run can be repeated on its date.
-    """
+    """Fold the earlier snapshots, take in the newest reports, resolve the members to directory users."""
     for kind in KINDS:
         fold_history(store, config, kind)
     newest = reports.latest_report_paths(reports.manifest(store.spark, report_folder), ["items", "members"])
@@ -164,9 +159,7 @@ def read_over_quota(store: Store) -> DataFrame:
 
 def queue_notifications(store: Store, config: RunConfig) -> DataFrame:
     """Write the queue of messages for the current state and the newest quota report."""
-    known = store.read(history_table("identity")) if store.has(history_table("identity")) else None
-    if known is None:
-        known = store.spark.createDataFrame([], IDENTITY.schema)
+    known = store.history("identity", config.match)
     queue = notify.notification_queue(store.read("state"), known, read_over_quota(store), config.templates, config.quota_mb)
     return store.replace("notifications", queue)
 

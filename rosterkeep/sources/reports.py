@@ -84,16 +84,19 @@ def read_report(
     formats: Sequence[str] = DATE_FORMATS,
     na_tokens: Sequence[str] = (),
     multi_line: bool = True,
+    note_unreadable: bool = False,
 ) -> DataFrame:
-    """A report typed and stamped."""
+    """A report typed and stamped (S2, S3, T2-T6), on request with the values that could not be typed."""
     raw = read_text_columns(spark, path, layout, multi_line)
     if na_tokens:
         raw = na_to_null(raw, na_tokens)
+    if note_unreadable:
+        raw = raw.withColumn("unreadable", unreadable(raw, layout, formats))
     return stamp(apply_types(raw, layout, formats), run_date)
 
 
 def unreadable_rows(raw: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Raw rows with a value that cannot be typed, and the columns concerned (S15). The typed table keeps these rows."""
+    """Raw rows with a value that cannot be typed, and those values (S15). The typed table keeps these rows."""
     return raw.withColumn("unreadable", unreadable(raw, layout, formats)).where(F.size("unreadable") > 0)
 
 

@@ -1,4 +1,4 @@
-"""Where the jobs keep their tables: dated snapshots and versioned tables, all Parquet.
+"""Where the jobs keep their tables: dated snapshots, histories and versioned tables, all Parquet.
 
 A snapshot is a partition ``snapshot_date=...`` that is never changed. A table that replaces itself is written as a new
 version next to the old one; readers take the newest version whose job finished. So a job that dies, or an executor
@@ -10,14 +10,18 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rosterkeep.model import KINDS
+from rosterkeep.operators.history import whole_history
 from rosterkeep.sources import paths
 
 VERSION = "version="
 SNAPSHOT = "snapshot_date="
+FOLD = "fold="
+BASE = "base="
 
 
 class NoTable(FileNotFoundError):
@@ -64,6 +68,56 @@ class Store:
         marked = stamps.select("date", F.col("date").cast("string").alias(SNAPSHOT[:-1]))
         marked.coalesce(1).write.mode("append").partitionBy(SNAPSHOT[:-1]).parquet(f"{self.root}/folded/{kind}")
 
+    # --- History ---
+    #
+    # Parts ``fold=...`` are written one after the other and never changed; ``base=...`` sums up all before it. The
+    # history is the closed rows of the parts since the last base and the open rows of the last part.
+
+    def _parts(self, kind: str) -> list[tuple[int, str]]:
+        """Number and path of the complete parts in force, in order."""
+        folder = f"{self.root}/history/{kind}"
+        found = [(int(n[5:]), n) for n in paths.names(self.spark, folder) if n.startswith((FOLD, BASE))]
+        done = sorted((number, n) for number, n in found if paths.is_complete(self.spark, f"{folder}/{n}"))
+        base = max((number for number, n in done if n.startswith(BASE)), default=0)
+        return [(number, f"{folder}/{n}") for number, n in done if number >= base]
+
+    def last_part(self, kind: str) -> int:
+        """Number of the last complete part, 0 without any."""
+        parts = self._parts(kind)
+        return parts[-1][0] if parts else 0
+
+    def _rows(self, kind: str, found: list[str], opened: bool) -> DataFrame:
+        schema = T.StructType([*KINDS[kind].schema.fields, T.StructField("open", T.BooleanType())])
+        rows = reduce(DataFrame.union, [self.spark.read.schema(schema).parquet(path) for path in found])
+        return rows.where(F.col("open") == opened).drop("open")
+
+    def open_states(self, kind: str) -> DataFrame | None:
+        parts = self._parts(kind)
+        return self._rows(kind, [parts[-1][1]], True) if parts else None
+
+    def add_fold(self, kind: str, folded: DataFrame) -> None:
+        """Write the next part."""
+        number = self.last_part(kind) + 1
+        folded.write.mode("overwrite").partitionBy("open").parquet(f"{self.root}/history/{kind}/{FOLD}{number:06d}")
+
+    def _whole(self, kind: str, match: str) -> DataFrame | None:
+        found = [path for _, path in self._parts(kind)]
+        if not found:
+            return None
+        return whole_history(self._rows(kind, found, False), self._rows(kind, found[-1:], True), KINDS[kind], match)
+
+    def history(self, kind: str, match: str = "binary") -> DataFrame:
+        """Every distinct state with the latest date it was seen; empty before the first fold."""
+        whole = self._whole(kind, match)
+        return self.spark.createDataFrame([], KINDS[kind].schema) if whole is None else whole.drop("open")
+
+    def compact_history(self, kind: str, match: str = "binary") -> None:
+        """Sum up the parts so far in one, so that a reader has fewer files and no repeated states."""
+        whole = self._whole(kind, match)
+        if whole is not None:
+            path = f"{self.root}/history/{kind}/{BASE}{self.last_part(kind) + 1:06d}"
+            whole.write.mode("overwrite").partitionBy("open").parquet(path)
+
     # --- Versioned tables ---
 
     def _versions(self, table: str) -> list[int]:

@@ -13,23 +13,18 @@ from rosterkeep.sources.store import Store
 def fold_new_files(store: Store, kind: str, checkpoint: str, files_per_batch: int | None = None, match: str = "binary") -> StreamingQuery:
     """Start a query that folds the snapshot files not seen before into the history of a kind, then stops.
 
-    The checkpoint remembers the files, in place of dropping them. The number of the batch is the number of the history
-    version, so a batch that is run again after a failure writes the same version. Columns are bound by name. Use
+    The checkpoint remembers the files, in place of dropping them. A batch that is run again after a failure adds
+    states the history has already, with the dates it has, so it changes nothing. Columns are bound by name. Use
     either this or the batch fold for a kind, not both.
     """
-    layout, table = KINDS[kind], f"hist_{kind}"
+    layout = KINDS[kind]
     reader = store.spark.readStream.schema(layout.schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrived = reader.parquet(f"{store.root}/snapshots/{kind}/*")
 
-    def take(batch: DataFrame, number: int) -> None:
-        version = number + 1
-        done = store.current_version(table) or 0
-        if done >= version:
-            return
-        known = store.read(table) if done else None
-        store.replace(table, history.fold(known, [batch], layout, match), version)
+    def take(batch: DataFrame, _number: int) -> None:
+        store.add_fold(kind, history.fold_open(store.open_states(kind), [batch], layout, match))
 
     return (
         arrived.writeStream.foreachBatch(take)
