@@ -2,41 +2,76 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterkeep.functions.text import strip
+from rosterkeep.functions.text import lookup_key, strip
 from rosterkeep.model import Layout
 
 #: Tried in this order after ISO 8601.
 DATE_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm", "M/d/yyyy h:mm a", "M/d/yyyy")
 
 
+#: Shape of the parts of a date format.
+SHAPES = {
+    "yyyy": r"\d{4}",
+    "MM": r"\d{2}",
+    "M": r"\d{1,2}",
+    "dd": r"\d{2}",
+    "d": r"\d{1,2}",
+    "HH": r"\d{2}",
+    "H": r"\d{1,2}",
+    "hh": r"\d{2}",
+    "h": r"\d{1,2}",
+    "mm": r"\d{2}",
+    "ss": r"\d{2}",
+    "a": r"(?i:am|pm)",
+}
+
+
+def shape(pattern: str) -> str | None:
+    """Regular expression for text that can fit a date format; None for a format with other parts."""
+    parts = [match.group() for match in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]+", pattern)]
+    if any(part[0].isalpha() and part not in SHAPES for part in parts):
+        return None
+    return r"^\s*" + "".join(SHAPES.get(part) or re.escape(part) for part in parts) + r"\s*$"
+
+
 def lenient_timestamp(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Timestamp without zone, from ISO text or the first format that fits.
 
-    Formats are read as UTC and counted from the epoch, so the session time zone cannot shift a value.
+    A format is tried only on text of its shape, as a failed parse is far dearer than the test. Formats are read as UTC
+    and counted from the epoch, so the session time zone cannot shift a value.
     """
-    text = strip(c)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    parsed = [text.try_cast("timestamp_ntz")]
+    parsed = [c.try_cast("timestamp_ntz")]
     for pattern in formats:
-        instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(pattern + " xx"))
-        parsed.append(F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch))
+        instant = F.try_to_timestamp(F.concat(strip(c), F.lit(" +0000")), F.lit(pattern + " xx"))
+        value = F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+        fits = shape(pattern)
+        parsed.append(F.when(F.rlike(c, F.lit(fits)), value) if fits else value)
     return F.coalesce(*parsed)
 
 
+#: What a number looks like; Java's type suffixes and hexadecimal forms are none.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
+TRUE_WORDS = ("t", "true", "y", "yes", "1")
+FALSE_WORDS = ("f", "false", "n", "no", "0")
+
+
 def lenient_number(c: Column) -> Column:
-    """Double, or NULL (T3). Java's type suffixes and hexadecimal forms are no numbers in a report; NaN is NULL."""
-    number = F.when(~F.rlike(c, F.lit(r"(?i)[0-9.][df]\s*$|0x")), c.try_cast("double"))
-    return F.nullif(number, F.lit(float("nan")))
+    """Double, or NULL where the text is no number."""
+    return F.when(F.rlike(c, F.lit(NUMBER)), c.try_cast("double"))
 
 
 def lenient_boolean(c: Column) -> Column:
-    """Boolean by its word (true/false, yes/no, y/n, t/f, 1/0); anything else NULL (T4)."""
-    return strip(c).try_cast("boolean")
+    """Boolean by its word, in any case; anything else NULL (T4)."""
+    word = lookup_key(c)
+    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 
 def lenient_date(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
@@ -66,30 +101,28 @@ def na_to_null(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     )
 
 
-def apply_types(df: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Type the columns that are present; the others stay as they are (T5)."""
-    roles = {f.name: f.role for f in layout.fields}
-    return df.select(
-        *[
-            typed(F.col(f"`{name}`"), roles[name], formats).alias(name)
-            if name in roles and dtype == "string"
-            else F.col(f"`{name}`")
-            for name, dtype in df.dtypes
-        ]
-    )
+def apply_types(df: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FORMATS, note: bool = False) -> DataFrame:
+    """Type the text columns that are present; the others stay as they are (T5).
 
-
-def unreadable(df: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """``column: text`` of each value of a raw row that is there but cannot be typed."""
-    checks = [
-        F.when(
-            (strip(F.col(f"`{f.name}`")) != F.lit("")) & typed(F.col(f"`{f.name}`"), f.role, formats).isNull(),
-            F.concat(F.lit(f"{f.name}: "), F.col(f"`{f.name}`")),
-        )
-        for f in layout.fields
-        if f.name in df.columns and f.role != "string"
+    With ``note`` a column ``unreadable`` lists, as ``column: text``, the values that are there but cannot be typed
+    (S15). Each value is parsed once for both.
+    """
+    roles = {f.name: f.role for f in layout.fields}
+    parsed = {name for name, dtype in df.dtypes if dtype == "string" and roles.get(name, "string") != "string"}
+    both = df.withColumns({f"_typed_{name}": typed(F.col(f"`{name}`"), roles[name], formats) for name in parsed})
+    columns = [F.col(f"`_typed_{name}`").alias(name) if name in parsed else F.col(f"`{name}`") for name in df.columns]
+    if note:
+        columns.append(unreadable({name: f"_typed_{name}" for name in df.columns if name in parsed}).alias("unreadable"))
+    return both.select(*columns)
+
+
+def unreadable(pairs: Mapping[str, str]) -> Column:
+    """``column: text`` for each pair of a text column and its typed column where only the text has a value."""
+    failed = [
+        F.when(F.col(f"`{done}`").isNull() & (strip(F.col(f"`{raw}`")) != F.lit("")), F.concat(F.lit(f"{raw}: "), F.col(f"`{raw}`")))
+        for raw, done in pairs.items()
     ]
-    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
 
 
 def too_long(df: DataFrame, limit: int = 255) -> Column:

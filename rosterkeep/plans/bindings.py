@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rosterkeep.model import IDENTITY, ITEMS, MEMBERS, Layout
 
@@ -20,13 +20,18 @@ DOMAIN = "corp.example"
 
 
 class Tables:
-    """The test tables of one folder."""
+    """The test tables of one folder. A table's schema is read from its file once per process, not once per query."""
+
+    _schemas: dict[str, T.StructType] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
 
 def text(name: str):

@@ -26,7 +26,7 @@ from rosterkeep.model import (
 from rosterkeep.operators import history, identity as ids, lifecycle, notify, quota
 from rosterkeep.operators.notify import Template
 from rosterkeep.sources import reports
-from rosterkeep.sources.store import Store
+from rosterkeep.sources.store import Store, empty_frame
 from rosterkeep.sources.templates import DEFAULT_TEMPLATES
 
 
@@ -67,7 +67,7 @@ def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
         layout = KINDS[kind]
         opened = store.open_states(kind)
         if opened is None:
-            opened = store.spark.createDataFrame([], layout.schema)
+            opened = empty_frame(store.spark, layout.schema)
         store.add_fold(kind, history.fold_open(opened, [store.snapshot(kind, d) for d in pending], layout, config.match))
         store.mark_folded(kind, pending)
     return pending
@@ -124,7 +124,7 @@ def update_state(store: Store, config: RunConfig, directory: Directory) -> DataF
     The moves are written once and read back for the state and the counts, so nothing is computed twice.
     """
     identity = store.snapshot("identity")
-    state = store.read("state") if store.has("state") else store.spark.createDataFrame([], STATE.schema)
+    state = store.read("state") if store.has("state") else empty_frame(store.spark, STATE.schema)
     state = lifecycle.add_new_accounts(state, identity, config.run_date)
     facts = lifecycle.account_facts(
         identity,

@@ -32,6 +32,11 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [name for name, _ in entries(spark, path)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _fs(spark, path)
+    fs.mkdirs(hadoop)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Spark job finished writing this directory."""
     return exists(spark, f"{path}/_SUCCESS")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterkeep.functions.text import snapshot_name
-from rosterkeep.functions.typing import DATE_FORMATS, apply_types, na_to_null, unreadable
+from rosterkeep.functions.typing import DATE_FORMATS, apply_types, na_to_null
 from rosterkeep.model import Layout, kind_column
 from rosterkeep.operators.latest import latest_per_kind
 from rosterkeep.sources import paths
@@ -90,14 +90,12 @@ def read_report(
     raw = read_text_columns(spark, path, layout, multi_line)
     if na_tokens:
         raw = na_to_null(raw, na_tokens)
-    if note_unreadable:
-        raw = raw.withColumn("unreadable", unreadable(raw, layout, formats))
-    return stamp(apply_types(raw, layout, formats), run_date)
+    return stamp(apply_types(raw, layout, formats, note_unreadable), run_date)
 
 
 def unreadable_rows(raw: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Raw rows with a value that cannot be typed, and those values (S15). The typed table keeps these rows."""
-    return raw.withColumn("unreadable", unreadable(raw, layout, formats)).where(F.size("unreadable") > 0)
+    """Rows with values that cannot be typed, those values beside the typed ones (S15). They stay in the table too."""
+    return apply_types(raw, layout, formats, note=True).where(F.size("unreadable") > 0)
 
 
 # --- Writing ------------------------------------------------------------------------------------------------------

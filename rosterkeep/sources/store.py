@@ -28,6 +28,11 @@ class NoTable(FileNotFoundError):
     """A table or snapshot that was not written yet."""
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema; Spark drops the branches of a plan that read it."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -64,9 +69,8 @@ class Store:
 
     def mark_folded(self, kind: str, dates: Iterable[dt.date]) -> None:
         """Note which snapshots a history version holds. Called after it is written; folding twice is harmless."""
-        stamps = self.spark.createDataFrame([(d,) for d in dates], T.StructType([T.StructField("date", T.DateType())]))
-        marked = stamps.select("date", F.col("date").cast("string").alias(SNAPSHOT[:-1]))
-        marked.coalesce(1).write.mode("append").partitionBy(SNAPSHOT[:-1]).parquet(f"{self.root}/folded/{kind}")
+        for date in dates:
+            paths.make_folder(self.spark, f"{self.root}/folded/{kind}/{SNAPSHOT}{date.isoformat()}")
 
     # --- History ---
     #
@@ -89,7 +93,7 @@ class Store:
     def _rows(self, kind: str, found: list[str], opened: bool) -> DataFrame:
         schema = T.StructType([*KINDS[kind].schema.fields, T.StructField("open", T.BooleanType())])
         rows = reduce(DataFrame.union, [self.spark.read.schema(schema).parquet(path) for path in found])
-        return rows.where(F.col("open") == opened).drop("open")
+        return rows.where(F.col("open") == F.lit(opened)).drop("open")
 
     def open_states(self, kind: str) -> DataFrame | None:
         parts = self._parts(kind)
@@ -109,7 +113,7 @@ class Store:
     def history(self, kind: str, match: str = "binary") -> DataFrame:
         """Every distinct state with the latest date it was seen; empty before the first fold."""
         whole = self._whole(kind, match)
-        return self.spark.createDataFrame([], KINDS[kind].schema) if whole is None else whole.drop("open")
+        return empty_frame(self.spark, KINDS[kind].schema) if whole is None else whole.drop("open")
 
     def compact_history(self, kind: str, match: str = "binary") -> None:
         """Sum up the parts so far in one, so that a reader has fewer files and no repeated states."""
