@@ -126,15 +126,16 @@ def managers(manager_edges: DataFrame, directory: DataFrame) -> DataFrame:
 def joined_in_order(edges: DataFrame, key: str, value: str, order: list[str], length: int) -> DataFrame:
     """``key`` with its values joined by ``", "`` in order, cut to ``length`` characters.
 
-    Each value but the first brings a separator of two characters, so values beyond number ``length // 2 + 1`` lie
-    behind the cut. Only those before it are gathered; Spark applies that rank limit before the shuffle too. The text
-    is exact and no group is gathered whole.
+    Each value but the first brings a separator of two characters, so a value that half the length and more come
+    before lies behind the cut. Only the others are gathered; Spark applies that rank limit before the shuffle too. The
+    text is exact and no group is gathered whole.
     """
+    reach = (length + 1) // 2 + 1
     rank = Window.partitionBy(key).orderBy(*order, value)
     leading = (
         edges.where(F.col(value).isNotNull())
         .withColumn("_rank", F.row_number().over(rank))
-        .where(F.col("_rank") <= length // 2 + 1)
+        .where(F.col("_rank") <= reach)
     )
     gathered = leading.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(value).cast("string").alias("_value")))).alias("_list"))
     return gathered.select(key, cut(F.array_join(F.col("_list._value"), ", "), length).alias(f"{value}s"))
