@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rosterkeep.functions.text import strip
+from rosterkeep.operators.keys import same_key
 
 
 def ordered_distinct(df: DataFrame, key: str, value: str, order: Sequence[str], name: str) -> DataFrame:
@@ -25,7 +26,7 @@ def with_contacts(df: DataFrame, contacts: DataFrame, key: str, name: str) -> Da
     """Rows with their contact array; an empty one where there is none."""
     listed = contacts.where(F.col(key).isNotNull()).select(F.col(key).alias("_user"), F.col(name).alias("_list"))
     return (
-        df.join(listed, F.col(key) == F.col("_user"), "left")
+        df.join(listed, same_key(F.col(key), F.col("_user")), "left")
         .withColumn(name, F.coalesce("_list", F.array().cast("array<string>")))
         .drop("_user", "_list")
     )

@@ -7,12 +7,14 @@ The tables used: ``directory`` (id, user_principal_name, mail, other_mails, depa
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterkeep.functions.addresses import candidate_addresses
 from rosterkeep.functions.text import blank_to_null, cut, join_list, lookup_key, strip
 from rosterkeep.model import IDENTITY
+from rosterkeep.operators.keys import same_key
 
 TRIED_LENGTH = 500
 GROUPS_LENGTH = 1000
@@ -53,7 +55,7 @@ def alternate_index(directory: DataFrame, principals: DataFrame) -> DataFrame:
     named = other_mail_index(directory).select(
         F.col("key").alias("_other"), F.col("principal_name").alias("address"), lookup_key(F.col("principal_name")).alias("_name")
     )
-    return named.join(principals, F.col("_name") == F.col("key"), "left").select(
+    return named.join(principals, same_key(F.col("_name"), F.col("key")), "left").select(
         F.col("_other").alias("key"), "address", "user_id", "department"
     )
 
@@ -61,13 +63,27 @@ def alternate_index(directory: DataFrame, principals: DataFrame) -> DataFrame:
 # --- Resolution ---------------------------------------------------------------------------------------------------
 
 
-def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column) -> DataFrame:
+def _meet(tries: DataFrame, index: DataFrame, common: Sequence[str]) -> DataFrame:
+    """Tries with their index rows.
+
+    The common keys are set apart: the index has at most one row for each, so those rows are broadcast, and the many
+    tries of one such key stay where they are. Where the index has none, Spark does not even read those tries.
+    """
+    if not common:
+        return tries.join(index, same_key(F.col("_key"), F.col("key")))
+    met = tries.where(~F.col("_key").isin(*common)).join(index, same_key(F.col("_key"), F.col("key")))
+    few = F.broadcast(index.where(F.col("key").isin(*common)))
+    return met.unionByName(tries.where(F.col("_key").isin(*common)).join(few, F.col("_key") == F.col("key")))
+
+
+def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column, common: Sequence[str] = ()) -> DataFrame:
     """Directory user per distinct (username, email) that leads to one, or to an alternate address.
 
     Result: ``username, email, address, user_id, department, alternate``. Candidates are spread out as narrow rows and
     meet the index by equality; an aggregate then keeps the first hit in candidate order. It is keyed by the account's
     own values, not by a generated row number, so a task that is run again cannot give other keys. Both joins read the
-    same candidate columns, so the candidates are shuffled once.
+    same candidate columns, so the candidates are shuffled once. ``common`` names lookup keys known to be shared by
+    very many accounts.
     """
     tries = (
         accounts.select("username", "email", F.posexplode(candidates).alias("pos", "tried"))
@@ -77,13 +93,13 @@ def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column) -> Da
     alternates = alternate_index(directory, principals)
     hit = "struct<pos:int,address:string,user_id:string,department:string,tried:string>"
     none = F.lit(None).cast(hit)
-    direct = tries.join(principals, F.col("_key") == F.col("key")).select(
+    direct = _meet(tries, principals, common).select(
         "username",
         "email",
         F.struct("pos", F.col("tried").alias("address"), "user_id", "department", "tried").cast(hit).alias("_direct"),
         none.alias("_alternate"),
     )
-    led = tries.join(alternates, F.col("_key") == F.col("key")).select(
+    led = _meet(tries, alternates, common).select(
         "username",
         "email",
         none.alias("_direct"),
@@ -114,7 +130,7 @@ def managers(manager_edges: DataFrame, directory: DataFrame) -> DataFrame:
         F.max(F.struct("listing_pos", "mail", "department")).alias("_person")
     )
     edges = manager_edges.where("user_id is not null")
-    known = edges.join(people, F.col("manager_id") == F.col("_id")).select(
+    known = edges.join(people, same_key(F.col("manager_id"), F.col("_id"))).select(
         "user_id", F.struct("manager_id", F.col("_person.mail").alias("mail"), F.col("_person.department").alias("department")).alias("_manager")
     )
     first = known.groupBy("user_id").agg(F.min("_manager").alias("_manager"))
@@ -161,15 +177,15 @@ def identity_status(
 ) -> DataFrame:
     """One row per member row, found or not (I7, I8). ``directory_id`` is added for comparing all groups later.
 
-    Manager and groups are joined to the accounts that were found only, so accounts without a directory user never
-    meet under a NULL id.
+    Every account without an e-mail tries the bare ``@domain``, so that key is named as a common one. Manager and groups
+    are joined to the accounts that were found only; accounts without a directory user never meet under a NULL id.
     """
     candidates = candidate_addresses(F.col("username"), F.col("email"), suffix, domain)
-    found = resolve(members, directory, candidates)
-    profile = (
-        found.join(managers(manager_edges, directory), "user_id", "left")
-        .join(group_text(group_edges), "user_id", "left")
-        .withColumnsRenamed({"username": "_username", "email": "_email"})
+    found = resolve(members, directory, candidates, [f"@{domain}".lower()])
+    # Both have one row per user and the same partitioning, so that join shuffles nothing.
+    profiles = managers(manager_edges, directory).join(group_text(group_edges), "user_id", "full").withColumnRenamed("user_id", "_id")
+    profile = found.join(profiles, same_key(F.col("user_id"), F.col("_id")), "left").withColumnsRenamed(
+        {"username": "_username", "email": "_email"}
     )
     joined = members.select("username", "email", "name").join(
         profile,

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterkeep.functions.text import caseless, is_blank, split_list
-from rosterkeep.operators.keys import mark_listed, missing_from, null_safe_key
+from rosterkeep.operators.keys import mark_listed, missing_from, null_safe_key, same_key
 from rosterkeep.model import STATE
 
 ACTIVE, FLAGGED, TO_DELETE = 0, 1, 2
@@ -108,7 +108,7 @@ def account_facts(
 def whitelisted_directory_users(group_edges: DataFrame, whitelist: DataFrame) -> DataFrame:
     """Directory users in at least one whitelisted group."""
     ids = whitelist.select(F.col("id").alias("_listed")).distinct()
-    return group_edges.join(ids, F.col("group_id") == F.col("_listed"), "left_semi").select("user_id").distinct()
+    return group_edges.join(ids, same_key(F.col("group_id"), F.col("_listed")), "left_semi").select("user_id").distinct()
 
 
 # --- Transition ---------------------------------------------------------------------------------------------------
@@ -167,7 +167,9 @@ def transition(state: DataFrame, facts: DataFrame, run_date: dt.date, grace_days
 
     One left join to the facts and one projection; rows are neither lost nor added.
     """
-    joined = state.withColumn("_key", null_safe_key(F.col("username"))).join(facts, F.col("_key") == F.col("_user"), "left")
+    joined = state.withColumn("_key", null_safe_key(F.col("username"))).join(
+        facts, same_key(F.col("_key"), F.col("_user")), "left"
+    )
     decided = joined.withColumn(
         "rule",
         decide(
@@ -247,7 +249,7 @@ def apply_overrides(state: DataFrame, requests: DataFrame) -> DataFrame:
         .agg(F.max("override").alias("_override"))
     )
     addressed, rest = state.where("working_email is not null"), state.where("working_email is null")
-    changed = addressed.join(wanted, F.col("working_email") == F.col("_address"), "left").withColumn(
+    changed = addressed.join(wanted, same_key(F.col("working_email"), F.col("_address")), "left").withColumn(
         "override", F.coalesce("_override", "override")
     )
     return changed.select(*state.columns).unionByName(rest)

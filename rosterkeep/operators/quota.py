@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rosterkeep.functions.text import caseless
+from rosterkeep.operators.keys import same_key
 
 #: Sizes are added as decimals, so a total does not depend on the order of its parts.
 SIZE = "decimal(28,6)"
@@ -41,7 +42,7 @@ def over_quota(members: DataFrame, items: DataFrame, quota_mb: float, match: str
         user = F.col("username")
     total = F.col("_total") * F.col("_n")
     return (
-        people.join(totals, user == F.col("_owner"))
+        people.join(totals, same_key(user, F.col("_owner")))
         .where(total > limit)
         .select("username", "email", "name", total.cast("double").alias("total_feature_storage_mb"))
         .orderBy(F.desc("total_feature_storage_mb"), "username", "email", "name")

@@ -492,7 +492,7 @@ def alternate_addresses(t):
 def address_resolution(t):
     """I4, J8."""
     tried = addresses.candidate_addresses(F.col("username"), F.col("email"), SUFFIX, DOMAIN)
-    return identity.resolve(b.accounts(t), b.directory(t), tried).select("username", "address", "user_id", "alternate")
+    return identity.resolve(b.accounts(t), b.directory(t), tried, ["@" + DOMAIN]).select("username", "address", "user_id", "alternate")
 
 
 @query
