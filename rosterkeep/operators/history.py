@@ -77,9 +77,7 @@ def fold_open(opened: DataFrame | None, snapshots: Iterable[DataFrame], layout:
     return fold(opened, pending, layout, match).withColumn("open", F.coalesce(F.col("updated_date") >= newest, F.lit(False)))
 
 
-def whole_history(closed: DataFrame, opened: DataFrame, layout: Layout, match: str = "binary") -> DataFrame:
-    """Every distinct state once, with its latest date and whether it is ``open``."""
-    columns = layout.columns
-    rows = closed.select(*columns, F.lit(False).alias("open")).union(opened.select(*columns, F.lit(True).alias("open")))
+def whole_history(rows: DataFrame, layout: Layout, match: str = "binary") -> DataFrame:
+    """Every distinct state once, with its latest date and whether it is ``open``, from closed and open rows."""
     carry = [name for name in layout.not_state if name != "updated_date"]
     return latest_per_key(rows, layout.state_key, ["updated_date"], [*carry, "open"], match)

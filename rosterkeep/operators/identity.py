@@ -15,6 +15,7 @@ from rosterkeep.functions.addresses import candidate_addresses
 from rosterkeep.functions.text import blank_to_null, cut, join_list, lookup_key, strip
 from rosterkeep.model import IDENTITY
 from rosterkeep.operators.keys import same_key
+from rosterkeep.operators.latest import first_per_key
 
 TRIED_LENGTH = 500
 GROUPS_LENGTH = 1000
@@ -31,8 +32,7 @@ def principal_index(directory: DataFrame) -> DataFrame:
         F.col("id").alias("user_id"),
         "department",
     ).where("key != ''")
-    first = addresses.groupBy("key").agg(F.min(F.struct("listing_pos", "user_id", "department")).alias("_user"))
-    return first.select("key", "_user.user_id", "_user.department")
+    return first_per_key(addresses, ["key"], ["listing_pos"], ["user_id", "department"]).drop("listing_pos")
 
 
 def other_mail_index(directory: DataFrame) -> DataFrame:
@@ -43,8 +43,8 @@ def other_mail_index(directory: DataFrame) -> DataFrame:
         F.col("id").alias("user_id"),
         F.col("user_principal_name").alias("principal_name"),
     ).select(lookup_key(F.col("_mail")).alias("key"), "listing_pos", "user_id", "principal_name")
-    first = addresses.where("key != ''").groupBy("key").agg(F.min(F.struct("listing_pos", "user_id", "principal_name")).alias("_user"))
-    return first.select("key", "_user.principal_name").where("principal_name != ''")
+    first = first_per_key(addresses.where("key != ''"), ["key"], ["listing_pos"], ["user_id", "principal_name"])
+    return first.select("key", "principal_name").where("principal_name != ''")
 
 
 def alternate_index(directory: DataFrame, principals: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,8 +19,9 @@ from rosterkeep.sources import paths
 
 VERSION = "version="
 SNAPSHOT = "snapshot_date="
-FOLD = "fold="
-BASE = "base="
+PART = "part="
+FOLD = "-fold"
+BASE = "-base"
 
 
 class NoTable(FileNotFoundError):
@@ -74,53 +74,53 @@ class Store:
 
     # --- History ---
     #
-    # Parts ``fold=...`` are written one after the other and never changed; ``base=...`` sums up all before it. The
-    # history is the closed rows of the parts since the last base and the open rows of the last part.
+    # Parts ``part=<number>-fold`` are written one after the other and never changed; ``part=<number>-base`` sums up all
+    # before it. In force are the parts since the last base: of the last part all rows, of the others the closed ones.
 
-    def _parts(self, kind: str) -> list[tuple[int, str]]:
-        """Number and path of the complete parts in force, in order."""
+    def _parts(self, kind: str) -> list[str]:
+        """Names of the complete parts in force, in order."""
         folder = f"{self.root}/history/{kind}"
-        found = [(int(n[5:]), n) for n in paths.names(self.spark, folder) if n.startswith((FOLD, BASE))]
-        done = sorted((number, n) for number, n in found if paths.is_complete(self.spark, f"{folder}/{n}"))
-        base = max((number for number, n in done if n.startswith(BASE)), default=0)
-        return [(number, f"{folder}/{n}") for number, n in done if number >= base]
+        found = [n for n in paths.names(self.spark, folder) if n.startswith(PART)]
+        done = [n for n in found if paths.is_complete(self.spark, f"{folder}/{n}")]
+        last_base = max((n for n in done if n.endswith(BASE)), default="")
+        return [n for n in done if n >= last_base]
 
-    def last_part(self, kind: str) -> int:
-        """Number of the last complete part, 0 without any."""
+    def _write_part(self, kind: str, rows: DataFrame, ending: str) -> None:
         parts = self._parts(kind)
-        return parts[-1][0] if parts else 0
+        number = int(parts[-1][len(PART) :].split("-")[0]) + 1 if parts else 1
+        rows.write.mode("overwrite").partitionBy("open").parquet(f"{self.root}/history/{kind}/{PART}{number:06d}{ending}")
 
-    def _rows(self, kind: str, found: list[str], opened: bool) -> DataFrame:
-        schema = T.StructType([*KINDS[kind].schema.fields, T.StructField("open", T.BooleanType())])
-        rows = reduce(DataFrame.union, [self.spark.read.schema(schema).parquet(path) for path in found])
-        return rows.where(F.col("open") == F.lit(opened)).drop("open")
+    def _rows(self, kind: str) -> DataFrame | None:
+        """Rows in force, each with ``open``; part and flag are directories, so others are not read."""
+        parts = self._parts(kind)
+        if not parts:
+            return None
+        folder = f"{self.root}/history/{kind}"
+        schema = T.StructType([*KINDS[kind].schema.fields, T.StructField(PART[:-1], T.StringType()), T.StructField("open", T.BooleanType())])
+        rows = self.spark.read.schema(schema).option("basePath", folder).parquet(*[f"{folder}/{n}" for n in parts])
+        return rows.where((F.col("open") == F.lit(False)) | (F.col(PART[:-1]) == parts[-1][len(PART) :])).drop(PART[:-1])
 
     def open_states(self, kind: str) -> DataFrame | None:
-        parts = self._parts(kind)
-        return self._rows(kind, [parts[-1][1]], True) if parts else None
+        """States of the newest snapshot folded; None before the first fold."""
+        rows = self._rows(kind)
+        return None if rows is None else rows.where(F.col("open") == F.lit(True)).drop("open")
 
     def add_fold(self, kind: str, folded: DataFrame) -> None:
         """Write the next part."""
-        number = self.last_part(kind) + 1
-        folded.write.mode("overwrite").partitionBy("open").parquet(f"{self.root}/history/{kind}/{FOLD}{number:06d}")
-
-    def _whole(self, kind: str, match: str) -> DataFrame | None:
-        found = [path for _, path in self._parts(kind)]
-        if not found:
-            return None
-        return whole_history(self._rows(kind, found, False), self._rows(kind, found[-1:], True), KINDS[kind], match)
+        self._write_part(kind, folded, FOLD)
 
     def history(self, kind: str, match: str = "binary") -> DataFrame:
         """Every distinct state with the latest date it was seen; empty before the first fold."""
-        whole = self._whole(kind, match)
-        return empty_frame(self.spark, KINDS[kind].schema) if whole is None else whole.drop("open")
+        rows = self._rows(kind)
+        if rows is None:
+            return empty_frame(self.spark, KINDS[kind].schema)
+        return whole_history(rows, KINDS[kind], match).drop("open")
 
     def compact_history(self, kind: str, match: str = "binary") -> None:
         """Sum up the parts so far in one, so that a reader has fewer files and no repeated states."""
-        whole = self._whole(kind, match)
-        if whole is not None:
-            path = f"{self.root}/history/{kind}/{BASE}{self.last_part(kind) + 1:06d}"
-            whole.write.mode("overwrite").partitionBy("open").parquet(path)
+        rows = self._rows(kind)
+        if rows is not None:
+            self._write_part(kind, whole_history(rows, KINDS[kind], match), BASE)
 
     # --- Versioned tables ---
 

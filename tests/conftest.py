@@ -13,7 +13,7 @@ RUN_DATE = dt.date(2026, 5, 15)
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", 4, {"spark.driver.memory": "4g", "spark.sql.warehouse.dir": "/tmp/rosterkeep-warehouse"})
+    session = build_session("tests", "local[4]", 4, {"spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": "/tmp/rosterkeep-warehouse"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

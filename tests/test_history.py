@@ -90,8 +90,7 @@ def test_open_and_closed_states(spark):
     second = history.fold_open(first.where("open").drop("open"), [snapshot(D2, "b", "c")], IDENTITY)
     assert rows(second, "username", "open") == [("a", False), ("b", True), ("c", True)]
     third = history.fold_open(second.where("open").drop("open"), [snapshot(D3, "a")], IDENTITY)
-    closed = second.where("not open").unionByName(third.where("not open"))
-    whole = history.whole_history(closed, third.where("open"), IDENTITY)
+    whole = history.whole_history(second.where("not open").unionByName(third), IDENTITY)
     assert rows(whole, "username", "updated_date", "open") == [("a", D3, True), ("b", D2, False), ("c", D2, False)]
 
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from conftest import RUN_DATE, rows
 from pyspark.sql import functions as F
 
@@ -27,36 +26,36 @@ def facts_rows(spark, data):
     return df.withColumn("_user", F.concat(F.lit("="), "username")).drop("username")
 
 
-@pytest.mark.parametrize(
-    "status, flag, override, entra, empty, listed, rule, new, new_flag, new_delete",
-    [
-        (0, None, True, False, True, False, "R1", 0, None, None),
-        (1, days_ago(90), True, False, False, False, "R1", 0, None, None),
-        (2, days_ago(90), True, None, False, False, "R1", 0, None, None),
-        (0, None, False, True, True, True, "R2", 2, RUN_DATE, OLD),
-        (1, days_ago(40), False, False, True, False, "R2", 2, RUN_DATE, OLD),
-        (2, days_ago(40), False, False, True, False, "R2", 2, RUN_DATE, OLD),
-        (0, None, False, False, False, False, "R3", 1, RUN_DATE, OLD),
-        (0, None, None, False, False, False, "R3", 1, RUN_DATE, OLD),
-        (0, days_ago(5), False, True, False, True, "R4", 0, None, None),
-        (0, None, False, True, False, False, "R5", 1, RUN_DATE, OLD),
-        (0, days_ago(5), False, None, False, False, "R6", 0, days_ago(5), OLD),
-        (1, days_ago(29), False, False, False, False, "R8", 1, days_ago(29), OLD),
-        (1, days_ago(30), False, False, False, False, "R7", 2, days_ago(30), RUN_DATE),
-        (1, days_ago(31), False, False, False, False, "R7", 2, days_ago(31), RUN_DATE),
-        (1, days_ago(30), False, True, False, True, "R7", 2, days_ago(30), RUN_DATE),
-        (1, None, False, False, False, False, "R8", 1, None, OLD),
-        (2, days_ago(99), False, True, False, True, "R8", 2, days_ago(99), OLD),
-        (None, None, False, True, False, True, "R8", None, None, OLD),
-    ],
-)
-def test_rules(spark, status, flag, override, entra, empty, listed, rule, new, new_flag, new_delete):
-    moved = lifecycle.transition(
-        state_rows(spark, [("u", status, flag, override)]), facts_rows(spark, [("u", entra, empty, listed)]), RUN_DATE
-    )
-    assert rows(moved, "rule", "delete_status", "flag_date", "delete_date", "old_status", "updated_date") == [
-        (rule, new, new_flag, new_delete, status, OLD)
-    ]
+#: status, flag date, override, identity status, empty, whitelisted; then the rule, new status, flag and delete date
+CASES = [
+    (0, None, True, False, True, False, "R1", 0, None, None),
+    (1, days_ago(90), True, False, False, False, "R1", 0, None, None),
+    (2, days_ago(90), True, None, False, False, "R1", 0, None, None),
+    (0, None, False, True, True, True, "R2", 2, RUN_DATE, OLD),
+    (1, days_ago(40), False, False, True, False, "R2", 2, RUN_DATE, OLD),
+    (2, days_ago(40), False, False, True, False, "R2", 2, RUN_DATE, OLD),
+    (0, None, False, False, False, False, "R3", 1, RUN_DATE, OLD),
+    (0, None, None, False, False, False, "R3", 1, RUN_DATE, OLD),
+    (0, days_ago(5), False, True, False, True, "R4", 0, None, None),
+    (0, None, False, True, False, False, "R5", 1, RUN_DATE, OLD),
+    (0, days_ago(5), False, None, False, False, "R6", 0, days_ago(5), OLD),
+    (1, days_ago(29), False, False, False, False, "R8", 1, days_ago(29), OLD),
+    (1, days_ago(30), False, False, False, False, "R7", 2, days_ago(30), RUN_DATE),
+    (1, days_ago(31), False, False, False, False, "R7", 2, days_ago(31), RUN_DATE),
+    (1, days_ago(30), False, True, False, True, "R7", 2, days_ago(30), RUN_DATE),
+    (1, None, False, False, False, False, "R8", 1, None, OLD),
+    (2, days_ago(99), False, True, False, True, "R8", 2, days_ago(99), OLD),
+    (None, None, False, True, False, True, "R8", None, None, OLD),
+]
+
+
+def test_rules(spark):
+    state = state_rows(spark, [(f"u{i:02d}", status, flag, override) for i, (status, flag, override, *_) in enumerate(CASES)])
+    facts = facts_rows(spark, [(f"u{i:02d}", entra, empty, listed) for i, (_, _, _, entra, empty, listed, *_) in enumerate(CASES)])
+    moved = lifecycle.transition(state, facts, RUN_DATE)
+    got = rows(moved, "username", "rule", "delete_status", "flag_date", "delete_date", "old_status", "updated_date")
+    for i, (status, _, _, _, _, _, rule, new, new_flag, new_delete) in enumerate(CASES):
+        assert got[i] == (f"u{i:02d}", rule, new, new_flag, new_delete, status, OLD), CASES[i]
 
 
 def test_user_without_facts_stays(spark):

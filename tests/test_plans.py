@@ -1,5 +1,6 @@
 """What the physical plans must and must not hold."""
 
+import re
 from pathlib import Path
 
 import pytest
@@ -96,9 +97,12 @@ def test_fold_reads_only_open_states(spark, tmp_path):
 
     store = Store(spark, str(tmp_path))
     df = in_layout(spark.sql("select 'a' as username, date'2026-01-01' as updated_date"), IDENTITY)
-    store.add_fold("identity", history.fold_open(None, [df], IDENTITY))
-    text = store.open_states("identity")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(open" in text
+    for _ in range(3):
+        store.add_fold("identity", history.fold_open(None, [df], IDENTITY))
+    opened = store.open_states("identity")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", opened._jdf.queryExecution().executedPlan().toString()).group(1)
+    assert "open#" in filters and "part#" in filters
+    assert opened.count() == 1
 
 
 @pytest.fixture
