@@ -44,6 +44,7 @@ class RunConfig:
     date_formats: Sequence[str] = DATE_FORMATS
     na_tokens: Sequence[str] = ()
     multi_line: bool = True
+    line_sep: str | None = None
     templates: Mapping[str, Template] = field(default_factory=lambda: DEFAULT_TEMPLATES)
 
 
@@ -76,7 +77,15 @@ def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
 def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
     """One report as the snapshot of the run date; rows with unreadable values are listed besides."""
     df = reports.read_report(
-        store.spark, path, layout, config.run_date, config.date_formats, config.na_tokens, config.multi_line, note_unreadable=True
+        store.spark,
+        path,
+        layout,
+        config.run_date,
+        config.date_formats,
+        config.na_tokens,
+        config.multi_line,
+        config.line_sep,
+        note_unreadable=True,
     )
     store.write_snapshot(layout.name, config.run_date, df)
     written = store.snapshot(layout.name, config.run_date)

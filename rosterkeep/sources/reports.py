@@ -60,13 +60,24 @@ def latest_report_paths(reports: DataFrame, kinds: Sequence[str]) -> dict[str, s
 # --- Reading ------------------------------------------------------------------------------------------------------
 
 
-def read_text_columns(spark: SparkSession, path: str | list[str], layout: Layout | None = None, multi_line: bool = True) -> DataFrame:
+def read_text_columns(
+    spark: SparkSession,
+    path: str | list[str],
+    layout: Layout | None = None,
+    multi_line: bool = True,
+    line_sep: str | None = None,
+) -> DataFrame:
     """A CSV report with every column as text, bound by header name, quoted line feeds and doubled quotes kept.
 
-    Blank fields are NULL. A file with line feeds inside quotes cannot be split, so a large report should come as a
-    directory of part files, each read by its own task; ``multi_line=False`` splits files that are known to have none.
+    Blank fields are NULL. Where rows may hold line feeds, a file is read by one task, so a large report should come as
+    a directory of part files. Files are split over many tasks where rows end differently from the line feeds within
+    them (``line_sep="\\r\\n"``), or are known to hold none (``multi_line=False``).
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.option("header", True).option("escape", '"')
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
+    elif multi_line:
+        reader = reader.option("multiLine", True)
     raw = reader.csv(path)
     return raw.withColumnsRenamed(layout.from_header) if layout else raw
 
@@ -84,10 +95,11 @@ def read_report(
     formats: Sequence[str] = DATE_FORMATS,
     na_tokens: Sequence[str] = (),
     multi_line: bool = True,
+    line_sep: str | None = None,
     note_unreadable: bool = False,
 ) -> DataFrame:
     """A report typed and stamped (S2, S3, T2-T6), on request with the values that could not be typed."""
-    raw = read_text_columns(spark, path, layout, multi_line)
+    raw = read_text_columns(spark, path, layout, multi_line, line_sep)
     if na_tokens:
         raw = na_to_null(raw, na_tokens)
     return stamp(apply_types(raw, layout, formats, note_unreadable), run_date)

@@ -23,6 +23,20 @@ def test_csv_text(spark, tmp_path):
     assert got == [("  padded ", "NA", None, None), ("Null", "a,b", "\\", '\\"t'), ("two\nlines", 'say "hi"', None, "x")]
 
 
+def test_files_are_split_where_rows_end_in_crlf(spark, tmp_path):
+    texts = ["two\nlines", 'say "hi"\n', "plain", "a,b", "\n"]
+    lines = ["Username,Name"] + [f'u{i},"{texts[i % 5].replace(chr(34), chr(34) * 2)}"' for i in range(5000)]
+    path = write(tmp_path / "r.csv", "\r\n".join(lines) + "\r\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = reports.read_text_columns(spark, path, MEMBERS, line_sep="\r\n")
+        assert df.rdd.getNumPartitions() > 4
+        assert dict(tuple(r) for r in df.collect()) == {f"u{i}": texts[i % 5] for i in range(5000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_report_is_bound_by_header_and_typed(spark, tmp_path):
     path = write(
         tmp_path / "m.csv",
