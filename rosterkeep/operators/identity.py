@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from rosterkeep.functions.addresses import candidate_addresses
-from rosterkeep.functions.text import blank_to_null, cut, join_list, lookup_key, strip
+from rosterkeep.functions.addresses import CANDIDATES, with_candidates
+from rosterkeep.functions.text import blank_to_null, cut, lookup_key, strip
 from rosterkeep.model import IDENTITY
 from rosterkeep.operators.keys import same_key
 from rosterkeep.operators.latest import first_per_key
@@ -76,19 +78,17 @@ def _meet(tries: DataFrame, index: DataFrame, common: Sequence[str]) -> DataFram
     return met.unionByName(tries.where(F.col("_key").isin(*common)).join(few, F.col("_key") == F.col("key")))
 
 
-def resolve(accounts: DataFrame, directory: DataFrame, candidates: Column, common: Sequence[str] = ()) -> DataFrame:
+def resolve(accounts: DataFrame, directory: DataFrame, candidates: Sequence[str], common: Sequence[str] = ()) -> DataFrame:
     """Directory user per distinct (username, email) that leads to one, or to an alternate address.
 
-    Result: ``username, email, address, user_id, department, alternate``. Candidates are spread out as narrow rows and
-    meet the index by equality; an aggregate then keeps the first hit in candidate order. It is keyed by the account's
+    Result: ``username, email, address, user_id, department, alternate``. ``candidates`` are columns of the accounts, in
+    the order they are tried, NULL where there is none. They are spread out as narrow rows and meet the index by equality; an aggregate then keeps the first hit in candidate order. It is keyed by the account's
     own values, not by a generated row number, so a task that is run again cannot give other keys. Both joins read the
     same candidate columns, so the candidates are shuffled once. ``common`` names lookup keys known to be shared by
     very many accounts.
     """
-    tries = (
-        accounts.select("username", "email", F.posexplode(candidates).alias("pos", "tried"))
-        .withColumn("_key", lookup_key(F.col("tried")))
-    )
+    listed = F.posexplode(F.array(*candidates)).alias("pos", "tried")
+    tries = accounts.select("username", "email", listed).where("tried is not null").withColumn("_key", lookup_key(F.col("tried")))
     principals = principal_index(directory)
     alternates = alternate_index(directory, principals)
     hit = "struct<pos:int,address:string,user_id:string,department:string,tried:string>"
@@ -180,25 +180,22 @@ def identity_status(
     Every account without an e-mail tries the bare ``@domain``, so that key is named as a common one. Manager and groups
     are joined to the accounts that were found only; accounts without a directory user never meet under a NULL id.
     """
-    candidates = candidate_addresses(F.col("username"), F.col("email"), suffix, domain)
-    found = resolve(members, directory, candidates, [f"@{domain}".lower()])
+    tried = with_candidates(members.select("username", "email", "name"), suffix, domain)
+    found = resolve(tried, directory, CANDIDATES, [f"@{domain}".lower()])
     # Both have one row per user and the same partitioning, so that join shuffles nothing.
     profiles = managers(manager_edges, directory).join(group_text(group_edges), "user_id", "full").withColumnRenamed("user_id", "_id")
     profile = found.join(profiles, same_key(F.col("user_id"), F.col("_id")), "left").withColumnsRenamed(
         {"username": "_username", "email": "_email"}
     )
-    joined = members.select("username", "email", "name").join(
+    joined = tried.join(
         profile,
         F.col("username").eqNullSafe(F.col("_username")) & F.col("email").eqNullSafe(F.col("_email")),
         "left",
     )
-    tried = F.transform(candidates, lambda a: F.lower(a))
-    with_alternate = F.when(
-        F.col("alternate").isNotNull() & ~F.array_contains(tried, F.lower(F.col("alternate"))),
-        F.array_append(candidates, F.col("alternate")),
-    ).otherwise(candidates)
+    alternate = F.lower("alternate")
+    known = reduce(or_, [F.lower(name).eqNullSafe(alternate) for name in CANDIDATES])
     row = {
-        "emails_tried": join_list(with_alternate, TRIED_LENGTH),
+        "emails_tried": cut(F.concat_ws(", ", *CANDIDATES, F.when(~known, F.col("alternate"))), TRIED_LENGTH),
         "entra_status": F.col("address").isNotNull(),
         "manager_email": blank_to_null(F.col("manager_email")),
         "manager_department": blank_to_null(F.col("manager_department")),

@@ -465,8 +465,8 @@ def override_update(t):
 @query
 def candidate_addresses(t):
     """I1, I2."""
-    tried = addresses.candidate_addresses(F.col("username"), F.col("email"), SUFFIX, DOMAIN)
-    return dates_as_text(b.accounts(t).select("username", tried.alias("candidates")))
+    tried = addresses.with_candidates(b.accounts(t), SUFFIX, DOMAIN)
+    return tried.select("username", F.concat_ws("|", *addresses.CANDIDATES).alias("candidates"))
 
 
 @query
@@ -491,8 +491,8 @@ def alternate_addresses(t):
 @query
 def address_resolution(t):
     """I4, J8."""
-    tried = addresses.candidate_addresses(F.col("username"), F.col("email"), SUFFIX, DOMAIN)
-    return identity.resolve(b.accounts(t), b.directory(t), tried, ["@" + DOMAIN]).select("username", "address", "user_id", "alternate")
+    tried = addresses.with_candidates(b.accounts(t), SUFFIX, DOMAIN)
+    return identity.resolve(tried, b.directory(t), addresses.CANDIDATES, ["@" + DOMAIN]).select("username", "address", "user_id", "alternate")
 
 
 @query

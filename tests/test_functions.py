@@ -89,11 +89,14 @@ def test_addresses(spark):
         ("jdoe", "JDOE@d", ["JDOE@d", "jdoe@d"]),
         ("jdoe", None, ["jdoe@d", "@d"]),
         ("jdoe", "  ", ["jdoe@d", "  @d"]),
+        (None, None, ["@d"]),
+        (None, "a@x", ["a@x", "@d", "a@d"]),
     ],
 )
 def test_candidates(spark, username, email, expected):
-    df = spark.createDataFrame([(username, email)], "u string, e string")
-    assert df.select(addresses.candidate_addresses(F.col("u"), F.col("e"), "_org", "d")).head()[0] == expected
+    df = spark.createDataFrame([(username, email)], "username string, email string")
+    tried = addresses.with_candidates(df, "_org", "d").select(*addresses.CANDIDATES).head()
+    assert [a for a in tried if a is not None] == expected
 
 
 def test_two_decimals(spark):

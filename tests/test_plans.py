@@ -182,7 +182,7 @@ def test_hot_address_in_the_resolution(spark, skewed):
         "id", "user_principal_name", F.lit(None).cast("string").alias("mail"), F.array().cast("array<string>").alias("other_mails"),
         F.lit("Law").alias("department"), F.col("id").cast("long").alias("listing_pos"),
     )
-    check_split(identity.resolve(accounts, users, F.array("email")), "user_id = '0'", 20_000)
+    check_split(identity.resolve(accounts, users, ["email"]), "user_id = '0'", 20_000)
 
 
 def test_hot_manager(spark, skewed):
