@@ -41,11 +41,6 @@ def cut(c: Column, length: int) -> Column:
     return F.substring(c, 1, length)
 
 
-def split_list(c: Column, separator: str = ",") -> Column:
-    """Parts of a separated list, trimmed, blank parts left out; NULL gives NULL."""
-    return F.filter(F.transform(F.split(c, separator), strip), lambda part: part != F.lit(""))
-
-
 def join_list(c: Column, length: int | None = None) -> Column:
     """Array to ``", "`` text, cut where a length is given."""
     text = F.array_join(c, ", ")

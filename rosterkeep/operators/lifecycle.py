@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterkeep.functions.text import caseless, is_blank, split_list
-from rosterkeep.operators.keys import mark_listed, missing_from, null_safe_key, same_key
+from rosterkeep.functions.text import caseless, is_blank, strip
 from rosterkeep.model import STATE
+from rosterkeep.operators.keys import mark_listed, missing_from, null_safe_key, same_key
 
 ACTIVE, FLAGGED, TO_DELETE = 0, 1, 2
 
@@ -95,8 +95,9 @@ def account_facts(
             facts, F.when(F.col("entra_status"), F.col("directory_id")), F.col("user_id"), hits, "whitelisted", F.col("_user")
         ).select("_user", "entra_status", "empty", "whitelisted")
     # Only the groups of affiliated users can matter, so only theirs are spread out.
-    groups = F.when(F.col("entra_status"), split_list(F.col("groups")))
-    spread = facts.select("_user", "entra_status", "empty", F.explode_outer(groups).alias("_group"))
+    groups = F.when(F.col("entra_status"), F.split("groups", ","))
+    parts = facts.select("_user", "entra_status", "empty", F.explode_outer(groups).alias("_part"))
+    spread = parts.withColumn("_group", F.when(~is_blank(F.col("_part")), strip(F.col("_part"))))
     marked = mark_listed(spread, F.col("_group"), F.col("id"), whitelist, "whitelisted", F.col("_user"))
     return marked.groupBy("_user").agg(
         F.max("entra_status").alias("entra_status"),

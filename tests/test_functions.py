@@ -32,10 +32,6 @@ def test_strip_and_blank(spark):
     assert values(spark, tx.lookup_key, " A@B.C\n") == ["a@b.c"]
 
 
-def test_split_list(spark):
-    assert values(spark, tx.split_list, "g1, g2", " , g1", "", None) == [["g1", "g2"], ["g1"], [], None]
-
-
 def test_snapshot_name(spark):
     assert values(spark, tx.snapshot_name, "OrganizationItems_2026-05/15") == ["OrganizationItems_2026_05_15"]
 
