@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterkeep.llm import decontam, langid, packing, quality
+from rosterkeep.llm import ann, decontam, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats
 from rosterkeep.llm.common import pick, remainder, table
 
 
@@ -46,10 +46,52 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "difference")
 
 
+def collision_counting_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+def min_max_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+def hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 5) == 1
+    corpus = hmm.count_corpus(table(spark, sf_dir, "documents"), ~held_out)
+    scored = hmm.score(corpus, hmm.train(corpus))
+    train_tokens = F.lit(corpus.train_tokens).cast("long").alias("train_tokens")
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
+
+
+def line_deletion_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed", F.array_join("removed", ","))
+
+
+def license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"])))
+    return found.select(
+        "doc_id",
+        F.size(names).cast("long").alias("n_licenses"),
+        F.array_join(names, ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("found", lambda x: x["contained"])), F.lit(0.0)).alias("contained"),
+    )
+
+
+def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), bytes_too=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_collision_counting_search": collision_counting_search,
     "op2_benchmark_decontamination": benchmark_decontamination,
     "op3_language_id": language_id,
+    "op4_min_max_dedup": min_max_dedup,
     "op5_best_fit_packing": best_fit_packing,
+    "op6_hidden_markov_scores": hidden_markov_scores,
+    "op7_line_deletion_dedup": line_deletion_dedup,
+    "op8_license_windows": license_windows,
+    "op9_suffix_repeats": suffix_repeats,
     "op10_quality_classifier": quality_classifier,
 }
 
@@ -78,4 +120,31 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_line_deletion_dedup": """
+        WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+        line AS (
+            SELECT doc_id, i - 1 AS line_no,
+                   list_filter(regexp_split_to_array(lower(lines[i]), '[ \\t\\x0B\\f\\r]+'), lambda w: w <> '') AS words
+            FROM raw, unnest(range(1, len(lines) + 1)) AS t(i)
+        ),
+        long AS (SELECT doc_id, line_no, words, row_number() OVER (ORDER BY doc_id, line_no) AS place FROM line WHERE len(words) >= 5),
+        class AS (SELECT words, min(place) AS first FROM long GROUP BY words),
+        variant AS (SELECT first, i, len(words) AS n, list_concat(words[1:i - 1], words[i + 1:]) AS rest FROM class, unnest(range(1, len(words) + 1)) AS t(i)),
+        changed AS (SELECT i, rest, min(first) AS least FROM variant GROUP BY i, rest HAVING count(*) > 1),
+        pair AS (
+            SELECT first, least FROM variant JOIN changed USING (i, rest) WHERE least < first
+            UNION ALL
+            SELECT greatest(v.first, c.first), least(v.first, c.first) FROM variant v JOIN class c ON v.rest = c.words
+        ),
+        near AS (SELECT DISTINCT first FROM pair),
+        dropped AS (
+            SELECT doc_id, line_no, place = c.first AS is_near FROM long JOIN class c USING (words)
+            WHERE place > c.first OR c.first IN (SELECT first FROM near)
+        ),
+        of_doc AS (
+            SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE is_near) AS n_near, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS removed
+            FROM dropped GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed
+        FROM raw LEFT JOIN of_doc USING (doc_id)""",
 }
