@@ -105,6 +105,21 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(finite & F.exists("embedding", lambda x: x != 0))
 
 
+def _answers(asked, projections: np.ndarray, k: int):
+    def answer(group: pa.Table) -> pa.Table:
+        """The best of one slice for every query of a block."""
+        vectors = np.array(group["embedding"].combine_chunks().flatten()).reshape(-1, projections.shape[1])
+        index = Slice(group["vec_id"].to_numpy(), vectors, projections)
+        ids, best, distances = [], [], []
+        for query_id, query in asked.value:
+            near, far = index.nearest(query_id, query, k)
+            ids.append(np.full(len(near), query_id)), best.append(near), distances.append(far)
+        columns = [np.concatenate(x) if x else np.zeros(0) for x in (ids, best, distances)]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
+
+    return answer
+
+
 def search(vectors: DataFrame, is_query, k: int = 10, seed: int = 1) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` (Euclidean distance) of the k nearest found of each query.
 
@@ -128,18 +143,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, seed: int = 1) -> DataFram
     for block in range(n_blocks):
         own = queries.where(F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(n_blocks)) == block).collect()
         asked = spark.sparkContext.broadcast([(r["vec_id"], np.array(r["embedding"])) for r in own])
-
-        def answer(group: pa.Table, asked=asked) -> pa.Table:
-            vectors = np.array(group["embedding"].combine_chunks().flatten()).reshape(-1, d)
-            index = Slice(group["vec_id"].to_numpy(), vectors, projections)
-            ids, best, distances = [], [], []
-            for query_id, query in asked.value:
-                near, far = index.nearest(query_id, query, k)
-                ids.append(np.full(len(near), query_id)), best.append(near), distances.append(far)
-            columns = [np.concatenate(x) if x else np.zeros(0) for x in (ids, best, distances)]
-            return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
-
-        part = sliced.groupBy("slice").applyInArrow(answer, _ROWS)
+        part = sliced.groupBy("slice").applyInArrow(_answers(asked, projections, k), _ROWS)
         part = stored(part, "neighbours") if n_blocks > 1 else part
         found = part if found is None else found.unionByName(part)
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

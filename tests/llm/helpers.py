@@ -82,6 +82,7 @@ def lines_to_drop(texts, least=5):
         if abs(len(a) - len(b)) != 1:
             return False
         a, b = sorted((a, b), key=len)
-        return any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+        k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+        return a[k:] == b[k + 1 :]
 
     return {(i, n) for k, (i, n, w) in enumerate(lines) if any(near(w, v) for _, _, v in lines[:k])}
