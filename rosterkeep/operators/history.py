@@ -20,18 +20,12 @@ def append_by_name(history: DataFrame, snapshot: DataFrame) -> DataFrame:
 
     Columns the snapshot lacks become NULL, columns the history lacks are left out, names are compared with case.
     """
-    known = set(history.columns)
-    shared = [name for name in snapshot.columns if name in known]
-    if not shared:
+    place = {name: f"_{i}" for i, name in enumerate(snapshot.columns)}
+    if not place.keys() & set(history.columns):
         raise NothingShared(f"no shared columns between {snapshot.columns} and {history.columns}")
-    have = set(shared)
-    fitted = snapshot.select(
-        *[
-            F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
-            if f.name in have
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in history.schema.fields
-        ]
+    # By place, since headers may differ in case only.
+    fitted = snapshot.toDF(*[f"_{i}" for i in range(len(snapshot.columns))]).select(
+        *[(F.col(place[f.name]) if f.name in place else F.lit(None)).cast(f.dataType).alias(f.name) for f in history.schema.fields]
     )
     return history.union(fitted)
 
@@ -80,4 +74,10 @@ def fold_open(opened: DataFrame | None, snapshots: Iterable[DataFrame], layout:
 def whole_history(rows: DataFrame, layout: Layout, match: str = "binary") -> DataFrame:
     """Every distinct state once, with its latest date and whether it is ``open``, from closed and open rows."""
     carry = [name for name in layout.not_state if name != "updated_date"]
-    return latest_per_key(rows, layout.state_key, ["updated_date"], [*carry, "open"], match)
+    if carry or match != "binary":
+        return latest_per_key(rows, layout.state_key, ["updated_date"], [*carry, "open"], match)
+    # Day and flag in one number: a plain hash aggregate.
+    packed = F.unix_date("updated_date") * 2 + F.col("open").cast("int")
+    newest = rows.groupBy(*layout.state_key).agg(F.max(packed).alias("_newest"))
+    day = F.date_from_unix_date(F.floor(F.col("_newest") / 2).cast("int"))
+    return newest.withColumns({"updated_date": day, "open": F.pmod("_newest", F.lit(2)) == 1}).select(*rows.columns)

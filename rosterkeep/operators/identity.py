@@ -19,8 +19,8 @@ from rosterkeep.model import IDENTITY
 from rosterkeep.operators.keys import same_key
 from rosterkeep.operators.latest import first_per_key
 
-TRIED_LENGTH = 500
-GROUPS_LENGTH = 1000
+#: Lengths texts were cut to before; only on request.
+LEGACY_TRIED, LEGACY_GROUPS = 500, 1000
 
 
 # --- Indexes over the directory -----------------------------------------------------------------------------------
@@ -65,50 +65,26 @@ def alternate_index(directory: DataFrame, principals: DataFrame) -> DataFrame:
 # --- Resolution ---------------------------------------------------------------------------------------------------
 
 
-def _meet(tries: DataFrame, index: DataFrame, common: Sequence[str]) -> DataFrame:
-    """Tries with their index rows.
-
-    The common keys are set apart: the index has at most one row for each, so those rows are broadcast, and the many
-    tries of one such key stay where they are. Where the index has none, Spark does not even read those tries.
-    """
-    if not common:
-        return tries.join(index, same_key(F.col("_key"), F.col("key")))
-    met = tries.where(~F.col("_key").isin(*common)).join(index, same_key(F.col("_key"), F.col("key")))
-    few = F.broadcast(index.where(F.col("key").isin(*common)))
-    return met.unionByName(tries.where(F.col("_key").isin(*common)).join(few, F.col("_key") == F.col("key")))
-
-
-def resolve(accounts: DataFrame, directory: DataFrame, candidates: Sequence[str], common: Sequence[str] = ()) -> DataFrame:
+def resolve(accounts: DataFrame, directory: DataFrame, candidates: Sequence[str]) -> DataFrame:
     """Directory user per distinct (username, email) that leads to one, or to an alternate address.
 
     Result: ``username, email, address, user_id, department, alternate``. ``candidates`` are columns of the accounts, in
-    the order they are tried, NULL where there is none. They are spread out as narrow rows and meet the index by equality; an aggregate then keeps the first hit in candidate order. It is keyed by the account's
-    own values, not by a generated row number, so a task that is run again cannot give other keys. Both joins read the
-    same candidate columns, so the candidates are shuffled once. ``common`` names lookup keys known to be shared by
-    very many accounts.
+    the order they are tried, NULL where there is none. They are spread out as narrow rows and meet one index of both
+    ways to a user by equality, so they are shuffled once; an aggregate then keeps the first hit in candidate order. It
+    is keyed by the account's own values, not by a generated row number, so a task that is run again cannot give other
+    keys. A key that very many accounts try, as the bare ``@domain``, is split by adaptive execution.
     """
     listed = F.posexplode(F.array(*candidates)).alias("pos", "tried")
     tries = accounts.select("username", "email", listed).where("tried is not null").withColumn("_key", lookup_key(F.col("tried")))
     principals = principal_index(directory)
     alternates = alternate_index(directory, principals)
-    hit = "struct<pos:int,address:string,user_id:string,department:string,tried:string>"
-    none = F.lit(None).cast(hit)
-    direct = _meet(tries, principals, common).select(
-        "username",
-        "email",
-        F.struct("pos", F.col("tried").alias("address"), "user_id", "department", "tried").cast(hit).alias("_direct"),
-        none.alias("_alternate"),
-    )
-    led = _meet(tries, alternates, common).select(
-        "username",
-        "email",
-        none.alias("_direct"),
-        F.struct("pos", "address", "user_id", "department", "tried").cast(hit).alias("_alternate"),
-    )
+    index = principals.select("key", F.lit(None).cast("string").alias("address"), "user_id", "department", F.lit(False).alias("led"))
+    index = index.unionByName(alternates.select("key", "address", "user_id", "department", F.lit(True).alias("led")))
+    hit = F.struct("pos", F.when(F.col("led"), F.col("address")).otherwise(F.col("tried")).alias("address"), "user_id", "department", "tried")
     first = (
-        direct.unionByName(led)
+        tries.join(index, same_key(F.col("_key"), F.col("key")))
         .groupBy("username", "email")
-        .agg(F.min("_direct").alias("_direct"), F.min("_alternate").alias("_alternate"))
+        .agg(F.min(F.when(~F.col("led"), hit)).alias("_direct"), F.min(F.when(F.col("led"), hit)).alias("_alternate"))
     )
     alternate = F.when(strip(F.col("_alternate.address")) != "", F.col("_alternate"))
     return (
@@ -139,25 +115,24 @@ def managers(manager_edges: DataFrame, directory: DataFrame) -> DataFrame:
     )
 
 
-def joined_in_order(edges: DataFrame, key: str, value: str, order: list[str], length: int) -> DataFrame:
-    """``key`` with its values joined by ``", "`` in order, cut to ``length`` characters.
+def joined_in_order(edges: DataFrame, key: str, value: str, order: list[str], length: int | None = None) -> DataFrame:
+    """``key`` with its values joined by ``", "`` in order (A7, I9, J11), whole or cut to ``length`` characters.
 
-    Each value but the first brings a separator of two characters, so a value that half the length and more come
-    before lies behind the cut. Only the others are gathered; Spark applies that rank limit before the shuffle too. The
-    text is exact and no group is gathered whole.
+    Where it is cut: each value but the first brings a separator of two characters, so a value that half the length
+    and more come before lies behind the cut. Only the others are gathered; Spark applies that rank limit before the
+    shuffle too.
     """
-    reach = (length + 1) // 2 + 1
-    rank = Window.partitionBy(key).orderBy(*order, value)
-    leading = (
-        edges.where(F.col(value).isNotNull())
-        .withColumn("_rank", F.row_number().over(rank))
-        .where(F.col("_rank") <= reach)
-    )
-    gathered = leading.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(value).cast("string").alias("_value")))).alias("_list"))
-    return gathered.select(key, cut(F.array_join(F.col("_list._value"), ", "), length).alias(f"{value}s"))
+    listed = edges.where(F.col(value).isNotNull())
+    if length is not None:
+        rank = F.row_number().over(Window.partitionBy(key).orderBy(*order, value))
+        listed = listed.withColumn("_rank", rank).where(F.col("_rank") <= (length + 1) // 2 + 1)
+    entry = F.struct(*order, F.col(value).alias("_plain"), F.col(value).cast("string").alias("_value"))
+    gathered = listed.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_list"))
+    text = F.array_join(F.col("_list._value"), ", ")
+    return gathered.select(key, (text if length is None else cut(text, length)).alias(f"{value}s"))
 
 
-def group_text(group_edges: DataFrame, length: int = GROUPS_LENGTH) -> DataFrame:
+def group_text(group_edges: DataFrame, length: int | None = None) -> DataFrame:
     """``user_id, groups``: group ids of a user as text."""
     text = joined_in_order(group_edges.where("user_id is not null"), "user_id", "group_id", ["pos"], length)
     return text.withColumnRenamed("group_ids", "groups")
@@ -174,16 +149,19 @@ def identity_status(
     run_date: dt.date,
     suffix: str,
     domain: str,
+    legacy_truncate: bool = False,
 ) -> DataFrame:
     """One row per member row, found or not (I7, I8). ``directory_id`` is added for comparing all groups later.
 
-    Every account without an e-mail tries the bare ``@domain``, so that key is named as a common one. Manager and groups
-    are joined to the accounts that were found only; accounts without a directory user never meet under a NULL id.
+    The addresses tried and the groups are whole texts, so that the history sees every change of them;
+    ``legacy_truncate`` cuts them to the former lengths. Manager and groups are joined to the accounts that were found
+    only; accounts without a directory user never meet under a NULL id.
     """
     tried = with_candidates(members.select("username", "email", "name"), suffix, domain)
-    found = resolve(tried, directory, CANDIDATES, [f"@{domain}".lower()])
+    found = resolve(tried, directory, CANDIDATES)
+    groups = group_text(group_edges, LEGACY_GROUPS if legacy_truncate else None)
     # Both have one row per user and the same partitioning, so that join shuffles nothing.
-    profiles = managers(manager_edges, directory).join(group_text(group_edges), "user_id", "full").withColumnRenamed("user_id", "_id")
+    profiles = managers(manager_edges, directory).join(groups, "user_id", "full").withColumnRenamed("user_id", "_id")
     profile = found.join(profiles, same_key(F.col("user_id"), F.col("_id")), "left").withColumnsRenamed(
         {"username": "_username", "email": "_email"}
     )
@@ -194,8 +172,9 @@ def identity_status(
     )
     alternate = F.lower("alternate")
     known = reduce(or_, [F.lower(name).eqNullSafe(alternate) for name in CANDIDATES])
+    emails_tried = F.concat_ws(", ", *CANDIDATES, F.when(~known, F.col("alternate")))
     row = {
-        "emails_tried": cut(F.concat_ws(", ", *CANDIDATES, F.when(~known, F.col("alternate"))), TRIED_LENGTH),
+        "emails_tried": cut(emails_tried, LEGACY_TRIED) if legacy_truncate else emails_tried,
         "entra_status": F.col("address").isNotNull(),
         "manager_email": blank_to_null(F.col("manager_email")),
         "manager_department": blank_to_null(F.col("manager_department")),

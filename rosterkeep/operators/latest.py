@@ -19,9 +19,8 @@ def latest_per_key(
     """One row per distinct key: the one with the greatest ``order``, with its ``carry`` columns.
 
     NULL keys are equal to each other, a NULL order is the lowest, ties go to the greatest ``carry``. It is an
-    aggregate, so copies are merged before the shuffle and a key that holds a third of the rows is no hot spot. With a
-    single order column the copies of a row are first merged by a hash aggregate; an aggregate that has to carry
-    text is a sort in Spark, and it then sees each distinct row once.
+    aggregate, so copies are merged before the shuffle and a key that holds a third of the rows is no hot spot, and there
+    is one shuffle, on the key.
 
     ``match="caseless"`` compares text keys as a case-insensitive, blank-padding collation does; the texts shown are
     then those of the newest row.
@@ -34,10 +33,8 @@ def latest_per_key(
         by = [f"_k_{name}" if name in text else name for name in key]
         newest = latest_per_key(grouped, by, order, [*carry, *shown])
         return newest.select(*columns)
-    if len(order) == 1:
-        df = df.groupBy(*key, *carry).agg(F.max(order[0]).alias(order[0]))
-        if not carry:
-            return df.select(*columns)
+    if len(order) == 1 and not carry:
+        return df.groupBy(*key).agg(F.max(order[0]).alias(order[0])).select(*columns)
     kept = [*order, *carry]
     newest = df.groupBy(*key).agg(F.max(F.struct(*kept)).alias("_newest"))
     return newest.select(*key, *[F.col("_newest")[name].alias(name) for name in kept]).select(*columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterkeep.functions.text import caseless
 from rosterkeep.operators.keys import same_key
@@ -12,15 +12,27 @@ SIZE = "decimal(28,6)"
 
 
 def storage_by_owner(items: DataFrame, match: str = "binary") -> DataFrame:
-    """Total feature storage per owner; an owner whose sizes are all NULL has a NULL total (A1)."""
+    """Total feature storage per owner (A1): ``_owner``, ``_total`` and ``_beyond``.
+
+    Sizes that no decimal holds, as infinite ones, are added in ``_beyond``, NULL without any. An owner whose sizes are
+    all NULL has NULL in both.
+    """
     owner = caseless(F.col("owner")) if match == "caseless" else F.col("owner")
+    size = F.col("feature_storage_size")
+    exact = size.try_cast(SIZE)
     return (
         items.where("owner is not null")
         .groupBy(owner.alias("_owner"))
-        .agg(F.sum(F.col("feature_storage_size").try_cast(SIZE)).alias("_total"))
+        .agg(F.sum(exact).alias("_total"), F.sum(F.when(exact.isNull(), size.cast("double"))).alias("_beyond"))
     )
 
 
+def total_size(times: Column) -> Column:
+    """The whole total as a double, each size counted so many ``times``."""
+    exact = (F.col("_total") * times).cast("double")
+    return F.when(F.col("_beyond").isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + F.col("_beyond") * times)
+
+
 def over_quota(members: DataFrame, items: DataFrame, quota_mb: float, match: str = "binary") -> DataFrame:
     """Members whose items together exceed the quota, largest first (L5: J1, A1, P10, O1).
 
@@ -28,9 +40,9 @@ def over_quota(members: DataFrame, items: DataFrame, quota_mb: float, match: str
     occurs n times counts its items n times, as joining row by row would.
     """
     limit = F.lit(str(quota_mb)).cast(SIZE)
-    totals = storage_by_owner(items, match).where("_total is not null")
+    totals = storage_by_owner(items, match).where("_total is not null or _beyond is not null")
     if quota_mb >= 0:
-        totals = totals.where("_total > 0")
+        totals = totals.where("_total > 0 or _beyond > 0")
     named = members.where("username is not null")
     if match == "caseless":
         shown = [F.min(name).alias(name) for name in ("username", "email", "name")]
@@ -40,10 +52,10 @@ def over_quota(members: DataFrame, items: DataFrame, quota_mb: float, match: str
     else:
         people = named.groupBy("username", "email", "name").agg(F.count(F.lit(1)).alias("_n"))
         user = F.col("username")
-    total = F.col("_total") * F.col("_n")
+    above = F.when(F.col("_beyond").isNull(), F.col("_total") * F.col("_n") > limit).otherwise(total_size(F.col("_n")) > quota_mb)
     return (
         people.join(totals, same_key(user, F.col("_owner")))
-        .where(total > limit)
-        .select("username", "email", "name", total.cast("double").alias("total_feature_storage_mb"))
+        .where(above)
+        .select("username", "email", "name", total_size(F.col("_n")).alias("total_feature_storage_mb"))
         .orderBy(F.desc("total_feature_storage_mb"), "username", "email", "name")
     )

@@ -93,19 +93,24 @@ def state(t: Tables) -> DataFrame:
 
 
 def state_identity(t: Tables) -> DataFrame:
-    """Identity rows of the accounts: affiliated or not by nation, some users without a row; the segment is the group."""
+    """Identity rows of the accounts: affiliated, not, or unknown by nation; the segment is the group.
+
+    Rows of some unknown ones have no user name, so their accounts have no identity row.
+    """
     affiliated = F.when(F.col("c_nationkey") % 3 == 0, False).when(F.col("c_nationkey") % 3 == 1, True)
+    named = affiliated.isNotNull() | (F.col("c_custkey") % 2 == 1)
     return t.customer.select(
-        text("c_custkey").alias("username"),
+        F.when(named, text("c_custkey")).alias("username"),
         affiliated.alias("entra_status"),
         F.col("c_mktsegment").alias("groups"),
         text("c_custkey").alias("directory_id"),
         F.lit(RUN_DATE).alias("updated_date"),
-    ).where("entra_status is not null")
+    )
 
 
 def urgent_items(t: Tables) -> DataFrame:
-    return order_items(t).where(F.col("item_type") == "1-URGENT")
+    """Orders as items; those that are not urgent belong to nobody."""
+    return order_items(t).withColumn("owner", F.when(F.col("item_type") == "1-URGENT", F.col("owner")))
 
 
 def segment_whitelist(t: Tables) -> DataFrame:
@@ -148,6 +153,16 @@ def group_edges(t: Tables) -> DataFrame:
     )
 
 
+def many_groups(t: Tables) -> DataFrame:
+    """Orders as memberships, and the lines of a supplier as memberships of the customer of the same number."""
+    lines = t.lineitem.select(
+        text("l_suppkey").alias("user_id"),
+        F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("group_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber") + 100_000).cast("int").alias("pos"),
+    )
+    return group_edges(t).unionByName(lines)
+
+
 def accounts(t: Tables) -> DataFrame:
     """Customers and suppliers as members to resolve; every fifth has no e-mail, suppliers are not in the directory."""
     people = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.lit("M").alias("mark")).union(

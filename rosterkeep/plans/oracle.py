@@ -34,8 +34,8 @@ facts AS (
   SELECT c_custkey::VARCHAR AS username,
          CASE c_nationkey % 3 WHEN 0 THEN FALSE WHEN 1 THEN TRUE END AS entra_status,
          c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AS empty,
-         c_nationkey % 3 = 1 AND c_mktsegment IN ('BUILDING', 'MACHINERY') AS whitelisted
-  FROM customer
+         c_nationkey % 3 = 1 AND c_mktsegment IN ('BUILDING', 'MACHINERY') AS whitelisted, unnamed
+  FROM (SELECT *, c_nationkey % 3 = 2 AND c_custkey % 2 = 0 AS unnamed FROM customer)
 )"""
 
 _MOVED = f"""
@@ -166,15 +166,16 @@ resolved AS (
 _STATUS = f"""
 {_RESOLVED},
 tried AS (SELECT username, string_agg(tried, ', ' ORDER BY pos) AS tried FROM tries GROUP BY username),
-memberships AS (
-  SELECT o_custkey::VARCHAR AS user_id, string_agg(o_orderkey::VARCHAR, ', ' ORDER BY o_orderdate::DATE, o_orderkey::VARCHAR) AS groups
-  FROM orders GROUP BY o_custkey
+many AS (
+  SELECT o_custkey::VARCHAR AS user_id, o_orderkey::VARCHAR AS group_id, datediff('day', DATE '1990-01-01', o_orderdate::DATE) AS pos FROM orders
+  UNION ALL SELECT l_suppkey::VARCHAR, l_orderkey || '-' || l_linenumber, l_orderkey * 10 + l_linenumber + 100000 FROM lineitem
 ),
+memberships AS (SELECT user_id, string_agg(group_id, ', ' ORDER BY pos, group_id) AS groups FROM many GROUP BY user_id),
 status AS (
   SELECT r.username, r.email, r.name,
-         substr(t.tried || coalesce(', ' || r.alternate, ''), 1, 500) AS emails_tried,
+         t.tried || coalesce(', ' || r.alternate, '') AS emails_tried,
          r.address IS NOT NULL AS entra_status, boss.mail AS manager_email, boss.department AS manager_department,
-         r.department AS user_department, r.address AS working_email, substr(g.groups, 1, 1000) AS groups,
+         r.department AS user_department, r.address AS working_email, g.groups,
          '2001-08-01' AS updated_date, r.user_id AS directory_id
   FROM resolved r JOIN tried t ON r.username = t.username
   LEFT JOIN directory boss ON boss.pos = r.user_id::BIGINT + 750
@@ -200,6 +201,15 @@ ORACLE: dict[str, str] = {
     "over_quota_report": f"{_QUOTA} SELECT * FROM report",
     "storage_by_owner": """
         SELECT o_custkey::VARCHAR AS owner, sum(o_totalprice::DECIMAL(28,6))::DOUBLE AS total_mb FROM orders GROUP BY o_custkey""",
+    "over_quota_beyond_decimals": f"""
+        WITH {_MEMBERS},
+        sized AS (
+          SELECT o_custkey::VARCHAR AS owner, CASE WHEN o_orderkey % 1000 IN (1, 2) OR o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice::DECIMAL(28,6) END AS size,
+                 CASE o_orderkey % 1000 WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN 1e23::DOUBLE END AS beyond FROM orders),
+        totals AS (SELECT owner, sum(size) AS total, sum(beyond) AS beyond FROM sized GROUP BY owner)
+        SELECT username, email, name,
+               CASE WHEN beyond IS NULL THEN total::DOUBLE ELSE coalesce(total::DOUBLE, 0) + beyond END AS total_feature_storage_mb
+        FROM members JOIN totals ON username = owner WHERE CASE WHEN beyond IS NULL THEN total > 3700000 ELSE true END""",
     "latest_snapshot": """
         SELECT event_type, event_id, user_id, value FROM events
         QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1""",
@@ -265,6 +275,18 @@ ORACLE: dict[str, str] = {
     "history_incremental": _IDENTITY_HISTORY,
     "history_compacted": _IDENTITY_HISTORY,
     "streaming_intake": _IDENTITY_HISTORY,
+    "streaming_rewritten": _IDENTITY_HISTORY,
+    "report_parts": """
+        SELECT o_custkey::VARCHAR AS username, CASE WHEN o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW' THEN o_orderpriority END AS role,
+               o_orderstatus AS login_type FROM orders""",
+    "written_reports": f"{_QUOTA} SELECT * FROM report",
+    "directory_exports": f"""
+        WITH {_DIRECTORY} SELECT key, user_id, p.department, boss.mail AS manager_email
+        FROM principals p LEFT JOIN directory boss ON boss.pos = user_id::BIGINT + 750""",
+    "whitelist_export": """
+        SELECT c_custkey::VARCHAR AS username, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AS whitelisted FROM customer""",
+    "template_files": f"""
+        {_QUEUE} SELECT username, subject, '[quota]' || chr(10) || body AS body FROM queue WHERE kind = 'quota'""",
     "users_without_items": """
         SELECT DISTINCT c_custkey::VARCHAR AS username FROM customer LEFT JOIN events ON c_custkey = user_id
         WHERE event_id IS NULL OR (event_type = 'error' AND value > 200)""",
@@ -287,7 +309,7 @@ ORACLE: dict[str, str] = {
     "whitelist_match_edges": """
         SELECT c_custkey::VARCHAR AS username, r_name = 'ASIA' AS whitelisted
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
-    "account_facts": f"WITH {_FACTS} SELECT username, entra_status, empty, coalesce(whitelisted, FALSE) AS whitelisted FROM facts WHERE entra_status IS NOT NULL OR empty",
+    "account_facts": f"WITH {_FACTS} SELECT username, entra_status, empty, coalesce(whitelisted, FALSE) AS whitelisted FROM facts WHERE NOT unnamed OR empty",
     "lifecycle_transition": f"""
         {_MOVED} SELECT username, old_status, rule, delete_status, flag_date::VARCHAR AS flag_date,
                delete_date::VARCHAR AS delete_date, override FROM moved""",
@@ -317,7 +339,17 @@ ORACLE: dict[str, str] = {
     "group_concat_truncated": """
         SELECT l_orderkey, substr(string_agg(l_partkey::VARCHAR, ', ' ORDER BY l_linenumber, l_partkey), 1, 30) AS parts
         FROM lineitem GROUP BY l_orderkey""",
+    "group_concat": """
+        SELECT l_orderkey, string_agg(l_partkey::VARCHAR, ', ' ORDER BY l_linenumber, l_partkey) AS parts FROM lineitem GROUP BY l_orderkey""",
     "identity_resolution": f"{_STATUS} SELECT * FROM status",
+    "identity_resolution_legacy": f"""
+        {_STATUS} SELECT * REPLACE (substr(emails_tried, 1, 500) AS emails_tried, substr(groups, 1, 1000) AS groups) FROM status""",
+    "history_late_group": f"""
+        {_STATUS}, late AS (SELECT user_id, max(pos) AS pos FROM many GROUP BY user_id),
+        early AS (SELECT m.user_id, string_agg(group_id, ', ' ORDER BY m.pos, group_id) AS groups
+                  FROM many m JOIN late l ON m.user_id = l.user_id AND m.pos < l.pos GROUP BY m.user_id)
+        SELECT user_id AS username, groups, '2001-07-01' AS updated_date FROM early
+        UNION ALL SELECT user_id, groups, '2001-08-01' FROM memberships""",
     "identity_errors": """
         SELECT c_name AS name FROM customer WHERE c_custkey % 5 = 0
         UNION ALL SELECT s_name FROM supplier WHERE s_suppkey % 5 = 0""",
@@ -350,4 +382,34 @@ ORACLE: dict[str, str] = {
                  WHEN directory_id IN (SELECT user_id FROM urgent) THEN 'R4' ELSE 'R5' END AS rule FROM status)
         SELECT username, working_email, rule, CASE rule WHEN 'R2' THEN 2 WHEN 'R4' THEN 0 ELSE 1 END AS delete_status,
                CASE WHEN rule <> 'R4' THEN '2001-08-01' END AS flag_date FROM ruled""",
+    "second_run": f"""
+        {_STATUS},
+        owned AS (SELECT c_name || '_ORG' AS owner, o_totalprice AS size, c_custkey % 2 = 0 AS still FROM customer JOIN orders ON c_custkey = o_custkey),
+        urgent AS (SELECT DISTINCT o_custkey::VARCHAR AS user_id FROM orders WHERE o_orderpriority = '1-URGENT'),
+        first AS (
+          SELECT s.*, directory_id IN (SELECT user_id FROM urgent) AS listed,
+                 CASE WHEN username NOT IN (SELECT owner FROM owned) THEN 'R2' WHEN NOT entra_status THEN 'R3'
+                      WHEN directory_id IN (SELECT user_id FROM urgent) THEN 'R4' ELSE 'R5' END AS rule FROM status s),
+        state AS (
+          SELECT *, CASE rule WHEN 'R2' THEN 2 WHEN 'R4' THEN 0 ELSE 1 END AS old_status,
+                 CASE WHEN rule <> 'R4' THEN DATE '2001-08-01' END AS flagged FROM first),
+        asked AS (SELECT DISTINCT trim(working_email) AS address FROM state WHERE old_status = 1 AND username LIKE '%7_ORG'),
+        ruled AS (
+          SELECT *, CASE WHEN trim(working_email) IN (SELECT address FROM asked WHERE address IS NOT NULL) THEN 'R1'
+                         WHEN username NOT IN (SELECT owner FROM owned WHERE still) THEN 'R2'
+                         WHEN old_status = 0 AND NOT entra_status THEN 'R3' WHEN old_status = 0 AND listed THEN 'R4'
+                         WHEN old_status = 0 THEN 'R5' WHEN old_status = 1 THEN 'R7' ELSE 'R8' END AS second FROM state),
+        moved AS (
+          SELECT *, CASE WHEN second IN ('R1', 'R4') THEN 0 WHEN second IN ('R3', 'R5') THEN 1 WHEN second IN ('R2', 'R7') THEN 2 ELSE old_status END AS new_status,
+                 CASE WHEN second IN ('R1', 'R4') THEN NULL WHEN second IN ('R2', 'R3', 'R5') THEN DATE '2001-09-05' ELSE flagged END AS flag_date FROM ruled),
+        over AS (
+          SELECT username, email, sum(size::DECIMAL(28,6)) AS total FROM accounts JOIN owned ON username = owner AND still
+          GROUP BY username, email HAVING sum(size::DECIMAL(28,6)) > 3700000)
+        SELECT 'move' AS part, username, concat_ws(' ', second, old_status, new_status, flag_date::VARCHAR) AS value FROM moved
+        UNION ALL SELECT 'delete', username, NULL FROM (SELECT DISTINCT username FROM moved WHERE new_status = 2)
+        UNION ALL SELECT 'quota', username, total::DECIMAL(28,2)::VARCHAR FROM over
+        UNION ALL SELECT 'notice', username, CASE new_status WHEN 2 THEN 'delete ' ELSE 'flag ' END || coalesce(trim(working_email), 'no recipient address')
+          FROM moved WHERE new_status IN (1, 2)
+        UNION ALL SELECT 'notice', username, concat_ws(' ', 'quota', coalesce(email, 'no recipient address')) FROM over
+        UNION ALL SELECT 'history', owner, count(*)::VARCHAR FROM owned GROUP BY owner""",
 }

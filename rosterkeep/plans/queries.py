@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterkeep.functions import addresses, templates, text as tx, typing as ty
-from rosterkeep.model import IDENTITY, ITEMS, MEMBERS, Field, Layout, kind_column
+from rosterkeep.model import IDENTITY, ITEMS, MEMBERS, OVER_QUOTA, Field, Layout, kind_column
 from rosterkeep.operators import contacts, history, identity, latest, lifecycle, notify, quota
 from rosterkeep.operators.keys import mark_listed, missing_from
 from rosterkeep.plans import bindings as b, runs
 from rosterkeep.plans.bindings import DOMAIN, QUOTA, RUN_DATE, SUFFIX, Tables, text
-from rosterkeep.sources import paths, reports
+from rosterkeep.sources import directory, paths, reports
 from rosterkeep.sources.store import Store, typed_scan
-from rosterkeep.sources.templates import DEFAULT_TEMPLATES
+from rosterkeep.sources.templates import DEFAULT_TEMPLATES, read_templates
 from rosterkeep.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,10 +60,18 @@ def over_quota_report(t):
 def storage_by_owner(t):
     """A1: total per owner."""
     return quota.storage_by_owner(b.order_items(t)).select(
-        F.col("_owner").alias("owner"), F.col("_total").cast("double").alias("total_mb")
+        F.col("_owner").alias("owner"), quota.total_size(F.lit(1)).alias("total_mb")
     )
 
 
+@query
+def over_quota_beyond_decimals(t):
+    """Sizes that no decimal holds, infinite ones among them, count too."""
+    order = F.col("item_id").cast("long")
+    size = F.when(order % 1000 == 1, F.lit(float("inf"))).when(order % 1000 == 2, F.lit(1e23)).when(order % 7 != 0, F.col("feature_storage_size"))
+    return quota.over_quota(b.members(t), b.order_items(t).withColumn("feature_storage_size", size), QUOTA)
+
+
 # --- Scans and sources --------------------------------------------------------------------------------------------
 
 
@@ -129,6 +138,74 @@ def report_intake(t):
     return dates_as_text(back.select("username", "role", "login_type", "available_credits", "updated_date"))
 
 
+@query
+def report_parts(t):
+    """A report of two part files with the columns in another order, and one more."""
+    folder = paths.scratch(t.spark, "parts")
+    rows = b.member_rows(t).select("username", "role", "login_type", "updated_date")
+    done = F.coalesce(F.col("login_type") == "F", F.lit(False))
+    reports.write_csv(rows.where(done).select("login_type", "username"), f"{folder}/a", MEMBERS)
+    reports.write_csv(rows.where(~done).select("username", "role", "login_type"), f"{folder}/b", MEMBERS)
+    back = reports.read_text_columns(t.spark, [f"{folder}/a", f"{folder}/b"], MEMBERS)
+    return back.select("username", "role", "login_type")
+
+
+@query
+def written_reports(t):
+    """Quota reports of two dates written, the newest one found and read."""
+    folder = paths.scratch(t.spark, "reports")
+    for days, limit in ((1, QUOTA), (0, QUOTA / 2)):
+        report = quota.over_quota(b.members(t), b.order_items(t), limit)
+        reports.write_csv(report, f"{folder}/{reports.dated_name('UsersOverQuota', RUN_DATE + runs.dt.timedelta(days=days))}", OVER_QUOTA)
+    newest = reports.read_text_columns(t.spark, reports.newest_dated_path(t.spark, folder, "UsersOverQuota"), OVER_QUOTA)
+    return ty.apply_types(newest, OVER_QUOTA).select("username", "email", "name", "total_feature_storage_mb")
+
+
+def _exported(t, df: DataFrame, name: str) -> str:
+    path = paths.scratch(t.spark, name)
+    df.write.json(path)
+    return path
+
+
+def _read_directory(t) -> runs.Directory:
+    """The directory's exports written as files and read."""
+    listed = t.orders.select(text("o_orderkey").alias("id"), F.when(F.col("o_orderpriority") == "1-URGENT", "on the list").alias("name"))
+    people = b.directory(t).withColumn("display_name", F.lit("anyone"))
+    return runs.Directory(
+        directory.read_directory(t.spark, _exported(t, people, "users")),
+        directory.read_manager_edges(t.spark, _exported(t, b.manager_edges(t), "managers")),
+        directory.read_group_edges(t.spark, _exported(t, b.group_edges(t), "groups")),
+        directory.read_whitelist(t.spark, _exported(t, listed.where("name is not null"), "whitelist")),
+    )
+
+
+@query
+def directory_exports(t):
+    """Users and manager edges from files, as the index and the managers made of them."""
+    exports = _read_directory(t)
+    found = identity.principal_index(exports.users).join(identity.managers(exports.manager_edges, exports.users), "user_id", "left")
+    return found.select("key", "user_id", "department", "manager_email")
+
+
+@query
+def whitelist_export(t):
+    """Customers in a whitelisted group, edges and whitelist from files."""
+    exports = _read_directory(t)
+    people = b.members(t).select("username", F.lit(True).alias("entra_status"), F.col("username").alias("directory_id"), F.lit(RUN_DATE).alias("updated_date"))
+    facts = lifecycle.account_facts(people, people.select("username").where("username is null"), exports.whitelist, exports.group_edges)
+    return facts.select(F.substring("_user", 2, 20).alias("username"), "whitelisted")
+
+
+@query
+def template_files(t):
+    """Templates from files, filled per customer."""
+    folder = paths.scratch(t.spark, "templates")
+    for kind, template in DEFAULT_TEMPLATES.items():
+        paths.write_text(t.spark, f"{folder}/{kind}.txt", f"[{kind}]\n{template.body}")
+    report = quota.over_quota(b.members(t), b.order_items(t), QUOTA)
+    return notify.quota_notices(report, read_templates(t.spark, folder), QUOTA).select("username", "subject", "body")
+
+
 @query
 def projected_scan(t):
     """A kind's table by name, missing columns NULL."""
@@ -195,7 +272,7 @@ def unreadable_values(t):
 @query
 def blank_test(t):
     """Blank conversation texts and what is left of them."""
-    padded = F.when(F.col("role") == "user", F.concat(F.lit("\t "), F.col("text"), F.lit(" \n"))).otherwise(F.lit(" \t\n"))
+    padded = F.when(F.col("role") == "user", F.concat(F.lit("\t "), F.col("text"), F.lit(" \n"))).otherwise(F.regexp_replace("text", r"\S", " "))
     return t.conversations.select(
         "conv_id", "turn", tx.is_blank(padded).alias("blank"), tx.strip(tx.blank_to_null(padded)).alias("stripped")
     )
@@ -255,7 +332,8 @@ IDENTITY_SHOWN = ["username", "manager_email", "entra_status", "updated_date"]
 def history_items(t):
     """H3, H6: two pending snapshots folded into an item history at once."""
     rows = b.item_rows(t)
-    parts = [rows.where(F.col("item_type") == flag) for flag in ("A", "N", "R")]
+    flags = [F.coalesce(F.col("item_type") == flag, F.lit(False)) for flag in ("A", "N")]
+    parts = [rows.where(part) for part in (*flags, ~flags[0] & ~flags[1])]
     return _shown(history.fold(parts[0], parts[1:], ITEMS), ITEM_SHOWN)
 
 
@@ -277,7 +355,7 @@ def history_incremental(t):
     store = Store(t.spark, paths.scratch(t.spark, "history"))
     rows = b.identity_rows(t)
     config = runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA)
-    early = F.col("updated_date") < F.lit("1997-01-01").cast("date")
+    early = F.coalesce(F.col("updated_date") < F.lit("1997-01-01").cast("date"), F.lit(False))
     for part, date in ((early, "1996-12-31"), (~early, "2001-07-31")):
         store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
         runs.fold_history(store, config, "identity")
@@ -290,7 +368,7 @@ def history_compacted(t):
     store = Store(t.spark, paths.scratch(t.spark, "history"))
     rows = b.identity_rows(t)
     config = runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA)
-    early = F.col("updated_date") < F.lit("1997-01-01").cast("date")
+    early = F.coalesce(F.col("updated_date") < F.lit("1997-01-01").cast("date"), F.lit(False))
     for part, date in ((~early, "2001-07-30"), (early, "2001-07-31")):
         store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
         runs.fold_history(store, config, "identity")
@@ -300,14 +378,29 @@ def history_compacted(t):
 
 @query
 def streaming_intake(t):
-    """§2.12: snapshot files folded by a file stream, each once."""
+    """§2.12: snapshots folded by a stream of their records, each once."""
     store = Store(t.spark, paths.scratch(t.spark, "stream"))
     rows = b.identity_rows(t)
+    config = runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA)
     marks = paths.scratch(t.spark, "marks")
-    early = F.col("updated_date") < F.lit("1997-01-01").cast("date")
+    early = F.coalesce(F.col("updated_date") < F.lit("1997-01-01").cast("date"), F.lit(False))
     for part, date in ((early, "1996-12-31"), (~early, "2001-07-31")):
         store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
-        intake.fold_new_files(store, "identity", marks).awaitTermination()
+        intake.fold_new_snapshots(store, config, "identity", marks).awaitTermination()
+    return _shown(store.history("identity"), IDENTITY_SHOWN)
+
+
+@query
+def streaming_rewritten(t):
+    """§2.12: a date that is written again between two folds counts by its last writing."""
+    store = Store(t.spark, paths.scratch(t.spark, "stream"))
+    rows = b.identity_rows(t)
+    marks = paths.scratch(t.spark, "marks")
+    first = rows.withColumn("manager_email", F.concat(F.lit("first "), F.col("manager_email")))
+    for part, run_date in ((first, RUN_DATE), (rows, RUN_DATE + runs.dt.timedelta(days=1))):
+        store.write_snapshot("identity", RUN_DATE, part)
+        config = runs.RunConfig(run_date, SUFFIX, DOMAIN, QUOTA)
+        intake.fold_new_snapshots(store, config, "identity", marks).awaitTermination()
     return _shown(store.history("identity"), IDENTITY_SHOWN)
 
 
@@ -324,8 +417,9 @@ def users_without_items(t):
 def users_without_items_caseless(t):
     """J2 under a case-insensitive comparison: suppliers by name."""
     people = t.supplier.select(F.upper("s_name").alias("username"))
-    things = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).where("l_quantity >= 50 and l_discount = 0")
-    owned = things.select(text("l_orderkey").alias("item_id"), F.concat("s_name", F.lit(" ")).alias("owner"))
+    things = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    full = (F.col("l_quantity") >= 50) & (F.col("l_discount") == 0)
+    owned = things.select(text("l_orderkey").alias("item_id"), F.when(full, F.concat("s_name", F.lit(" "))).alias("owner"))
     return lifecycle.users_without_items(people, owned, match="caseless")
 
 
@@ -492,7 +586,7 @@ def alternate_addresses(t):
 def address_resolution(t):
     """I4, J8."""
     tried = addresses.with_candidates(b.accounts(t), SUFFIX, DOMAIN)
-    return identity.resolve(tried, b.directory(t), addresses.CANDIDATES, ["@" + DOMAIN]).select("username", "address", "user_id", "alternate")
+    return identity.resolve(tried, b.directory(t), addresses.CANDIDATES).select("username", "address", "user_id", "alternate")
 
 
 @query
@@ -509,12 +603,42 @@ def group_concat_truncated(t):
 
 
 @query
-def identity_resolution(t):
-    """The whole status table."""
-    status = identity.identity_status(
-        b.accounts(t), b.directory(t), b.manager_edges(t), b.group_edges(t), RUN_DATE, SUFFIX, DOMAIN
+def group_concat(t):
+    """Part keys of an order in line order, all of them."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"))
+    return identity.joined_in_order(lines, "l_orderkey", "part", ["l_linenumber"])
+
+
+def _status(t, legacy_truncate: bool) -> DataFrame:
+    """Every part of a supplier is a group of the first customers too, so that some texts are long."""
+    return identity.identity_status(
+        b.accounts(t), b.directory(t), b.manager_edges(t), b.many_groups(t), RUN_DATE, SUFFIX, DOMAIN, legacy_truncate
     )
-    return dates_as_text(status)
+
+
+@query
+def identity_resolution(t):
+    """The whole status table, with users of very many groups."""
+    return dates_as_text(_status(t, False))
+
+
+@query
+def identity_resolution_legacy(t):
+    """The same with texts cut to the former lengths."""
+    return dates_as_text(_status(t, True))
+
+
+@query
+def history_late_group(t):
+    """H5: only the last of very many groups changes; that is a state of its own."""
+    edges = b.many_groups(t)
+    last = edges.groupBy("user_id").agg(F.max("pos").alias("_last"))
+    marked = edges.join(last, "user_id").withColumn("late", F.col("pos") == F.col("_last"))
+    rows = []
+    for day, part in (("2001-07-01", marked.where("not late")), ("2001-08-01", marked)):
+        groups = identity.group_text(part.select("user_id", "group_id", "pos"))
+        rows.append(b.in_layout(groups.select(F.col("user_id").alias("username"), "groups", F.lit(day).cast("date").alias("updated_date")), IDENTITY))
+    return dates_as_text(history.fold(rows[0], rows[1:], IDENTITY).select("username", "groups", "updated_date"))
 
 
 @query
@@ -586,22 +710,57 @@ def template_fill(t):
 # --- Whole run ----------------------------------------------------------------------------------------------------
 
 
-@query
-def whole_run(t):
-    """All steps from CSV reports to the new state, accounts resolved to the directory."""
-    spark, root = t.spark, paths.scratch(t.spark, "run")
-    folder = f"{root}/incoming"
+def _deliver(t, root: str, date: str, share) -> str:
+    """Reports of a date: all accounts; orders as items, of which only a ``share`` has an owner."""
+    folder = f"{root}/incoming-{date}"
     people = b.in_layout(b.accounts(t), MEMBERS)
-    owned = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    owned = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         text("o_orderkey").alias("item_id"),
-        F.concat("c_name", F.lit("_ORG")).alias("owner"),
+        F.when(share, F.concat("c_name", F.lit("_ORG"))).alias("owner"),
         F.col("o_totalprice").alias("feature_storage_size"),
         F.col("o_orderdate").alias("date_created"),
     )
-    reports.write_csv(people.drop("updated_date"), f"{folder}/OrganizationMembers_2001-08-01", MEMBERS)
-    reports.write_csv(b.in_layout(owned, ITEMS).drop("updated_date"), f"{folder}/OrganizationItems_2001-08-01", ITEMS)
-    listed = t.orders.where("o_orderpriority = '1-URGENT'").select(text("o_orderkey").alias("id"))
-    config = runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA)
-    exports = runs.Directory(b.directory(t), b.manager_edges(t), b.group_edges(t), listed)
-    runs.full_run(spark, root, config, folder, exports)
-    return dates_as_text(Store(spark, root).read("moves").select("username", "working_email", "rule", "delete_status", "flag_date"))
+    reports.write_csv(people.drop("updated_date"), f"{folder}/OrganizationMembers_{date}", MEMBERS)
+    reports.write_csv(b.in_layout(owned, ITEMS).drop("updated_date"), f"{folder}/OrganizationItems_{date}", ITEMS)
+    return folder
+
+
+def _first_run(t, exports: runs.Directory) -> Store:
+    store = Store(t.spark, paths.scratch(t.spark, "run"))
+    folder = _deliver(t, store.root, "2001-08-01", F.lit(True))
+    runs.full_run(t.spark, store.root, runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA), folder, exports)
+    return store
+
+
+@query
+def whole_run(t):
+    """All steps from CSV reports to the new state, accounts resolved to the directory as exported in files."""
+    store = _first_run(t, _read_directory(t))
+    return dates_as_text(store.read("moves").select("username", "working_email", "rule", "delete_status", "flag_date"))
+
+
+@query
+def second_run(t):
+    """A second run 35 days later over the first one's store: overrides, aging, history, reports and notifications.
+
+    Meanwhile some flagged accounts were put under override, and half of the items lost their owner. The result is what
+    each step left behind, read back.
+    """
+    exports = _read_directory(t)
+    store = _first_run(t, exports)
+    asked = store.read("state").where("delete_status = 1 and username like '%7_ORG'")
+    runs.override(store, asked.select("working_email", F.lit(True).alias("override")))
+    later = runs.RunConfig(RUN_DATE + runs.dt.timedelta(days=35), SUFFIX, DOMAIN, QUOTA)
+    folder = _deliver(t, store.root, "2001-09-05", F.col("c_custkey") % 2 == 0)
+    runs.full_run(t.spark, store.root, later, folder, exports)
+    queue = runs.queue_notifications(store, later)
+    gone = reports.read_text_columns(t.spark, reports.newest_dated_path(t.spark, f"{store.root}/reports", "UsersToDelete"))
+    parts = {
+        "move": store.read("moves").select("username", F.concat_ws(" ", "rule", "old_status", "delete_status", F.col("flag_date").cast("string"))),
+        "delete": gone.select(F.col(gone.columns[0]).alias("username"), F.lit(None).cast("string").alias("value")),
+        "quota": runs.read_over_quota(store).select("username", F.col("total_feature_storage_mb").cast("decimal(28,2)").cast("string")),
+        "notice": queue.select("username", F.concat_ws(" ", "kind", F.coalesce("recipient", "skip_reason"))),
+        "history": store.history("items").where("owner is not null").groupBy("owner").agg(F.count(F.lit(1)).cast("string")),
+    }
+    named = [df.toDF("username", "value").select(F.lit(part).alias("part"), "username", "value") for part, df in parts.items()]
+    return reduce(DataFrame.unionAll, named)

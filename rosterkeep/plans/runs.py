@@ -25,7 +25,8 @@ from rosterkeep.model import (
 )
 from rosterkeep.operators import history, identity as ids, lifecycle, notify, quota
 from rosterkeep.operators.notify import Template
-from rosterkeep.sources import reports
+from rosterkeep.session import sized_shuffles
+from rosterkeep.sources import paths, reports
 from rosterkeep.sources.store import Store, empty_frame
 from rosterkeep.sources.templates import DEFAULT_TEMPLATES
 
@@ -69,7 +70,7 @@ def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
         opened = store.open_states(kind)
         if opened is None:
             opened = empty_frame(store.spark, layout.schema)
-        store.add_fold(kind, history.fold_open(opened, [store.snapshot(kind, d) for d in pending], layout, config.match))
+        store.add_fold(kind, history.fold_open(opened, [store.snapshots(kind, pending)], layout, config.match))
         store.mark_folded(kind, pending)
     return pending
 
@@ -99,13 +100,14 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
 def resolve_members(store: Store, config: RunConfig, directory: Directory) -> None:
     """Identity status of the current members as the snapshot of the run date."""
     status = ids.identity_status(
-        store.snapshot("members"),
+        store.snapshot("members", config.run_date),
         directory.users,
         directory.manager_edges,
         directory.group_edges,
         config.run_date,
         config.address_suffix,
         config.address_domain,
+        config.legacy_truncate,
     )
     store.write_snapshot("identity", config.run_date, status)
     written = store.snapshot("identity", config.run_date)
@@ -132,12 +134,12 @@ def update_state(store: Store, config: RunConfig, directory: Directory) -> DataF
 
     The moves are written once and read back for the state and the counts, so nothing is computed twice.
     """
-    identity = store.snapshot("identity")
+    identity = store.snapshot("identity", config.run_date)
     state = store.read("state") if store.has("state") else empty_frame(store.spark, STATE.schema)
     state = lifecycle.add_new_accounts(state, identity, config.run_date)
     facts = lifecycle.account_facts(
         identity,
-        lifecycle.users_without_items(store.snapshot("members"), store.snapshot("items"), config.match),
+        lifecycle.users_without_items(store.snapshot("members", config.run_date), store.snapshot("items", config.run_date), config.match),
         directory.whitelist,
         None if config.legacy_truncate else directory.group_edges,
     )
@@ -154,7 +156,9 @@ def write_delete_list(store: Store, config: RunConfig) -> str:
 
 def write_over_quota(store: Store, config: RunConfig) -> str:
     """Owners above the quota, largest first, as CSV."""
-    report = quota.over_quota(store.snapshot("members"), store.snapshot("items"), config.quota_mb, config.match)
+    report = quota.over_quota(
+        store.snapshot("members", config.run_date), store.snapshot("items", config.run_date), config.quota_mb, config.match
+    )
     path = store.report_path(reports.dated_name(OVER_QUOTA_NAME, config.run_date))
     return reports.write_csv(report, path, OVER_QUOTA)
 
@@ -178,11 +182,19 @@ def override(store: Store, requests: DataFrame) -> DataFrame:
     return store.replace("state", lifecycle.apply_overrides(store.read("state"), requests))
 
 
+def _input_bytes(store: Store, report_folder: str, directory: Directory) -> int:
+    """About the bytes a run shuffles at most at once: its reports, the store's snapshots and the directory exports."""
+    frames = (directory.users, directory.manager_edges, directory.group_edges)
+    exports = sum(paths.size_of(store.spark, path) for df in frames for path in df.inputFiles())
+    return paths.size_of(store.spark, report_folder) + paths.size_of(store.spark, f"{store.root}/snapshots") + exports
+
+
 def full_run(spark: SparkSession, root: str, config: RunConfig, report_folder: str, directory: Directory) -> DataFrame:
     """Catalogue, lifecycle, delete list and quota report, in this order. Returns the counts by rule."""
     store = Store(spark, root)
-    catalogue(store, config, report_folder, directory)
-    counts = update_state(store, config, directory)
-    write_delete_list(store, config)
-    write_over_quota(store, config)
+    with sized_shuffles(spark, _input_bytes(store, report_folder, directory)):
+        catalogue(store, config, report_folder, directory)
+        counts = update_state(store, config, directory)
+        write_delete_list(store, config)
+        write_over_quota(store, config)
     return counts

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,23 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
     return max(cores, math.ceil(input_bytes / target_bytes))
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Within it shuffles start from as many partitions as the input needs, if that is more than the session has.
+
+    Adaptive execution merges small partitions and splits joins, but it never splits an aggregate.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
+    if wanted > int(before):
+        spark.conf.set(key, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def build_session(
     app: str = "rosterkeep",
     master: str | None = None,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,28 +36,62 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop)
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a Spark job finished writing this directory."""
-    return exists(spark, f"{path}/_SUCCESS")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there as a whole or not at all; one that exists is an error."""
+    fs, hadoop = _fs(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{hadoop.getParent()}/.{hadoop.getName()}.{uuid.uuid4().hex}")
+    fs.mkdirs(hadoop.getParent())
+    out = fs.create(part, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(part, hadoop):
+        raise FileExistsError(path)
 
 
-_own_folder: dict[str, str] = {}
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the data files of a directory that a job wrote; none while a job is still writing it."""
+    fs, hadoop = _fs(spark, path)
+    if fs.getFileStatus(hadoop).isFile():
+        return [path]
+    found = sorted(s.getPath().getName() for s in fs.listStatus(hadoop))
+    return [] if "_temporary" in found else [f"{path}/{n}" for n in found if not n.startswith(("_", "."))]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``.
+def first_line(spark: SparkSession, path: str, most: int = 1 << 20) -> str:
+    """The first line of a text file, compressed or not, without reading the rest."""
+    fs, hadoop = _fs(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(hadoop)
+    opened = fs.open(hadoop)
+    try:
+        stream = codec.createInputStream(opened) if codec else opened
+        line = jvm.org.apache.hadoop.io.Text()
+        jvm.org.apache.hadoop.util.LineReader(stream).readLine(line, most)
+        return line.toString()
+    finally:
+        opened.close()
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes below a path; 0 if it does not exist."""
+    fs, hadoop = _fs(spark, path)
+    return fs.getContentSummary(hadoop).getLength() if fs.exists(hadoop) else 0
 
-    Where it is unset a local session, as in tests, gets a folder of its own; on a cluster that is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _own_folder.setdefault(context.applicationId, tempfile.mkdtemp(prefix="rosterkeep-"))
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a scratch path when the session's JVM ends."""
+    fs, hadoop = _fs(spark, path)
+    fs.deleteOnExit(hadoop)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or where it is unset the warehouse, which is shared too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, removed when the session ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return path

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,12 +28,12 @@ MANIFEST = "path string, title string, created timestamp"
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Reports in a folder: ``path, title, created, kind``. A report is a CSV file or a directory of part files.
 
-    Only the listing of the folder is read, one entry per report.
+    Only listings are read. A directory that a job is still writing, or that holds no file, is no report yet.
     """
     found = [
         (f"{folder}/{name}", name.removesuffix(".csv"), modified)
         for name, modified in paths.entries(spark, folder)
-        if not name.startswith(("_", "."))
+        if not name.startswith(("_", ".")) and paths.data_files(spark, f"{folder}/{name}")
     ]
     return spark.createDataFrame(found, MANIFEST).withColumn("kind", kind_column(F.col("title")))
 
@@ -69,16 +70,25 @@ def read_text_columns(
 ) -> DataFrame:
     """A CSV report with every column as text, bound by header name, quoted line feeds and doubled quotes kept.
 
-    Blank fields are NULL. Where rows may hold line feeds, a file is read by one task, so a large report should come as
-    a directory of part files. Files are split over many tasks where rows end differently from the line feeds within
-    them (``line_sep="\\r\\n"``), or are known to hold none (``multi_line=False``).
+    Blank fields are NULL. Files of a report may have other columns or another order; those with the same header are one
+    scan, and a file whose header changes meanwhile is an error. Where rows may hold line feeds, a file is read by one
+    task, so a large report should come as a directory of part files. Files are split over many tasks where rows end
+    differently from the line feeds within them (``line_sep="\r\n"``), or are known to hold none (``multi_line=False``).
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
     if line_sep:
         reader = reader.option("lineSep", line_sep)
     elif multi_line:
         reader = reader.option("multiLine", True)
-    raw = reader.csv(path)
+    by_header: dict[str, list[str]] = {}
+    for part in [path] if isinstance(path, str) else path:
+        for file in paths.data_files(spark, part):
+            by_header.setdefault(paths.first_line(spark, file).rstrip("\r"), []).append(file)
+    if not by_header:
+        raise NoReport(f"no file in {path}")
+    # A file without a line has no header, and no rows.
+    parts = [reader.csv(files) for header, files in sorted(by_header.items()) if header or len(by_header) == 1]
+    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return raw.withColumnsRenamed(layout.from_header) if layout else raw
 
 
@@ -126,8 +136,9 @@ def write_csv(df: DataFrame, path: str, layout: Layout | None = None) -> str:
 
 
 def newest_dated_path(spark: SparkSession, folder: str, name: str) -> str:
-    """Path of the newest written report of a name."""
+    """Path of the newest finished report of a name."""
     found = [entry for entry in paths.names(spark, folder) if entry.startswith(name + "_")]
-    if not found:
-        raise NoReport(f"no report {name}_* in {folder}")
-    return f"{folder}/{found[-1]}"
+    for entry in reversed(found):
+        if paths.data_files(spark, f"{folder}/{entry}"):
+            return f"{folder}/{entry}"
+    raise NoReport(f"no report {name}_* in {folder}")

@@ -1,13 +1,15 @@
 """Where the jobs keep their tables: dated snapshots, histories and versioned tables, all Parquet.
 
-A snapshot is a partition ``snapshot_date=...`` that is never changed. A table that replaces itself is written as a new
-version next to the old one; readers take the newest version whose job finished. So a job that dies, or an executor
-that is lost in the middle, leaves the previous version in force, and nothing is dropped before its successor exists.
+Every writing has a folder of its own that is never changed, and a record under ``commits`` once its job has finished;
+readers take the newest writing on record. So a job that dies, or an executor that is lost in the middle, leaves what was
+before in force, and nothing is dropped before its successor exists. The records are the store's own: it does not matter
+whether the cluster writes ``_SUCCESS`` files. Tables with data but without any record are an error, not an empty table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -19,6 +21,8 @@ from rosterkeep.sources import paths
 
 VERSION = "version="
 SNAPSHOT = "snapshot_date="
+WRITING = "writing="
+RECORD = "what string, name string, path string"
 PART = "part="
 FOLD = "-fold"
 BASE = "-base"
@@ -28,6 +32,14 @@ class NoTable(FileNotFoundError):
     """A table or snapshot that was not written yet."""
 
 
+class LostRecords(RuntimeError):
+    """There are data, but no record of a finished writing."""
+
+
+class AlreadyFolded(RuntimeError):
+    """A snapshot whose date is in the history can't be written again."""
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a schema; Spark drops the branches of a plan that read it."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -38,33 +50,77 @@ class Store:
     spark: SparkSession
     root: str
 
-    # --- Snapshots ---
+    # --- Records of finished writings ---
+
+    def commits_path(self, what: str) -> str:
+        return f"{self.root}/commits/{what}"
+
+    def commit(self, what: str, name: str, path: str) -> None:
+        record = {"what": what, "name": name, "path": path.removeprefix(f"{self.root}/")}
+        paths.write_text(self.spark, f"{self.commits_path(what)}/{name}.json", json.dumps(record))
+
+    def committed(self, what: str) -> list[str]:
+        """Names on record, in order; one listing."""
+        found = paths.names(self.spark, self.commits_path(what))
+        return [n.removesuffix(".json") for n in found if n.endswith(".json") and not n.startswith(".")]
 
-    def snapshot_path(self, kind: str, date: dt.date) -> str:
-        return f"{self.root}/snapshots/{kind}/{SNAPSHOT}{date.isoformat()}"
+    def _lost(self, folder: str) -> None:
+        """An error if a folder without records has finished data below it."""
+        for name in paths.names(self.spark, folder):
+            if paths.data_files(self.spark, f"{folder}/{name}"):
+                raise LostRecords(f"{folder}/{name} has data, but {self.root}/commits has no record of them")
+
+    # --- Snapshots ---
 
     def write_snapshot(self, kind: str, date: dt.date, df: DataFrame) -> str:
-        path = self.snapshot_path(kind, date)
-        df.write.mode("overwrite").parquet(path)
+        """A snapshot of a date; written again it is a new writing, which counts from then on.
+
+        A date that is in the history stays as it is: its states could not be taken out again.
+        """
+        if date.isoformat() in self._folded(kind):
+            raise AlreadyFolded(f"{kind} of {date} is in the history")
+        folder = f"{self.root}/snapshots/{kind}/{SNAPSHOT}{date.isoformat()}"
+        number = 1 + max([0, *(int(n[len(WRITING):]) for n in paths.names(self.spark, folder) if n.startswith(WRITING))])
+        path = f"{folder}/{WRITING}{number:06d}"
+        df.write.parquet(path)
+        self.commit(f"snapshots-{kind}", f"{date.isoformat()}.{number:06d}", path)
         return path
 
+    def _writings(self, kind: str) -> dict[dt.date, str]:
+        """The newest writing of each date."""
+        found = self.committed(f"snapshots-{kind}")
+        if not found:
+            for date in paths.names(self.spark, f"{self.root}/snapshots/{kind}"):
+                self._lost(f"{self.root}/snapshots/{kind}/{date}")
+        return {dt.date.fromisoformat(n.split(".")[0]): n.split(".")[1] for n in found}
+
     def snapshot_dates(self, kind: str) -> list[dt.date]:
-        """Dates with a complete snapshot, from the directory names alone."""
-        folder = f"{self.root}/snapshots/{kind}"
-        found = [name for name in paths.names(self.spark, folder) if name.startswith(SNAPSHOT)]
-        return [dt.date.fromisoformat(n[len(SNAPSHOT):]) for n in found if paths.is_complete(self.spark, f"{folder}/{n}")]
+        """Dates with a finished snapshot."""
+        return sorted(self._writings(kind))
+
+    def snapshot_path(self, kind: str, date: dt.date, writing: str) -> str:
+        return f"{self.root}/snapshots/{kind}/{SNAPSHOT}{date.isoformat()}/{WRITING}{writing}"
 
     def snapshot(self, kind: str, date: dt.date | None = None) -> DataFrame:
         """One snapshot, the newest by default."""
-        dates = self.snapshot_dates(kind)
-        if not dates or (date and date not in dates):
+        writings = self._writings(kind)
+        if not writings or (date and date not in writings):
             raise NoTable(f"no snapshot of {kind}" + (f" for {date}" if date else ""))
-        return self.spark.read.parquet(self.snapshot_path(kind, date or max(dates)))
+        date = date or max(writings)
+        return self.spark.read.parquet(self.snapshot_path(kind, date, writings[date]))
+
+    def snapshots(self, kind: str, dates: Iterable[dt.date]) -> DataFrame:
+        """Several snapshots in one scan, in the kind's columns."""
+        writings = self._writings(kind)
+        return self.spark.read.schema(KINDS[kind].schema).parquet(*[self.snapshot_path(kind, d, writings[d]) for d in dates])
+
+    def _folded(self, kind: str) -> set[str]:
+        found = paths.names(self.spark, f"{self.root}/folded/{kind}")
+        return {name[len(SNAPSHOT):] for name in found if name.startswith(SNAPSHOT)}
 
     def pending_dates(self, kind: str) -> list[dt.date]:
         """Snapshot dates that are not in the history yet."""
-        folded = f"{self.root}/folded/{kind}"
-        done = {name[len(SNAPSHOT):] for name in paths.names(self.spark, folded) if name.startswith(SNAPSHOT)}
+        done = self._folded(kind)
         return [date for date in self.snapshot_dates(kind) if date.isoformat() not in done]
 
     def mark_folded(self, kind: str, dates: Iterable[dt.date]) -> None:
@@ -78,17 +134,21 @@ class Store:
     # before it. In force are the parts since the last base: of the last part all rows, of the others the closed ones.
 
     def _parts(self, kind: str) -> list[str]:
-        """Names of the complete parts in force, in order."""
-        folder = f"{self.root}/history/{kind}"
-        found = [n for n in paths.names(self.spark, folder) if n.startswith(PART)]
-        done = [n for n in found if paths.is_complete(self.spark, f"{folder}/{n}")]
+        """Names of the finished parts in force, in order."""
+        done = self.committed(f"history-{kind}")
+        if not done:
+            for name in paths.names(self.spark, f"{self.root}/history/{kind}"):
+                self._lost(f"{self.root}/history/{kind}/{name}")
         last_base = max((n for n in done if n.endswith(BASE)), default="")
         return [n for n in done if n >= last_base]
 
     def _write_part(self, kind: str, rows: DataFrame, ending: str) -> None:
         parts = self._parts(kind)
         number = int(parts[-1][len(PART) :].split("-")[0]) + 1 if parts else 1
-        rows.write.mode("overwrite").partitionBy("open").parquet(f"{self.root}/history/{kind}/{PART}{number:06d}{ending}")
+        name = f"{PART}{number:06d}{ending}"
+        path = f"{self.root}/history/{kind}/{name}"
+        rows.write.mode("overwrite").partitionBy("open").parquet(path)
+        self.commit(f"history-{kind}", name, path)
 
     def _rows(self, kind: str) -> DataFrame | None:
         """Rows in force, each with ``open``; part and flag are directories, so others are not read."""
@@ -132,8 +192,10 @@ class Store:
         return f"{self.root}/tables/{table}/{VERSION}{version:06d}"
 
     def current_version(self, table: str) -> int | None:
-        done = [v for v in self._versions(table) if paths.is_complete(self.spark, self.version_path(table, v))]
-        return max(done, default=None)
+        done = self.committed(f"table-{table}")
+        if not done:
+            self._lost(f"{self.root}/tables/{table}")
+        return int(done[-1]) if done else None
 
     def has(self, table: str) -> bool:
         return self.current_version(table) is not None
@@ -150,7 +212,8 @@ class Store:
         if version is None:
             version = max(self._versions(table), default=0) + 1
         path = self.version_path(table, version)
-        df.write.mode("overwrite").parquet(path)
+        df.write.parquet(path)
+        self.commit(f"table-{table}", f"{version:06d}", path)
         return self.spark.read.parquet(path)
 
     # --- Reports ---

@@ -1,30 +1,28 @@
-"""Fold snapshot files into a history as they arrive, each file once."""
+"""Fold snapshots into a history as they arrive, each once."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rosterkeep.model import KINDS
-from rosterkeep.operators import history
-from rosterkeep.sources.store import Store
+from rosterkeep.plans import runs
+from rosterkeep.sources.store import RECORD, Store
 
 
-def fold_new_files(store: Store, kind: str, checkpoint: str, files_per_batch: int | None = None, match: str = "binary") -> StreamingQuery:
-    """Start a query that folds the snapshot files not seen before into the history of a kind, then stops.
+def fold_new_snapshots(store: Store, config: runs.RunConfig, kind: str, checkpoint: str) -> StreamingQuery:
+    """Start a query that folds the snapshots finished since its last run into the history of a kind, then stops.
 
-    The checkpoint remembers the files, in place of dropping them. A batch that is run again after a failure adds
-    states the history has already, with the dates it has, so it changes nothing. Columns are bound by name. Use
-    either this or the batch fold for a kind, not both.
+    The stream is of the store's records of finished writings, so a writing that is not finished is never seen. Each
+    batch of records folds the dates before the run date that are not in the history, each by its newest writing, in
+    one pass; a date that is written again before it is folded counts once, as it is then. A batch that is run again
+    after a failure finds nothing left to fold. Batch folds of the same kind may come in between.
     """
-    layout = KINDS[kind]
-    reader = store.spark.readStream.schema(layout.schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    arrived = reader.parquet(f"{store.root}/snapshots/{kind}/*")
+    path = store.commits_path(f"snapshots-{kind}")
+    arrived = store.spark.readStream.schema(RECORD).json(path)
 
     def take(batch: DataFrame, _number: int) -> None:
-        store.add_fold(kind, history.fold_open(store.open_states(kind), [batch], layout, match))
+        if not batch.isEmpty():
+            runs.fold_history(store, config, kind)
 
     return (
         arrived.writeStream.foreachBatch(take)

@@ -114,3 +114,9 @@ def test_floats_and_signs_in_the_key(spark):
         spark.createDataFrame([(0.0, D1), (-0.0, D2), (float("nan"), D1), (float("nan"), D2)], "view_counts double, updated_date date"), ITEMS
     )
     assert history.latest_states(df, ITEMS).where(F.col("updated_date") == F.lit(D2)).count() == 2
+
+
+def test_headers_that_differ_in_case_only(spark):
+    known = spark.createDataFrame([("a", "b")], "name string, other string")
+    arrived = spark.createDataFrame([("X", "c")], "NAME string, name string")
+    assert rows(history.append_by_name(known, arrived)) == [("a", "b"), ("c", None)]

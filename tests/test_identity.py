@@ -107,16 +107,19 @@ def test_blank_manager_values_are_null(status):
 
 def test_group_text_is_cut_exactly(spark):
     edges = spark.createDataFrame([("u", f"{i:03d}", i) for i in range(700)] + [("v", "", i) for i in range(700)], GROUPS)
-    text = dict(rows(identity.group_text(edges)))
-    assert text["u"] == ", ".join(f"{i:03d}" for i in range(700))[:1000]
-    assert text["v"] == ", ".join([""] * 700)[:1000]
+    whole = dict(rows(identity.group_text(edges)))
+    assert whole == {"u": ", ".join(f"{i:03d}" for i in range(700)), "v": ", ".join([""] * 700)}
+    assert dict(rows(identity.group_text(edges, 1000))) == {user: text[:1000] for user, text in whole.items()}
     short = dict(rows(identity.group_text(edges, 7)))
     assert short == {"u": "000, 00", "v": ", , , ,"}
 
 
-def test_tried_text_is_cut(status):
+def test_tried_text_is_cut_on_request(spark, status, directory, manager_edges, group_edges):
     long = "x" * 600
-    assert [len(r[0]) for r in status((long, None)).select("emails_tried").collect()] == [500]
+    assert [len(r[0]) for r in status((long, None)).select("emails_tried").collect()] == [606]
+    members = spark.createDataFrame([(long, None, None)], "username string, email string, name string")
+    cut = identity.identity_status(members, directory, manager_edges, group_edges, RUN_DATE, "", "d", legacy_truncate=True)
+    assert [len(r[0]) for r in cut.select("emails_tried").collect()] == [500]
 
 
 def test_errors(status):

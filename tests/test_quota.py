@@ -38,3 +38,10 @@ def test_totals_do_not_depend_on_order(spark, members):
 def test_caseless(spark, items):
     people = spark.createDataFrame([("A ", "e", "n"), ("B", "e", "n")], "username string, email string, name string")
     assert rows(quota.over_quota(people, items, 90, "caseless"), "username", "total_feature_storage_mb") == [("A ", 100.0), ("B", 100.01)]
+
+
+def test_sizes_beyond_decimals_are_listed(spark):
+    members = spark.createDataFrame([(u, None, None) for u in ("a", "b", "c", "d")], "username string, email string, name string")
+    sizes = [("a", float("inf")), ("a", 1.0), ("b", 1e23), ("b", 2.0), ("c", None), ("d", float("-inf"))]
+    items = spark.createDataFrame(sizes, "owner string, feature_storage_size double")
+    assert rows(quota.over_quota(members, items, 5), "username", "total_feature_storage_mb") == [("a", float("inf")), ("b", 1e23)]

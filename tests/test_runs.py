@@ -9,7 +9,8 @@ from rosterkeep.plans import runs
 from rosterkeep.plans.bindings import in_layout
 from rosterkeep.sources import reports
 from rosterkeep.sources.directory import GROUPS, MANAGERS, USERS
-from rosterkeep.sources.store import Store
+from rosterkeep.session import sized_shuffles
+from rosterkeep.sources.store import AlreadyFolded, LostRecords, Store
 from rosterkeep.streaming import intake
 
 FIRST, SECOND = dt.date(2026, 5, 15), dt.date(2026, 6, 15)
@@ -94,26 +95,69 @@ def test_missing_report(spark, tmp_path, exports):
         runs.full_run(spark, str(tmp_path / "store"), config(FIRST), str(tmp_path / "in"), exports)
 
 
-def test_streaming_intake_takes_each_file_once(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
+def arrive(spark, store, day, *names):
+    df = spark.createDataFrame([(n, day) for n in names], "username string, updated_date date")
+    store.write_snapshot("identity", day, in_layout(df, IDENTITY).drop("groups"))
+
 
-    def arrive(day, *names):
-        df = spark.createDataFrame([(n, day) for n in names], "username string, updated_date date")
-        store.write_snapshot("identity", day, in_layout(df, IDENTITY).drop("groups"))
+def test_streaming_intake_takes_each_snapshot_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    later = config(dt.date(2026, 3, 1))
 
-    def take():
-        query = intake.fold_new_files(store, "identity", str(tmp_path / "marks"))
+    def take(config=later):
+        query = intake.fold_new_snapshots(store, config, "identity", str(tmp_path / "marks"))
         query.awaitTermination()
         return sum(p["numInputRows"] for p in query.recentProgress)
 
-    arrive(dt.date(2026, 1, 1), "a", "b")
+    arrive(spark, store, dt.date(2026, 1, 1), "a", "b")
     assert take() > 0
     assert take() == 0
-    arrive(dt.date(2026, 2, 1), "b", "c")
+    arrive(spark, store, dt.date(2026, 2, 1), "b", "c")
     assert take() > 0
     assert rows(store.history("identity"), "username", "updated_date") == [
         ("a", dt.date(2026, 1, 1)), ("b", dt.date(2026, 2, 1)), ("c", dt.date(2026, 2, 1)),
     ]
+    with pytest.raises(AlreadyFolded):
+        arrive(spark, store, dt.date(2026, 2, 1), "d")
+
+
+def test_a_rewritten_date_counts_by_its_last_writing(spark, tmp_path):
+    store, day = Store(spark, str(tmp_path / "store")), dt.date(2026, 1, 1)
+    for name, run_date in (("first", day), ("last", dt.date(2026, 1, 2))):
+        arrive(spark, store, day, name)
+        intake.fold_new_snapshots(store, config(run_date), "identity", str(tmp_path / "marks")).awaitTermination()
+    assert rows(store.history("identity"), "username") == [("last",)]
+    assert rows(store.snapshot("identity"), "username") == [("last",)]
+
+
+@pytest.mark.parametrize("marker", ["true", "false"])
+def test_records_do_not_depend_on_success_files(spark, tmp_path, exports, marker):
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set(key, marker)
+    try:
+        root, folder = str(tmp_path / "store"), deliver(tmp_path / "in", FIRST, [("ann_org", 1), ("bob_org", 1)])
+        runs.full_run(spark, root, config(FIRST), folder, exports)
+        store = Store(spark, root)
+        runs.override(store, spark.createDataFrame([("bob@d", True)], "working_email string, override boolean"))
+        for found in (tmp_path / "store").rglob("*_SUCCESS*"):
+            found.unlink()
+        assert rows(store.read("state"), "username", "override")[1] == ("bob_org", True)
+        # Without the store's own records nothing is taken for empty.
+        for found in (tmp_path / "store" / "commits").rglob("*.json*"):
+            found.unlink()
+        for read in (lambda: store.has("state"), lambda: store.snapshot("members"), lambda: runs.full_run(spark, root, config(SECOND), folder, exports)):
+            with pytest.raises(LostRecords):
+                read()
+    finally:
+        hadoop.unset(key)
+
+
+def test_shuffles_follow_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 1 << 40):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8192"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_drifting_columns_in_the_store(spark, tmp_path):

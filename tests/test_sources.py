@@ -167,4 +167,24 @@ def test_too_long(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert paths.shared_folder(spark) == paths.shared_folder(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    assert paths.shared_folder(spark) == named.rstrip("/") and paths.scratch(spark, "x").startswith(f"{named.rstrip('/')}/x-")
+
+
+def test_files_of_a_report_are_bound_by_their_own_headers(spark, tmp_path):
+    import gzip
+
+    write(tmp_path / "r" / "part-0.csv", "Username,Email\na,a@x\n")
+    write(tmp_path / "r" / "part-1.csv", "Email,Username,Name\r\nb@x,b,Bob\r\n")
+    write(tmp_path / "r" / "part-2.csv", "")
+    (tmp_path / "r" / "part-3.csv.gz").write_bytes(gzip.compress(b"Email,Username\nc@x,c\n"))
+    got = reports.read_text_columns(spark, str(tmp_path / "r"), MEMBERS)
+    assert rows(got, "username", "email", "name") == [("a", "a@x", None), ("b", "b@x", "Bob"), ("c", "c@x", None)]
+
+
+def test_unfinished_reports_are_not_read(spark, tmp_path):
+    write(tmp_path / "UsersOverQuota_2026_05_15" / "part.csv", "x\n")
+    write(tmp_path / "UsersOverQuota_2026_06_15" / "_temporary" / "0" / "part.csv", "x\n")
+    (tmp_path / "UsersOverQuota_2026_07_15").mkdir()
+    assert reports.newest_dated_path(spark, str(tmp_path), "UsersOverQuota").endswith("2026_05_15")
+    assert rows(reports.manifest(spark, str(tmp_path)), "title") == [("UsersOverQuota_2026_05_15",)]
