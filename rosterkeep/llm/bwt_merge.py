@@ -7,8 +7,8 @@ which makes the step back a permutation of its places.
 
 To merge two transforms, an interleave says for each rank which shard its suffix comes from. One refinement deals the ranks
 stably by the symbol before; after t of them suffixes are in order by their first ``t * Q`` bytes, and ranks between which a
-border arose in step t have a common prefix of less than that. Refinement ends when all ranks have borders; neither shard's
-suffixes are sorted again.
+border arose in step t have a common prefix of less than that. Refinement ends when all ranks have borders, or at the depth
+that is asked for; neither shard's suffixes are sorted again.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-Q = 20
+Q = 25
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MORE = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -27,23 +27,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def hashes_of_20(data: np.ndarray) -> np.ndarray:
-    """Hashes of the 20 bytes from each place on, for all places but the last 19."""
-    n = len(data) - 19
+def hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the ``width`` bytes (16 at least) from each place on, for all places with so many."""
+    n = len(data) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     eight = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data).data, strides=(1,)).astype(np.uint64)
-    out = mixed(eight[:n] * _MIX)
-    out ^= eight[8 : n + 8]
-    out = mixed(out * _MORE)
-    out ^= eight[12 : n + 12]
+    out = eight[:n] * _MIX
+    for at in [*range(8, width - 8, 8), width - 8]:
+        out ^= out >> np.uint64(32)
+        out ^= eight[at : at + n]
+        out *= _MORE
     return mixed(out * _MIX)
 
 
 def symbols(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first_string: int = 0) -> np.ndarray:
     """The symbol from each place on; strings lie one after the other, each with a byte more as its terminator."""
     padded = np.concatenate((data, np.zeros(Q, np.uint8)))
-    out = hashes_of_20(padded)[: len(data)]
+    out = hashes(padded, Q)[: len(data)]
     left = np.repeat(starts + lengths, lengths) - np.arange(len(data))
     short = left <= Q
     number = np.repeat(np.arange(len(starts), dtype=np.uint64) + np.uint64(first_string), lengths)[short]
@@ -62,7 +63,7 @@ def _borders(symbol: np.ndarray, block: np.ndarray) -> np.ndarray:
     """Number of the block of equal prefixes at each rank, after dealing by symbol what was in blocks."""
     new = np.ones(len(symbol), bool)
     new[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-    return np.cumsum(new) - 1
+    return np.cumsum(new, dtype=np.int32) - 1
 
 
 @dataclass(frozen=True)
@@ -79,32 +80,34 @@ class Transform:
 def transform(symbol: np.ndarray, offset: int) -> Transform:
     """Of one shard: its symbols by place; ``offset`` is added to the places."""
     n = len(symbol)
-    order, block = np.arange(n), np.zeros(n, np.int64)
+    order, block = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
     while n and block[-1] + 1 < n:
         back = (order - Q) % n
         dealt = _stable(symbol[back])
         block = _borders(symbol[back][dealt], block[dealt])
         order = back[dealt]
-    return Transform(order + offset, symbol[(order - Q) % n] if n else symbol)
+    return Transform(order + np.int32(offset), symbol[(order - Q) % n] if n else symbol)
 
 
-def merge(a: Transform, b: Transform, depth: int = 0) -> tuple[Transform, np.ndarray | None]:
-    """The transform of both shards; and the blocks of ranks with a common prefix of ``depth`` bytes, a multiple of Q."""
+def merge(a: Transform, b: Transform, depth: int | None = None) -> tuple[Transform, np.ndarray]:
+    """The transform of both shards, and the blocks of ranks whose prefixes are equal.
+
+    With a ``depth``, a multiple of Q, refinement ends there: blocks have common prefixes of so many bytes, and the
+    result is in order by them, which is enough where it is not merged again.
+    """
     n = len(a) + len(b)
     second = np.zeros(n, bool)
     second[len(a) :] = True
-    block, deep, step = np.zeros(n, np.int64), None, 0
-    while n and (block[-1] + 1 < n or step * Q < depth):
+    block, step = np.zeros(n, np.int32), 0
+    while n and block[-1] + 1 < n and (depth is None or step * Q < depth):
         symbol = np.empty(n, a.before.dtype)
         symbol[~second], symbol[second] = a.before, b.before
         dealt = _stable(symbol)
         second, block, step = second[dealt], _borders(symbol[dealt], block[dealt]), step + 1
-        if step * Q == depth:
-            deep = block
     places, before = np.empty(n, a.places.dtype), np.empty(n, a.before.dtype)
     for chosen, shard in ((~second, a), (second, b)):
         places[chosen], before[chosen] = shard.places, shard.before
-    return Transform(places, before), deep
+    return Transform(places, before), block
 
 
 def equal_windows(data: np.ndarray, lengths: np.ndarray, width: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +117,7 @@ def equal_windows(data: np.ndarray, lengths: np.ndarray, width: int, shard_bytes
     """
     starts = np.cumsum(lengths) - lengths
     # Small numbers for the symbols, the same in all shards.
-    symbol = np.unique(symbols(data, starts, lengths), return_inverse=True)[1].astype(np.int64)
+    symbol = np.unique(symbols(data, starts, lengths), return_inverse=True)[1].astype(np.int32)
     cuts = [0]
     for i, (start, length) in enumerate(zip(starts.tolist(), lengths.tolist(), strict=True), 1):
         if start + length - (starts[cuts[-1]] if cuts[-1] < len(starts) else 0) >= shard_bytes and i < len(starts):

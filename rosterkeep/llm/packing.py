@@ -89,7 +89,7 @@ class Encoder:
         ends = np.cumsum(n)
         flat = ids[np.repeat(starts[of_run] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
         before = np.concatenate(([0], ends))
-        edges = before[np.concatenate(([0], np.cumsum(sizes)))]
+        edges = before[np.cumsum([0, *sizes])]
         return flat, np.diff(edges)
 
 

@@ -10,7 +10,8 @@ documents. The suffixes of a whole corpus can't be merged in one task, so they a
    anchors that don't are done.
 3. The other segments are dealt by their anchor. Equal segments are merged, in a batch before the shuffle and then among all
    batches: all but the earliest go wholly. So a passage in a third of all documents is one row a batch, then one segment.
-4. Different segments at one anchor may still share windows. Shards of such segments become Burrows-Wheeler transforms and
+4. Different segments at one anchor may still share windows. One that shares neither the 40 bytes before the anchor nor
+   the 40 bytes after it with another shares no window. Shards of the others become Burrows-Wheeler transforms and
    are merged by interleave refinement (``bwt_merge``); the blocks of ranks with common prefixes of 100 bytes are the
    repeated windows. All but the earliest of a block go. Every block is verified on its bytes.
 5. An anchor with more than ``MOST`` bytes of different segments does not fit a shard; its windows are rows, the earliest of
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +34,15 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rosterkeep.llm.bwt_merge import equal_windows, hashes_of_20
+from rosterkeep.llm.bwt_merge import equal_windows, hashes
 from rosterkeep.llm.common import pick, stored
 
 WIDTH = 100
 ANCHOR = 20
-BATCH = 4 << 20
+BATCH = 6 << 20
 #: Bytes of different segments merged at a time, and of one shard among them.
 BLOCK = 768 << 10
-SHARD = 256 << 10
+SHARD = 512 << 10
 MOST = 3 << 19
 _CHUNK = (1 << 20) - 2 * WIDTH
 _LAST = np.iinfo(np.int64).max
@@ -79,13 +81,13 @@ def _batches(batches: Iterator[pa.RecordBatch], batch_bytes: int) -> Iterator[pa
         yield flush()
 
 
-def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start of each segment, and its anchor's hash; texts lie one after the other."""
+def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window start of each segment, its anchor's hash and place; texts lie one after the other."""
     ends = np.cumsum(lengths)
     out = []
     for at in range(0, len(data) - WIDTH + 1, _CHUNK):
         part = data[at : at + _CHUNK + WIDTH - 1]
-        hashed = hashes_of_20(part)
+        hashed = hashes(part, ANCHOR)
         # The place in the low bits: the least value is the first of equal hashes.
         key = (hashed & ~np.uint64((1 << 20) - 1)) | np.arange(len(hashed), dtype=np.uint64)
         n, w = len(part) - WIDTH + 1, WIDTH - ANCHOR + 1
@@ -105,9 +107,10 @@ def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
         new[1:] = (np.diff(valid) > 1) | (np.diff(anchor[valid]) != 0) | (np.diff(text_end[valid]) != 0)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(valid)) - 1
-        out.append((starts[valid[first]], starts[valid[last]], hashed[anchor[valid[first]]].astype(np.int64)))
+        of_segment = anchor[valid[first]]
+        out.append((starts[valid[first]], starts[valid[last]], hashed[of_segment].astype(np.int64), of_segment + at))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -120,7 +123,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["batch", "anchor", "several"])
 
 
-_SEGMENTS = "anchor long, segment binary, doc_id long, start long, batch long, doc int, size int"
+_SEGMENTS = "anchor long, segment binary, doc_id long, start long, batch long, doc int, size int, place int"
 
 
 def _again(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -132,11 +135,11 @@ def _again(left: pa.Table, right: pa.Table) -> pa.Table:
     rows: list[tuple] = []
     for number, blob in zip(left["batch"].to_pylist(), left["blob"].to_pylist(), strict=True):
         x = _unpacked(blob)
-        first, last, anchor = segments(x["data"], x["lengths"])
+        first, last, anchor, place = segments(x["data"], x["lengths"])
         keep = np.zeros(len(anchor), bool)
         if len(wanted):
             keep = wanted[np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)] == anchor
-        first, last, anchor = first[keep], last[keep], anchor[keep]
+        first, last, anchor, place = first[keep], last[keep], anchor[keep], (place - first)[keep]
         ends = np.cumsum(x["lengths"])
         doc = np.searchsorted(ends, first, "right")
         start = first - (ends - x["lengths"])[doc]
@@ -144,13 +147,17 @@ def _again(left: pa.Table, right: pa.Table) -> pa.Table:
         data = x["data"].tobytes()
         order = np.lexsort((start, ids))
         earliest: dict[bytes, tuple[int, int]] = {}
-        columns = (v[order].tolist() for v in (first, last, anchor, doc, start, ids))
-        for a, b, h, d, s, i in zip(*columns, strict=True):
+        columns = (v[order].tolist() for v in (first, last, anchor, doc, start, ids, place))
+        for a, b, h, d, s, i, p in zip(*columns, strict=True):
             own = data[a : b + WIDTH]
-            gone = earliest.setdefault(own, (i, s)) != (i, s)
-            rows.append((h, None if gone else own, i, s, number, d, len(own)))
+            if earliest.setdefault(own, (i, s)) == (i, s):
+                rows.append((h, own, i, s, number, d, len(own), p))
+            elif rows and rows[-1][1] is None and rows[-1][5] == d and s <= rows[-1][3] + rows[-1][6]:  # goes on in the same text
+                rows[-1] = (*rows[-1][:6], s + len(own) - rows[-1][3], 0)
+            else:
+                rows.append((h, None, i, s, number, d, len(own), 0))
     names = [f.split()[0] for f in _SEGMENTS.split(", ")]
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
@@ -177,7 +184,7 @@ class _Removals:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in _REMOVED.split(", ")])
 
     def merged(self, found: list[tuple]) -> None:
-        """Ranges of the windows that occur earlier in another of these segments (bytes, doc_id, start, batch, doc)."""
+        """Ranges of the windows that occur earlier in another of these segments (bytes, doc_id, start, batch, doc, place)."""
         lengths = np.array([len(s[0]) + 1 for s in found], np.int64)
         data = np.frombuffer(b"".join(s[0] + b"\0" for s in found), np.uint8)
         places, block = equal_windows(data, lengths, WIDTH, SHARD)
@@ -211,6 +218,17 @@ class _Removals:
             self.range(found[s], a + at, b + at + WIDTH)
 
 
+def _may_share(own: list[tuple]) -> list[tuple]:
+    """The segments that share the bytes before or after their anchor with another.
+
+    A window holds at least half of its other bytes on one side of the anchor.
+    """
+    half = (WIDTH - ANCHOR) // 2
+    sides = [(s[0][s[5] - half : s[5]] if s[5] >= half else None, s[0][s[5] + ANCHOR : s[5] + ANCHOR + half]) for s in own]
+    before, after = Counter(x for x, _ in sides), Counter(y for _, y in sides)
+    return [s for s, (x, y) in zip(own, sides, strict=True) if (x is not None and before[x] > 1) or (len(y) == half and after[y] > 1)]
+
+
 def _by_anchor(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows come by anchor, segment, id and start."""
     out, block, size = _Removals(), [], 0
@@ -223,16 +241,17 @@ def _by_anchor(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[p
             for s in own:
                 out.left_over(s)
         elif len(own) > 1:
-            block += own
-            size += own_size
+            shared = _may_share(own)
+            block += shared
+            size += sum(len(s[0]) for s in shared)
         own, own_size, most = [], 0, False
         if size >= BLOCK:
             out.merged(block)
             block, size = [], 0
 
     for batch in batches:
-        for h, segment, doc_id, start, number, doc, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = (segment, doc_id, start, number, doc)
+        for h, segment, doc_id, start, number, doc, length, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            row = (segment, doc_id, start, number, doc, place)
             if segment is None:
                 out.range(row, start, start + length)
                 continue
