@@ -46,6 +46,14 @@ _RUNS = re.compile(rb"[a-z\x80-\xff]+|[^\sa-z\x80-\xff]+")
 _WIDE = re.compile(rb"[\xe0-\xff]|'|<\|")
 
 
+class Numbered(dict):
+    """Numbers keys as they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
 class Encoder:
     """Token ids of whole texts; keeps the ids of the runs it met."""
 
@@ -55,7 +63,9 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[bytes, int] = {}
+        self.places: dict[bytes, int] = Numbered()
+        #: Runs with letters of two bytes and nothing else beyond ASCII.
+        self.letters: set[bytes] = set()
         self.ids = [np.zeros(0, np.uint32)]
         self.lengths = [np.zeros(0, np.int64)]
 
@@ -63,7 +73,11 @@ class Encoder:
         """Parts of a text that are encoded by themselves."""
         if not _WIDE.search(text):
             out = _RUNS.findall(text.lower())  # of bytes: A-Z only
-            if text.isascii() or all(r.isascii() or r.decode().isalpha() for r in [r for r in out if r not in self.places]):
+            if text.isascii():
+                return out
+            fresh = {r for r in out if r not in self.letters and not r.isascii()}
+            if all(r.decode().isalpha() for r in fresh):
+                self.letters |= fresh
                 return out
         return text.split()
 
@@ -75,7 +89,7 @@ class Encoder:
         for text in texts:
             own = self.runs(text)
             sizes.append(len(own))
-            runs += [places.setdefault(r, len(places)) for r in own]
+            runs += map(places.__getitem__, own)
         fresh = list(places)[known:] if len(places) > known else []
         if fresh:
             coded = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in fresh], add_special_tokens=False)]

@@ -6,10 +6,10 @@ documents. The suffixes of a whole corpus can't be merged in one task, so they a
 1. Texts are written as batches of about ``BATCH`` bytes. Each window of 100 bytes has an anchor, the 20 bytes in it with
    the least hash (the first of equal ones); equal windows have equal anchors at equal places. Neighbouring windows with one
    anchor make a segment.
-2. Only the hashes of anchors, one row for each in a batch, are shuffled to find those that occur again. Segments at
-   anchors that don't are done.
-3. The other segments are dealt by their anchor. Equal segments are merged, in a batch before the shuffle and then among all
-   batches: all but the earliest go wholly. So a passage in a third of all documents is one row a batch, then one segment.
+2. Only hashes of anchors and segments are shuffled, one row for each different segment of a batch. Of equal segments all
+   but the earliest go wholly, so a passage in a third of all documents is one row a batch. A segment that is alone at its
+   anchor is done.
+3. The others, each different one once, are dealt by their anchor with their bytes.
 4. Different segments at one anchor may still share windows. One that shares neither the 40 bytes before the anchor nor
    the 40 bytes after it with another shares no window. Shards of the others become Burrows-Wheeler transforms and
    are merged by interleave refinement (``bwt_merge``); the blocks of ranks with common prefixes of 100 bytes are the
@@ -27,6 +27,7 @@ import hashlib
 import io
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ _LAST = np.iinfo(np.int64).max
 def _packed(**arrays: np.ndarray) -> bytes:
     out = io.BytesIO()
     np.savez(out, **arrays)
-    return zstandard.compress(out.getvalue(), 5)
+    return zstandard.compress(out.getvalue(), 7)
 
 
 def _unpacked(blob: bytes) -> dict[str, np.ndarray]:
@@ -81,8 +82,22 @@ def _batches(batches: Iterator[pa.RecordBatch], batch_bytes: int) -> Iterator[pa
         yield flush()
 
 
-def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start of each segment, its anchor's hash and place; texts lie one after the other."""
+_BASE = 0x9E3779B97F4A7C15
+_POWERS, _INVERSES = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(_CHUNK + 2 * WIDTH, x, np.uint64)))) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+class Segments(NamedTuple):
+    """First and last window start of each segment of a batch, the hash and the place of its anchor, its own hash."""
+
+    first: np.ndarray
+    last: np.ndarray
+    anchor: np.ndarray
+    place: np.ndarray
+    whole: np.ndarray
+
+
+def segments(data: np.ndarray, lengths: np.ndarray) -> Segments:
+    """Texts lie one after the other."""
     ends = np.cumsum(lengths)
     out = []
     for at in range(0, len(data) - WIDTH + 1, _CHUNK):
@@ -105,59 +120,81 @@ def segments(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
             continue
         new = np.ones(len(valid), bool)
         new[1:] = (np.diff(valid) > 1) | (np.diff(anchor[valid]) != 0) | (np.diff(text_end[valid]) != 0)
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(valid)) - 1
-        of_segment = anchor[valid[first]]
-        out.append((starts[valid[first]], starts[valid[last]], hashed[of_segment].astype(np.int64), of_segment + at))
-    if not out:
-        return (np.zeros(0, np.int64),) * 4
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        heads = np.flatnonzero(new)
+        first, last = valid[heads], valid[np.append(heads[1:], len(valid)) - 1]
+        of_segment = anchor[first]
+        # The hashes of all its 20 bytes, each times a power of its place.
+        summed = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashed * _POWERS[: len(hashed)])))
+        whole = (summed[last + w] - summed[first]) * _INVERSES[first]
+        out.append(Segments(first + at, last + at, hashed[of_segment].astype(np.int64), of_segment + at, whole.astype(np.int64)))
+    return Segments(*(np.concatenate(x) for x in zip(*out, strict=True))) if out else Segments(*(np.zeros(0, np.int64) for _ in range(5)))
+
+
+class _Located(NamedTuple):
+    """Of the segments of a batch: text, id, start in the text, and whether an equal one is earlier in the batch."""
+
+    doc: np.ndarray
+    doc_id: np.ndarray
+    start: np.ndarray
+    later: np.ndarray
+
+
+def _located(x: dict[str, np.ndarray], found: Segments) -> _Located:
+    ends = np.cumsum(x["lengths"])
+    doc = np.searchsorted(ends, found.first, "right")
+    start = found.first - (ends - x["lengths"])[doc]
+    doc_id = x["ids"][doc]
+    order = np.lexsort((start, doc_id, found.whole, found.anchor))
+    head = np.ones(len(order), bool)
+    head[1:] = (np.diff(found.anchor[order]) != 0) | (np.diff(found.whole[order]) != 0)
+    of = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
+    later = np.zeros(len(order), bool)
+    later[order] = (doc_id[order] != doc_id[of]) | (start[order] != start[of])
+    return _Located(doc, doc_id, start, later)
+
+
+_ANCHORS = "batch long, idx int, anchor long, whole long, doc_id long, start long"
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The earliest of each different segment of a batch."""
     for batch in batches:
         for number, blob in zip(batch.column("batch").to_pylist(), batch.column("blob").to_pylist(), strict=True):
             x = _unpacked(blob)
-            found, n = np.unique(segments(x["data"], x["lengths"])[2], return_counts=True)
-            columns = [pa.array(np.full(len(found), number)), pa.array(found), pa.array(n > 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=["batch", "anchor", "several"])
+            found = segments(x["data"], x["lengths"])
+            at = _located(x, found)
+            idx = np.flatnonzero(~at.later)
+            columns = (np.full(len(idx), number), idx.astype(np.int32), found.anchor[idx], found.whole[idx], at.doc_id[idx], at.start[idx])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in _ANCHORS.split(", ")])
 
 
-_SEGMENTS = "anchor long, segment binary, doc_id long, start long, batch long, doc int, size int, place int"
+_SEGMENTS = "anchor long, segment binary, doc_id long, start long, batch long, doc int, size int"
 
 
 def _again(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Segments of a batch at anchors that occur again, equal ones once.
-
-    Those after the earliest are rows without bytes, to be removed.
-    """
-    wanted = np.sort(right["anchor"].to_numpy())
+    """Segments of a batch to compare, with bytes and the place of their anchor as ``size``; ranges to remove, without."""
+    idx, gone = right["idx"].to_numpy(), right["gone"].to_numpy()
     rows: list[tuple] = []
     for number, blob in zip(left["batch"].to_pylist(), left["blob"].to_pylist(), strict=True):
         x = _unpacked(blob)
-        first, last, anchor, place = segments(x["data"], x["lengths"])
-        keep = np.zeros(len(anchor), bool)
-        if len(wanted):
-            keep = wanted[np.minimum(np.searchsorted(wanted, anchor), len(wanted) - 1)] == anchor
-        first, last, anchor, place = first[keep], last[keep], anchor[keep], (place - first)[keep]
-        ends = np.cumsum(x["lengths"])
-        doc = np.searchsorted(ends, first, "right")
-        start = first - (ends - x["lengths"])[doc]
-        ids = x["ids"][doc]
-        data = x["data"].tobytes()
-        order = np.lexsort((start, ids))
-        earliest: dict[bytes, tuple[int, int]] = {}
-        columns = (v[order].tolist() for v in (first, last, anchor, doc, start, ids, place))
-        for a, b, h, d, s, i, p in zip(*columns, strict=True):
-            own = data[a : b + WIDTH]
-            if earliest.setdefault(own, (i, s)) == (i, s):
-                rows.append((h, own, i, s, number, d, len(own), p))
-            elif rows and rows[-1][1] is None and rows[-1][5] == d and s <= rows[-1][3] + rows[-1][6]:  # goes on in the same text
-                rows[-1] = (*rows[-1][:6], s + len(own) - rows[-1][3], 0)
-            else:
-                rows.append((h, None, i, s, number, d, len(own), 0))
+        found = segments(x["data"], x["lengths"])
+        at = _located(x, found)
+        remove = at.later.copy()
+        remove[idx[gone]] = True
+        out = np.flatnonzero(remove)
+        # Segments follow each other in a text: ranges that touch are one.
+        begin, end = found.first[out], found.last[out] + WIDTH
+        new = np.ones(len(out), bool)
+        new[1:] = (begin[1:] > end[:-1]) | (np.diff(at.doc[out]) != 0)
+        heads = np.flatnonzero(new)
+        tails = np.append(heads[1:], len(out)) - 1
+        columns = (at.doc_id[out[heads]], at.start[out[heads]], at.doc[out[heads]], (end[tails] - begin[heads]) if len(out) else begin)
+        rows += [(None, None, i, s, number, d, n) for i, s, d, n in zip(*(c.tolist() for c in columns), strict=True)]
+        data, own = x["data"].tobytes(), idx[~gone]
+        columns = (found.anchor, found.first, found.last, at.doc_id, at.start, at.doc, found.place - found.first)
+        rows += [(h, data[a : b + WIDTH], i, s, number, d, p) for h, a, b, i, s, d, p in zip(*(c[own].tolist() for c in columns), strict=True)]
     names = [f.split()[0] for f in _SEGMENTS.split(", ")]
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
@@ -230,10 +267,10 @@ def _may_share(own: list[tuple]) -> list[tuple]:
 
 
 def _by_anchor(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows come by anchor, segment, id and start."""
+    """Rows come by anchor; at one anchor all segments are different."""
     out, block, size = _Removals(), [], 0
     own: list[tuple] = []  # different segments of the anchor
-    own_size, anchor, last, most = 0, None, None, False
+    own_size, anchor, most = 0, None, False
 
     def close() -> None:
         nonlocal own, own_size, block, size, most
@@ -250,20 +287,16 @@ def _by_anchor(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[p
             block, size = [], 0
 
     for batch in batches:
-        for h, segment, doc_id, start, number, doc, length, place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            row = (segment, doc_id, start, number, doc, place)
+        for h, segment, doc_id, start, number, doc, size_or_place in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            row = (segment, doc_id, start, number, doc, size_or_place)
             if segment is None:
-                out.range(row, start, start + length)
+                out.range(row, start, start + size_or_place)
                 continue
             if h != anchor:
                 close()
-                anchor, last = h, None
-            if last is not None and last[0] == segment and (last[1], last[2]) != (doc_id, start):
-                out.range(row, start, start + length)
-                continue
-            last = row
+                anchor = h
             own.append(row)
-            own_size += length
+            own_size += len(segment)
             if own_size > most_bytes:
                 most = True
             if most:
@@ -309,14 +342,19 @@ def remove_repeats(docs: DataFrame, bytes_too: bool = True, batch_bytes: int = B
     """Per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, and ``kept``, the bytes that stay."""
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     texts = stored(rows.mapInArrow(lambda x: _batches(x, batch_bytes), "batch long, blob binary"), "batches")
-    anchors = texts.mapInArrow(_anchors, "batch long, anchor long, several boolean")
-    # An anchor has one row for each batch that holds it, however often it occurs there.
-    same = Window.partitionBy("anchor")
-    again = anchors.select("batch", "anchor", F.count(F.lit(1)).over(same).alias("n"), F.max("several").over(same).alias("several"))
-    wanted = again.where("n > 1 or several").select("batch", "anchor")
+    # At an anchor there is one row for each different segment of a batch, however often it occurs there.
+    at_anchor = Window.partitionBy("anchor")
+    first = Window.partitionBy("anchor", "whole").orderBy("doc_id", "start")
+    anchors = texts.mapInArrow(_anchors, _ANCHORS).select(
+        "batch",
+        "idx",
+        (F.struct("doc_id", "start") != F.first(F.struct("doc_id", "start")).over(first)).alias("gone"),
+        (F.min("whole").over(at_anchor) != F.max("whole").over(at_anchor)).alias("several"),
+    )
+    wanted = anchors.where("gone or several").select("batch", "idx", "gone")
     found = texts.groupBy("batch").cogroup(wanted.groupBy("batch")).applyInArrow(_again, _SEGMENTS)
-    spread = F.when(F.col("segment").isNull(), F.xxhash64("batch", "doc", "start")).otherwise(F.col("anchor"))
-    found = found.withColumn("anchor", spread).repartition("anchor").sortWithinPartitions("anchor", "segment", "doc_id", "start")
+    spread = F.coalesce("anchor", F.xxhash64("batch", "doc", "start"))
+    found = found.repartition(spread).sortWithinPartitions("anchor")
     removed = stored(found.mapInArrow(lambda x: _by_anchor(x, most_bytes), _REMOVED), "removed")
 
     long = removed.where("segment is not null").select("batch", "doc", "doc_id", "start", "segment")
