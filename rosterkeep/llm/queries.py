@@ -147,4 +147,35 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed
         FROM raw LEFT JOIN of_doc USING (doc_id)""",
+    "op4_min_max_dedup": """
+        WITH RECURSIVE doc AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+            FROM documents WHERE text IS NOT NULL
+        ),
+        shingle AS (SELECT DISTINCT doc_id, words[i:i + 3] AS s FROM doc, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS t(i) WHERE len(words) > 0),
+        size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        link AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN size x ON x.doc_id = a.doc_id JOIN size y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+        ),
+        reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reach JOIN link ON other = a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d LEFT JOIN size USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)""",
+    "op9_suffix_repeats": """
+        WITH doc AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+        str AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM doc, unnest(range(0, length(h) // 2 - 99)) AS t(i)),
+        start AS (SELECT doc_id, i FROM str QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+        run AS (SELECT *, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS new FROM start),
+        numbered AS (SELECT *, sum(new::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM run),
+        span AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run),
+        gap AS (
+            SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, s.a AS b FROM span s WINDOW w AS (PARTITION BY doc_id ORDER BY s.a)
+            UNION ALL SELECT doc_id, max(b), length(any_value(h)) // 2 FROM span JOIN doc USING (doc_id) GROUP BY doc_id
+            UNION ALL SELECT doc_id, 0, length(h) // 2 FROM doc WHERE doc_id NOT IN (SELECT doc_id FROM span)
+        ),
+        kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k FROM gap JOIN doc USING (doc_id) GROUP BY doc_id),
+        of_doc AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+        SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+        FROM doc JOIN kept USING (doc_id) LEFT JOIN of_doc USING (doc_id)""",
 }
