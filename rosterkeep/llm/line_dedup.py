@@ -33,7 +33,9 @@ _PLACE = ("doc_id", "line_no", "h1")
 
 
 def words_of(line: Column) -> Column:
-    return F.split(F.btrim(F.lower(line), F.lit(_BLANKS)), f"[{_BLANKS}]+")
+    # Few lines hold other blanks than spaces, and a split at one character needs no pattern.
+    spaced = F.when(F.rlike(line, F.lit(f"[{_BLANKS[1:]}]")), F.translate(line, _BLANKS[1:], " " * len(_BLANKS[1:]))).otherwise(line)
+    return F.array_remove(F.split(F.lower(spaced), " "), "")
 
 
 def _hashes(words: Column) -> tuple[Column, Column]:
@@ -53,9 +55,12 @@ def _half_keys(words: Column) -> Column:
 
 
 def _numbered_lines(docs: DataFrame, min_words: int, *more: str) -> DataFrame:
-    """Lines that can be dropped, with their words."""
-    lines = docs.select("doc_id", *more, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return lines.select("doc_id", *more, "line_no", words_of(F.col("line")).alias("words")).where(F.size("words") >= min_words)
+    """Lines that can be dropped, with their words.
+
+    The words are made before the lines become rows; made after that, the filter would make them once more.
+    """
+    of_lines = F.transform(F.split("text", "\n", -1), words_of)
+    return docs.select("doc_id", *more, F.posexplode(of_lines).alias("line_no", "words")).where(F.size("words") >= min_words)
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
