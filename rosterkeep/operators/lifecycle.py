@@ -254,8 +254,3 @@ def apply_overrides(state: DataFrame, requests: DataFrame) -> DataFrame:
         "override", F.coalesce("_override", "override")
     )
     return changed.select(*state.columns).unionByName(rest)
-
-
-def without_address(state: DataFrame) -> DataFrame:
-    """Accounts that cannot be written to."""
-    return state.where(is_blank(F.col("working_email")))
