@@ -15,7 +15,8 @@ LOWER_WORDS = bytes(LOWER[b] if chr(b).isalnum() or b >= 0x80 else 0x20 for b in
 #: A-Z to a-z and the bytes 0x09-0x0D to a space; 0x1C-0x1F stay, since they separate nothing.
 LOWER_BLANKS = bytes(0x20 if 0x09 <= b <= 0x0D else LOWER[b] for b in range(256))
 
-ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Whether Spark removes the shuffle files of a query when it ends, rather than some time later.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def blank_words(text: bytes) -> list[bytes]:
@@ -29,15 +30,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written as Parquet in the shared folder and read again.
 
-    This cuts the lineage: a lost executor costs the running stage only. The files are removed when the session ends.
+    This cuts the lineage: a lost executor costs the running stage only. The shuffle files of the writing go with its end,
+    the table when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return spark.read.schema(df.schema).parquet(path)
