@@ -6,8 +6,9 @@ changed, inserted or removed. Shorter lines stay: one edit would make them nearl
 
 1. Equal lines are one class with its first place; all later work is on classes, so a line of a third of all rows is one.
 2. Two lines within one edit share their first or their last half, aligned for their lengths. Classes that share no half
-   with another class need no variants. Only hashes are shuffled for that.
-3. Each remaining class emits itself and the variant without its i-th word, for every i, as hashed keys. Changing word i
+   with another class need no variants, and others only those for the lengths they share one with. Only hashes are
+   shuffled for that.
+3. Each remaining class emits itself or the variants without its i-th word, for every i, as hashed keys. Changing word i
    makes the variants without word i equal; removing word i makes the variant equal to the other line. So each key needs
    its earliest class only, not pairs: a template line with a million fillings is one group reduced by ``min``.
 4. Each class joins the earliest partner of its keys; the edit distance of the pair is then verified on the words.
@@ -30,6 +31,8 @@ from rosterkeep.llm.common import pick, stored, with_columns_by_place
 MIN_WORDS = 5
 _BLANKS = " \t\x0b\x0c\r"
 _PLACE = ("doc_id", "line_no", "h1")
+#: Lines that may share a half with a line: as long, one word shorter, one word longer.
+_AS_LONG, _SHORTER, _LONGER = 1, 2, 4
 
 
 def words_of(line: Column) -> Column:
@@ -74,17 +77,18 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """Key (``v1``, ``v2``, ``tag``) rows of each line: its variants by place, all its variants, and itself.
+    """Key (``v1``, ``v2``, ``tag``) rows of each line: its variants by place, all its variants, and itself, as ``kinds`` asks.
 
     ``tag`` is the place of the word left out, or 0 for the keys that match a line with one word less; there ``whole``
     tells the line itself from its variants.
     """
     line = Window.partitionBy(*_PLACE)
     so_far = line.orderBy("j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    words = lines.repartition(*[F.col(c) for c in _PLACE]).select(*_PLACE, F.posexplode("words").alias("j", "word"))
+    words = lines.repartition(*[F.col(c) for c in _PLACE]).select(*_PLACE, "kinds", F.posexplode("words").alias("j", "word"))
     # Hashes of a word at its place (a) and moved up by one (c), by two functions.
     hashed = words.select(
         *_PLACE,
+        "kinds",
         "j",
         *[F.xxhash64(F.lit(k), "word", F.col("j") - back).alias(f"{name}{k}") for k in (1, 2) for name, back in (("a", 0), ("c", 1))],
     )
@@ -101,9 +105,15 @@ def _variants(lines: DataFrame) -> DataFrame:
     def key(v1: Column, v2: Column, tag: Column, whole: bool) -> Column:
         return F.struct(v1.alias("v1"), v2.alias("v2"), tag.alias("tag"), F.lit(whole).alias("whole"))
 
-    variant = [key(without(1), without(2), F.col("j") + 1, False), key(without(1), without(2), F.lit(0), False)]
-    itself = [key(F.col("a1_all"), F.col("a2_all"), F.lit(0), True)]
-    keys = F.when(F.col("j") == 0, F.array(*variant, *itself)).otherwise(F.array(*variant))
+    def asked(kind: int, more: Column, row: Column) -> Column:
+        none = F.array().cast("array<struct<v1: bigint, v2: bigint, tag: int, whole: boolean>>")
+        return F.when((F.col("kinds").bitwiseAND(F.lit(kind)) != 0) & more, F.array(row)).otherwise(none)
+
+    keys = F.concat(
+        asked(_AS_LONG, F.lit(True), key(without(1), without(2), F.col("j") + 1, False)),
+        asked(_SHORTER, F.lit(True), key(without(1), without(2), F.lit(0), False)),
+        asked(_LONGER, F.col("j") == 0, key(F.col("a1_all"), F.col("a2_all"), F.lit(0), True)),
+    )
     return totals.select(F.struct(*_PLACE).alias("place"), F.inline(keys))
 
 
@@ -119,12 +129,20 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = F.min(F.struct("doc_id", "line_no", "keys"))
     classes = stored(lines.groupBy("h1", "h2").agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "line-classes")
 
-    halves = classes.select("first.doc_id", "first.line_no", "h1", F.explode("first.keys").alias("key"))
-    shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    of_doc = halves.join(shared, "key").groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h1")).alias("wanted"))
+    # The first two keys of a line are for its own length, the others for lines one word longer.
+    halves = classes.select("first.doc_id", "first.line_no", "h1", F.posexplode("first.keys").alias("i", "key"))
+    own = F.col("i") < 2
+    shared = halves.groupBy("key").agg(F.count_if(own).alias("n_own"), F.count_if(~own).alias("n_shorter"))
+    shared = shared.where("n_own > 1 or (n_own > 0 and n_shorter > 0)")
+    kinds = F.when(own & (F.col("n_own") > 1), _AS_LONG).otherwise(0) + F.when(own & (F.col("n_shorter") > 0), _SHORTER).otherwise(0)
+    kinds = kinds + F.when(~own & (F.col("n_own") > 0), _LONGER).otherwise(0)
+    marked = halves.join(shared, "key").select(*_PLACE, kinds.alias("kinds")).where("kinds > 0")
+    marked = marked.groupBy(*_PLACE).agg(F.bit_or("kinds").alias("kinds"))
+    of_doc = marked.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "kinds")).alias("wanted"))
     found = _numbered_lines(docs.join(of_doc, "doc_id"), min_words, "wanted").withColumn("h1", _hashes(F.col("words"))[0])
-    found = found.where(F.array_contains("wanted", F.struct("line_no", "h1")))
-    found = stored(found.select(*_PLACE, "words"), "line-words").dropDuplicates(list(_PLACE))
+    own_mark = F.filter("wanted", lambda x: (x["line_no"] == F.col("line_no")) & (x["h1"] == F.col("h1")))
+    found = found.select(*_PLACE, "words", F.try_element_at(own_mark["kinds"], F.lit(1)).alias("kinds")).where("kinds is not null")
+    found = stored(found, "line-words").dropDuplicates(list(_PLACE))
 
     keys = stored(_variants(found), "line-variants")
     earliest = keys.groupBy("v1", "v2", "tag").agg(
@@ -139,11 +157,9 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     both = pairs.join(words, "place").join(words.select(F.col("place").alias("partner"), F.col("words").alias("others")), "partner")
     near = both.where(within_one_edit(F.col("words"), F.col("others"))).select("place.*", F.lit(True).alias("near"))
 
-    known = classes.select("h1", "h2", "first.doc_id", "first.line_no", "n").join(near, list(_PLACE), "left")
-    known = known.where("n > 1 or near").select("h1", "h2", F.struct("doc_id", "line_no").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
-    repeated = lines.select(*_PLACE, "h2").join(known, ["h1", "h2"])
-    is_first = F.struct("doc_id", "line_no") == F.col("first")
-    return repeated.where(~is_first | F.col("near")).select(*_PLACE, (is_first & F.col("near")).alias("near"))
+    several = classes.where("n > 1").select("h1", "h2", F.struct("first.doc_id", "first.line_no").alias("first"))
+    repeated = lines.select(*_PLACE, "h2").join(several, ["h1", "h2"]).where(F.struct("doc_id", "line_no") != F.col("first"))
+    return repeated.select(*_PLACE, F.lit(False).alias("near")).unionByName(near)
 
 
 def _by_document(dropped: DataFrame) -> DataFrame:
