@@ -68,7 +68,7 @@ class Model:
 
     def totals(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """For each text its score by language, and whether it has a word."""
-        if len(self._seen) > 200_000:
+        if len(self._seen) > 50_000:
             self._seen.clear()
         fresh: dict[str, int] = {}
         rows, lengths, size = [], [], len(self.scores)

@@ -40,7 +40,7 @@ GROUP = 20_000
 ROUNDS = 4
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct runs whose ids a process keeps.
-KEPT_RUNS = 800_000
+KEPT_RUNS = 300_000
 
 _RUNS = re.compile(rb"[a-z\x80-\xff]+|[^\sa-z\x80-\xff]+")
 _WIDE = re.compile(rb"[\xe0-\xff]|'|<\|")
