@@ -106,18 +106,21 @@ class Model:
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Words (length 0) and n-grams of a batch with their number by language."""
+    """Words (length 0) and n-grams of some texts with their number by language; of about a megabyte at a time."""
     for batch in batches:
         for lang, texts in batch.groupby("lang")["text"]:
-            words: Counter[str] = Counter()
-            for text in texts:
-                words.update(words_of(text))
-            counts = Counter({(0, w): k for w, k in words.items()})
-            for w, k in words.items():
-                for n in range(1, LONGEST + 1):
-                    for g in grams_of(w, n):
-                        counts[n, g] += k
-            yield pd.DataFrame([(lang, n, g, k) for (n, g), k in counts.items()], columns=["lang", "n", "gram", "k"])
+            texts = texts.tolist()
+            for a, b in pieces_of_bytes(texts, 1 << 20):
+                words: Counter[str] = Counter()
+                for text in texts[a:b]:
+                    words.update(words_of(text))
+                for n in range(LONGEST + 1):
+                    counts: Counter[str] = Counter()
+                    for w, k in words.items() if n else ():
+                        for g in grams_of(w, n):
+                            counts[g] += k
+                    found = counts if n else words
+                    yield pd.DataFrame({"lang": lang, "n": n, "gram": list(found.keys()), "k": list(found.values())})
 
 
 def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:

@@ -60,9 +60,9 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.places: dict[bytes, int] = Numbered()
         #: Runs with letters of two bytes and nothing else beyond ASCII.
         self.letters: set[bytes] = set()
@@ -84,7 +84,7 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the number of each text."""
         if len(self.places) > KEPT_RUNS:
-            self._forget()
+            self.forget()
         places, known, runs, sizes = self.places, len(self.places), [], []
         for text in texts:
             own = self.runs(text)
@@ -140,6 +140,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                     [batch.column("doc_id").take(pa.array(place)), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        encoder.forget()  # the process goes on with other work
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(cut, _PIECES)
