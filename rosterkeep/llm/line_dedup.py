@@ -2,7 +2,10 @@
 
 A line's words are its runs between blanks, lower-cased. A line with at least ``MIN_WORDS`` words is dropped if an earlier
 line (of a smaller doc_id, or further up in the same document) has the same words, or words within one edit: one word
-changed, inserted or removed. Shorter lines stay: one edit would make them nearly anything.
+changed, inserted or removed. Shorter lines stay, unless ``every_line`` is asked for: then all lines that are not blank are
+dropped if an earlier one has the same words, and only the rule of one edit keeps its least length, since one edit would make
+shorter lines nearly anything. There a line of one word in a script written without blanks (Chinese, Japanese, Thai, Lao,
+Burmese, Khmer) has its characters for words, so it is deduplicated like others.
 
 1. Equal lines are one class with its first place; all later work is on classes, so a line of a third of all rows is one.
 2. Two lines within one edit share their first or their last half, aligned for their lengths. Classes that share no half
@@ -30,6 +33,8 @@ from rosterkeep.llm.common import pick, stored, with_columns_by_place
 
 MIN_WORDS = 5
 _BLANKS = " \t\x0b\x0c\r"
+#: Characters of scripts written without blanks between words.
+UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 _PLACE = ("doc_id", "line_no", "h1")
 #: Lines that may share a half with a line: as long, one word shorter, one word longer.
 _AS_LONG, _SHORTER, _LONGER = 1, 2, 4
@@ -41,6 +46,17 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(spaced), " "), "")
 
 
+def parts_of(line: Column) -> Column:
+    """The words of a line; of a single word in a script without blanks its characters."""
+
+    def parts(words: Column) -> Column:
+        only = F.try_element_at(words, F.lit(1))
+        return F.when((F.size(words) == 1) & F.rlike(only, F.lit(UNSPACED)), F.split(only, "")).otherwise(words)
+
+    # Through an array, so that the words are made once.
+    return F.transform(F.array(words_of(line)), parts)[0]
+
+
 def _hashes(words: Column) -> tuple[Column, Column]:
     return F.xxhash64(words), F.xxhash64(F.lit(1), words)
 
@@ -57,13 +73,13 @@ def _half_keys(words: Column) -> Column:
     )
 
 
-def _numbered_lines(docs: DataFrame, min_words: int, *more: str) -> DataFrame:
+def _numbered_lines(docs: DataFrame, min_words: int, every_line: bool, *more: str) -> DataFrame:
     """Lines that can be dropped, with their words.
 
     The words are made before the lines become rows; made after that, the filter would make them once more.
     """
-    of_lines = F.transform(F.split("text", "\n", -1), words_of)
-    return docs.select("doc_id", *more, F.posexplode(of_lines).alias("line_no", "words")).where(F.size("words") >= min_words)
+    of_lines = F.transform(F.split("text", "\n", -1), parts_of if every_line else words_of)
+    return docs.select("doc_id", *more, F.posexplode(of_lines).alias("line_no", "words")).where(F.size("words") >= (1 if every_line else min_words))
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -117,14 +133,17 @@ def _variants(lines: DataFrame) -> DataFrame:
     return totals.select(F.struct(*_PLACE).alias("place"), F.inline(keys))
 
 
-def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
     """``doc_id``, ``line_no``, ``h1`` (the hash of its words) and ``near`` of each line to drop.
 
     ``near`` tells lines that are the first of their kind but within one edit of an earlier line.
     """
     docs = pick(docs, "doc_id", "text").where("doc_id is not null and text is not null")
     h1, h2 = _hashes(F.col("words"))
-    lines = _numbered_lines(docs, min_words).select("doc_id", "line_no", h1.alias("h1"), h2.alias("h2"), _half_keys(F.col("words")).alias("keys"))
+    keys = _half_keys(F.col("words"))
+    if every_line:
+        keys = F.when(F.size("words") >= min_words, keys).otherwise(F.array().cast("array<bigint>"))
+    lines = _numbered_lines(docs, min_words, every_line).select("doc_id", "line_no", h1.alias("h1"), h2.alias("h2"), keys.alias("keys"))
     lines = stored(lines, "lines")
     first = F.min(F.struct("doc_id", "line_no", "keys"))
     classes = stored(lines.groupBy("h1", "h2").agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "line-classes")
@@ -139,7 +158,7 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     marked = halves.join(shared, "key").select(*_PLACE, kinds.alias("kinds")).where("kinds > 0")
     marked = marked.groupBy(*_PLACE).agg(F.bit_or("kinds").alias("kinds"))
     of_doc = marked.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "kinds")).alias("wanted"))
-    found = _numbered_lines(docs.join(of_doc, "doc_id"), min_words, "wanted").withColumn("h1", _hashes(F.col("words"))[0])
+    found = _numbered_lines(docs.join(of_doc, "doc_id"), min_words, every_line, "wanted").withColumn("h1", _hashes(F.col("words"))[0])
     own_mark = F.filter("wanted", lambda x: (x["line_no"] == F.col("line_no")) & (x["h1"] == F.col("h1")))
     found = found.select(*_PLACE, "words", F.try_element_at(own_mark["kinds"], F.lit(1)).alias("kinds")).where("kinds is not null")
     found = stored(found, "line-words").dropDuplicates(list(_PLACE))
@@ -166,11 +185,11 @@ def _by_document(dropped: DataFrame) -> DataFrame:
     return dropped.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h1")).alias("dropped"), F.count_if("near").alias("n_near"))
 
 
-def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def line_report(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
     """Per document: ``doc_id``, ``n_lines``, ``n_removed``, ``n_near`` and the numbers of the lines to drop."""
     rows = pick(docs, "doc_id", "text").select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     rows = rows.withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("long"))
-    of_doc = _by_document(dropped_lines(docs, min_words))
+    of_doc = _by_document(dropped_lines(docs, min_words, every_line))
     numbers = F.array_sort(F.transform("dropped", lambda x: x["line_no"]))
     out = rows.join(of_doc.select("doc_id", "n_near", F.array_distinct(numbers).alias("removed")), "doc_id", "left")
     return out.select(
@@ -182,16 +201,17 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-def drop_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
     """The documents, with all their columns, without the lines to drop; ``n_chars``, if there, follows.
 
-    A document that loses lines and keeps none but blank ones goes.
+    A document that loses lines and keeps none but blank ones goes. With ``every_line`` that holds for each document all of
+    whose lines were dropped, so an exact copy leaves nothing.
     """
-    of_doc = _by_document(dropped_lines(docs, min_words)).select(F.col("doc_id").alias("_doc"), "dropped")
+    of_doc = _by_document(dropped_lines(docs, min_words, every_line)).select(F.col("doc_id").alias("_doc"), "dropped")
     out, at = with_columns_by_place(docs)
     out = out.join(of_doc, F.col(at["doc_id"]) == F.col("_doc"), "left")
-    text = F.col(at["text"])
-    kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("dropped", F.struct(i.alias("line_no"), _hashes(words_of(x))[0].alias("h1"))))
+    text, words = F.col(at["text"]), parts_of if every_line else words_of
+    kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("dropped", F.struct(i.alias("line_no"), _hashes(words(x))[0].alias("h1"))))
     out = out.withColumn(at["text"], F.when(F.col("dropped").isNull(), text).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in at:
         kind = docs.schema["n_chars"].dataType

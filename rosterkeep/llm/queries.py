@@ -67,6 +67,11 @@ def line_deletion_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("removed", F.array_join("removed", ","))
 
 
+def line_deletion_dedup_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_report(table(spark, sf_dir, "documents"), every_line=True)
+    return found.withColumn("removed", F.array_join("removed", ","))
+
+
 def license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents"))
     names = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"])))
@@ -179,3 +184,42 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
         FROM doc JOIN kept USING (doc_id) LEFT JOIN of_doc USING (doc_id)""",
 }
+
+#: Operators under a wider definition than their query above.
+VARIANTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_line_deletion_dedup_every_line": line_deletion_dedup_every_line}
+
+#: Every line: short ones are in the classes of equal lines, not in the variants; characters are words where nothing else is.
+VARIANT_ORACLE: dict[str, str] = {
+    "op7_line_deletion_dedup_every_line": f"""
+        WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+        cut AS (
+            SELECT doc_id, i - 1 AS line_no,
+                   list_filter(regexp_split_to_array(lower(lines[i]), '[ \\t\\x0B\\f\\r]+'), lambda w: w <> '') AS words
+            FROM raw, unnest(range(1, len(lines) + 1)) AS t(i)
+        ),
+        line AS (
+            SELECT doc_id, line_no, row_number() OVER (ORDER BY doc_id, line_no) AS place,
+                   CASE WHEN len(words) = 1 AND regexp_matches(words[1], '{line_dedup.UNSPACED}') THEN regexp_extract_all(words[1], '.') ELSE words END AS words
+            FROM cut WHERE len(words) > 0
+        ),
+        class AS (SELECT words, min(place) AS first FROM line GROUP BY words),
+        long AS (SELECT words, first FROM class WHERE len(words) >= 5),
+        variant AS (SELECT first, i, list_concat(words[1:i - 1], words[i + 1:]) AS rest FROM long, unnest(range(1, len(words) + 1)) AS t(i)),
+        changed AS (SELECT i, rest, min(first) AS least FROM variant GROUP BY i, rest HAVING count(*) > 1),
+        pair AS (
+            SELECT first, least FROM variant JOIN changed USING (i, rest) WHERE least < first
+            UNION ALL
+            SELECT greatest(v.first, c.first), least(v.first, c.first) FROM variant v JOIN long c ON v.rest = c.words
+        ),
+        near AS (SELECT DISTINCT first FROM pair),
+        dropped AS (
+            SELECT doc_id, line_no, place = c.first AS is_near FROM line JOIN class c USING (words)
+            WHERE place > c.first OR c.first IN (SELECT first FROM near)
+        ),
+        of_doc AS (
+            SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE is_near) AS n_near, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS removed
+            FROM dropped GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed
+        FROM raw LEFT JOIN of_doc USING (doc_id)""",
+}
