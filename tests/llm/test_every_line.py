@@ -1,6 +1,7 @@
 import duckdb
 import pytest
 
+import corpus_pipeline
 from helpers import SMALL, documents, lines_to_drop, needs_tables, small_documents
 from rosterkeep.llm import line_dedup
 from rosterkeep.llm.queries import VARIANT_ORACLE, VARIANTS
@@ -55,3 +56,22 @@ def test_query(spark):
     con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM (VALUES (1, '今天天气很好'), (2, '今天天气很坏'), (3, 'Les.'), (4, 'les. '), (5, '今')) AS t(doc_id, text)")
     got = con.execute(VARIANT_ORACLE["op7_line_deletion_dedup_every_line"]).fetchall()
     assert {r[0] for r in got if r[2]} == {2, 4}
+
+
+def test_copies_leave_nothing(spark):
+    rows = [(1, MENU), (2, MENU), (3, MENU + "\nan own line of its words"), (4, "Home\n\nAll rights reserved."), (5, "Les.")]
+    out = line_dedup.drop_lines(documents(spark, rows), every_line=True)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: MENU, 3: "an own line of its words", 5: "Les."}
+
+
+@pytest.mark.skipif(needs_tables(), reason="no test tables")
+def test_pipeline_with_planted_copies(spark, tmp_path):
+    words = [f"w{i}" for i in range(400)]
+    texts = ["Home\nLes.\n" + " ".join(words[k * 40 : k * 40 + 40]) + "\nAll rights reserved." for k in range(5)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts + texts, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.EVERY_LINE_STAGES)
+    lines = stages["line_dedup"](spark, docs, str(tmp_path))
+    left = {r["doc_id"]: r["text"] for r in stages["near_dedup"](spark, lines, str(tmp_path)).collect()}
+    assert left == {1: texts[0]} | {i + 1: texts[i].split("\n")[2] for i in range(1, 5)}
+    assert [n for n, _ in corpus_pipeline.EVERY_LINE_STAGES] == [n for n, _ in corpus_pipeline.STAGES]
