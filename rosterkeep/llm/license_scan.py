@@ -10,6 +10,8 @@ share a band with probability ``1 - (1 - j**ROWS)**BANDS``; equal windows always
 changed words it is retrieved with certainty if any aligned window is left whole. Shingles have three words rather than
 five since the shortest notices have five words.
 
+Templates too short to hold an aligned window whole are also retrieved by any one of their shingles.
+
 A retrieved template is verified on the shingles around the window, as many on either side as the template has: it is found
 if at least ``CONTAINED`` of its distinct shingles are there.
 
@@ -19,9 +21,12 @@ judged each; other columns are ignored; without documents the result is empty.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterkeep.llm.common import pick
+from rosterkeep.llm.license_notices import NOTICES
 
 SHINGLE = 3
 WINDOW = 2
@@ -112,10 +117,16 @@ def _templates(spark: SparkSession, templates) -> list[tuple[str, list[int], lis
         F.array_distinct("shingles").alias("shingles"),
         *[F.transform(_starts(F.col("shingles"), 1), _band(F.col("shingles"), b)).alias(f"b{b}") for b in range(BANDS)],
     )
-    return [(templates[r["i"]][0], r["shingles"], [r[f"b{b}"] for b in range(BANDS)]) for r in keyed.orderBy("i").collect() if r["shingles"]]
+    out = [(templates[r["i"]][0], r["shingles"], [r[f"b{b}"] for b in range(BANDS)]) for r in keyed.orderBy("i").collect() if r["shingles"]]
+    # Notices that differ only in case or punctuation are one.
+    return list({(name, *own): (name, own, keys) for name, own, keys in out}.values())
+
 
+def _short(own: list[int]) -> bool:
+    return len(own) < WINDOW + STRIDE - 1
 
-def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+
+def scan(docs: DataFrame, templates=(*TEMPLATES, *NOTICES)) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``n_candidates`` (windows that retrieved a template) and ``found``.
 
     ``found`` holds for each verified template its license, the share of its shingles, and the word the region starts with.
@@ -125,35 +136,51 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     rows = rows.select("doc_id", _shingles(F.col("words")).alias("shingles"))
     shingles = F.col("shingles")
     every = [sorted({k for _, _, keys in known for k in keys[b]}) for b in range(BANDS)]
+    shorts = sorted({x for _, own, _ in known if _short(own) for x in own})
 
     def retrieves(start: Column) -> Column:
         hit = F.lit(False)
+        for i in range(STRIDE if shorts else 0):
+            hit = hit | F.coalesce(F.get(shingles, start - 1 + i).isin(shorts), F.lit(False))
         for key, own in zip(_bands(shingles, start), every, strict=True):
             hit = hit | key.isin(own)
         return hit
 
-    candidates = F.when(F.size(shingles) > 0, F.filter(_starts(shingles, STRIDE), retrieves)).otherwise(F.array().cast("array<int>"))
-    rows = rows.select("doc_id", "shingles", candidates.alias("candidates"))
+    def keyed(start: Column) -> Column:
+        return F.struct(start.alias("start"), F.slice(shingles, start, STRIDE).alias("own"), *[k.alias(f"b{b}") for b, k in enumerate(_bands(shingles, start))])
 
-    def verified(name: str, own: list[int], keys: list[list[int]]) -> Column:
-        """The best region among the windows that retrieve this template, if enough of it is there."""
-        n = len(own)
-
-        def at(start: Column) -> Column:
-            region = F.slice(shingles, F.greatest(start - n, F.lit(1)), WINDOW + 2 * n)
-            share = F.size(F.array_intersect(F.array(*[F.lit(x) for x in own]), region)) / F.lit(float(n))
-            return F.struct(share.alias("share"), (-F.greatest(start - n, F.lit(1))).alias("back"))
-
-        def retrieved(start: Column) -> Column:
-            hit = F.lit(False)
-            for key, of_band in zip(_bands(shingles, start), keys, strict=True):
-                hit = hit | key.isin(of_band)
+    candidates = F.when(F.size(shingles) > 0, F.filter(_starts(shingles, STRIDE), retrieves)).otherwise(F.array().cast("array<int>"))
+    rows = rows.select("doc_id", "shingles", F.transform(candidates, keyed).alias("candidates"))
+
+    # One literal for all templates; an expression for each would take longer to plan than to run.
+    literal = [
+        {"license": name, "own": own, "short": own if _short(own) else []} | {f"b{b}": keys[b] for b in range(BANDS)}
+        for name, own, keys in known
+    ]
+    keys_form = "".join(f", b{b}: array<bigint>" for b in range(BANDS))
+    form = f"array<struct<license: string, own: array<bigint>, short: array<bigint>{keys_form}>>"
+
+    def verified(template: Column) -> Column:
+        """The best region among the windows that retrieve this template."""
+        n = F.size(template["own"])
+
+        def retrieved(window: Column) -> Column:
+            hit = F.arrays_overlap(template["short"], window["own"])
+            for b in range(BANDS):
+                hit = hit | F.array_contains(template[f"b{b}"], window[f"b{b}"])
             return hit
 
+        def at(window: Column) -> Column:
+            first = F.greatest(window["start"] - n, F.lit(1))
+            region = F.slice(shingles, first, WINDOW + 2 * n)
+            share = F.size(F.array_intersect(template["own"], region)) / n.cast("double")
+            return F.struct(share.alias("share"), (-first).alias("back"))
+
         best = F.array_max(F.transform(F.filter("candidates", retrieved), at))
-        return F.when(best["share"] >= CONTAINED, F.struct(F.lit(name).alias("license"), best["share"].alias("contained"), (-best["back"] - 1).alias("word")))
+        return F.struct(template["license"].alias("license"), best["share"].alias("contained"), (-best["back"] - 1).alias("word"))
 
     kind = "array<struct<license: string, contained: double, word: int>>"
-    found = F.array_compact(F.array(*[verified(*t) for t in known])).cast(kind) if known else F.array().cast(kind)
+    templates_there = F.from_json(F.lit(json.dumps(literal)), form)
+    found = F.filter(F.transform(templates_there, verified), lambda x: x["contained"] >= CONTAINED).cast(kind)
     found = F.when(F.size("candidates") > 0, found).otherwise(F.array().cast(kind))
     return rows.select("doc_id", F.size("shingles").cast("long").alias("n_shingles"), F.size("candidates").cast("long").alias("n_candidates"), found.alias("found"))
