@@ -13,7 +13,9 @@ five since the shortest notices have five words.
 Templates too short to hold an aligned window whole are also retrieved by any one of their shingles.
 
 A retrieved template is verified on the shingles around the window, as many on either side as the template has: it is found
-if at least ``CONTAINED`` of its distinct shingles are there.
+if at least ``CONTAINED`` of its distinct shingles are there, and as large a share of those that tell it from each relative.
+Relatives are templates of other licenses that hold at least ``RELATED`` of its shingles. Where a few shingles tell two apart,
+such as those of the name or the version, that is all of them.
 
 Null texts, and texts or templates with fewer words than a shingle, have no shingles and no licenses. Repeated documents are
 judged each; other columns are ignored; without documents the result is empty.
@@ -22,6 +24,7 @@ judged each; other columns are ignored; without documents the result is empty.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,6 +37,7 @@ STRIDE = 2
 BANDS = 2
 ROWS = 2
 CONTAINED = 0.8
+RELATED = 0.5
 
 #: Names of licenses with notices by which texts refer to them.
 TEMPLATES = (
@@ -126,6 +130,18 @@ def _short(own: list[int]) -> bool:
     return len(own) < WINDOW + STRIDE - 1
 
 
+def _decisive(known: list[tuple[str, list[int], list[list[int]]]]) -> list[list[tuple[list[int], int]]]:
+    """For each template the sets of shingles that tell it from its relatives, and how many of each have to be there."""
+    out, sets = [], [(name, set(own)) for name, own, _ in known]
+    for name, own in sets:
+        apart = {frozenset(own - other) for relative, other in sets if relative != name and len(own & other) >= RELATED * len(own)}
+        needed = [(x, math.ceil(CONTAINED * len(x))) for x in apart if x]
+        every = frozenset().union(*[x for x, n in needed if n == len(x)])
+        needed = [(x, n) for x, n in needed if n < len(x)] + ([(every, len(every))] if every else [])
+        out.append([(sorted(x), n) for x, n in needed])
+    return out
+
+
 def scan(docs: DataFrame, templates=(*TEMPLATES, *NOTICES)) -> DataFrame:
     """Per document: ``doc_id``, ``n_shingles``, ``n_candidates`` (windows that retrieved a template) and ``found``.
 
@@ -154,14 +170,14 @@ def scan(docs: DataFrame, templates=(*TEMPLATES, *NOTICES)) -> DataFrame:
 
     # One literal for all templates; an expression for each would take longer to plan than to run.
     literal = [
-        {"license": name, "own": own, "short": own if _short(own) else []} | {f"b{b}": keys[b] for b in range(BANDS)}
-        for name, own, keys in known
+        {"license": name, "own": own, "short": own if _short(own) else [], "apart": [{"told": x, "least": n} for x, n in apart]} | {f"b{b}": keys[b] for b in range(BANDS)}
+        for (name, own, keys), apart in zip(known, _decisive(known), strict=True)
     ]
     keys_form = "".join(f", b{b}: array<bigint>" for b in range(BANDS))
-    form = f"array<struct<license: string, own: array<bigint>, short: array<bigint>{keys_form}>>"
+    form = f"array<struct<license: string, own: array<bigint>, short: array<bigint>, apart: array<struct<told: array<bigint>, least: int>>{keys_form}>>"
 
     def verified(template: Column) -> Column:
-        """The best region among the windows that retrieve this template."""
+        """The best region among the windows that retrieve this template; its share is 0 where a relative is told apart."""
         n = F.size(template["own"])
 
         def retrieved(window: Column) -> Column:
@@ -173,8 +189,9 @@ def scan(docs: DataFrame, templates=(*TEMPLATES, *NOTICES)) -> DataFrame:
         def at(window: Column) -> Column:
             first = F.greatest(window["start"] - n, F.lit(1))
             region = F.slice(shingles, first, WINDOW + 2 * n)
+            told = F.forall(template["apart"], lambda x: F.size(F.array_intersect(x["told"], region)) >= x["least"])
             share = F.size(F.array_intersect(template["own"], region)) / n.cast("double")
-            return F.struct(share.alias("share"), (-first).alias("back"))
+            return F.struct(F.when(told, share).otherwise(0.0).alias("share"), (-first).alias("back"))
 
         best = F.array_max(F.transform(F.filter("candidates", retrieved), at))
         return F.struct(template["license"].alias("license"), best["share"].alias("contained"), (-best["back"] - 1).alias("word"))
