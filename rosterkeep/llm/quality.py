@@ -10,7 +10,7 @@ labelled rows.
 
 Null and empty texts have difference 0. Without labels of both kinds the score is the share of label 1, or 0.5. Labels
 other than 0 and 1, null labels, and labels of absent documents are not learned from; a document with several labels is
-learned from once for each. Repeated documents are scored each; other columns are ignored.
+learned from for each, and a label that is repeated weighs as often in the curve. Repeated documents are scored each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -95,15 +95,18 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
     """Fit on ``doc_id`` and ``text`` of the documents and ``doc_id`` and ``quality`` of the labels given."""
     spark = docs.sparkSession
     known = pick(labels, "doc_id", "quality").where("quality in (0, 1) and doc_id is not null")
-    sizes = {int(r[0]): r[1] for r in known.groupBy("quality").count().collect()}
+    # A label given many times is one row with its count, so no id makes the sample large.
+    known = known.groupBy("doc_id", "quality").agg(F.count(F.lit(1)).alias("n"))
+    counted = known.groupBy("quality").agg(F.sum("n"), F.count(F.lit(1))).collect()
+    sizes, ids = {int(r[0]): r[1] for r in counted}, {int(r[0]): r[2] for r in counted}
     total = sum(sizes.values())
     if len(sizes) < 2:
         share = np.clip(sizes.get(1, 0) / total, 0.01, 0.99) if total else 0.5
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
     hashed = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 21))
-    part = F.when(F.col("quality") == 1, min(1.0, per_label / sizes[1])).otherwise(min(1.0, per_label / sizes[0]))
-    # At most about twice per_label rows, whatever the tables hold: small enough to broadcast.
-    chosen = known.where(F.floor(hashed / 2) / (1 << 20) < part).select("doc_id", "quality", (hashed % 2 == 0).alias("fit"))
+    part = F.when(F.col("quality") == 1, min(1.0, per_label / ids[1])).otherwise(min(1.0, per_label / ids[0]))
+    # At most about twice per_label rows, whatever the labels hold: small enough to broadcast.
+    chosen = known.where(F.floor(hashed / 2) / (1 << 20) < part).select("doc_id", "quality", "n", (hashed % 2 == 0).alias("fit"))
     texts = pick(docs, "doc_id", "text").where("text is not null and doc_id is not null")
     sample = texts.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
     cut = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PART)), lambda i: F.substring("text", (i * PART + 1).cast("int"), F.lit(PART)))
@@ -115,11 +118,12 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
     if not all(dictionaries):
         return Model(b"", b"", 0.0, float(np.log(sizes[1] / sizes[0])))
     model = Model(*dictionaries)
-    rows = sample.where(~F.col("fit")).select("quality", _differences(spark, model)("text").alias("x")).toPandas()
+    rows = sample.where(~F.col("fit")).select("quality", "n", _differences(spark, model)("text").alias("x")).toPandas()
     if rows["quality"].nunique() < 2:
         return Model(*dictionaries, 1.0, float(np.log(sizes[1] / sizes[0])))
     x, y = np.tanh(rows["x"].to_numpy(float) / SOFT), rows["quality"].to_numpy(float)
-    weight = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum()) * len(y) / total
+    n = rows["n"].to_numpy(float)
+    weight = n * np.where(y == 1, sizes[1] / n[y == 1].sum(), sizes[0] / n[y == 0].sum()) * len(y) / total
     return Model(*dictionaries, *_curve(x, y, weight))
 
 
