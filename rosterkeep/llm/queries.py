@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterkeep.llm import ann, decontam, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats
+from rosterkeep.llm import ann, decontam, hard_negatives, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats
 from rosterkeep.llm.common import pick, remainder, table
 
 
@@ -87,6 +87,14 @@ def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), bytes_too=False)
 
 
+def hard_negatives_by_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(
+        table(spark, sf_dir, "embeddings"),
+        lambda vec_id: vec_id % 100 == 0,
+        label=lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting_search": collision_counting_search,
     "op2_benchmark_decontamination": benchmark_decontamination,
@@ -98,12 +106,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_windows": license_windows,
     "op9_suffix_repeats": suffix_repeats,
     "op10_quality_classifier": quality_classifier,
+    "op13_hard_negatives": hard_negatives_by_rtree,
 }
 
 #: Words of a text: A-Z lower-cased, digits, letters and everything beyond ASCII.
 _WORDS = "list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
 
 ORACLE: dict[str, str] = {
+    "op13_hard_negatives": """
+        WITH row_of AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        anchor AS (SELECT * FROM row_of WHERE vec_id % 100 = 0),
+        pair AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+            FROM anchor a JOIN row_of r ON a.vec_id <> r.vec_id
+        ),
+        positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.other_id AS negative_id, positive_score, n.score AS negative_score
+        FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other_id)
+        QUALIFY row_number() OVER w <= 10""",
     "op2_benchmark_decontamination": f"""
         WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
         win AS (
@@ -190,6 +215,22 @@ VARIANTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op7_line_delet
 
 #: Every line: short ones are in the classes of equal lines, not in the variants; characters are words where nothing else is.
 VARIANT_ORACLE: dict[str, str] = {
+    "op13_hard_negatives": """
+        WITH row_of AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        anchor AS (SELECT * FROM row_of WHERE vec_id % 100 = 0),
+        pair AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+            FROM anchor a JOIN row_of r ON a.vec_id <> r.vec_id
+        ),
+        positive AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.other_id AS negative_id, positive_score, n.score AS negative_score
+        FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other_id)
+        QUALIFY row_number() OVER w <= 10""",
     "op7_line_deletion_dedup_every_line": f"""
         WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
         cut AS (
