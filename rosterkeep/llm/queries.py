@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterkeep.llm import ann, decontam, hard_negatives, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats
+from rosterkeep.llm import ann, collocations, decontam, hard_negatives, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats
 from rosterkeep.llm.common import pick, remainder, table
 
 
@@ -87,6 +87,10 @@ def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), bytes_too=False)
 
 
+def son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def hard_negatives_by_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(
         table(spark, sf_dir, "embeddings"),
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_windows": license_windows,
     "op9_suffix_repeats": suffix_repeats,
     "op10_quality_classifier": quality_classifier,
+    "op12_son_collocations": son_collocations,
     "op13_hard_negatives": hard_negatives_by_rtree,
 }
 
@@ -113,6 +118,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = "list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
 
 ORACLE: dict[str, str] = {
+    "op12_son_collocations": """
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+            FROM documents WHERE text IS NOT NULL
+        ),
+        word AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS w FROM piece),
+        total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM word GROUP BY lang),
+        place AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM word, unnest([1, 2, 3, 4]) AS t(k)),
+        phrase AS (
+            SELECT lang, k AS words, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS phrase, count(*) AS a
+            FROM place GROUP BY lang, k, phrase HAVING count(*) >= 30
+        ),
+        split AS (SELECT lang, phrase, words, a, string_split(phrase, ' ') AS w FROM phrase WHERE words > 1),
+        cut_at AS (SELECT *, unnest(range(1, words)) AS k FROM split),
+        cut AS (
+            SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, CAST((2000000::HUGEINT * c.a) // (l.a + r.a) AS BIGINT) AS score
+            FROM cut_at c
+            JOIN phrase l ON l.lang = c.lang AND l.phrase = list_aggregate(c.w[1:c.k], 'string_agg', ' ')
+            JOIN phrase r ON r.lang = c.lang AND r.phrase = list_aggregate(c.w[c.k + 1:], 'string_agg', ' ')
+        ),
+        lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        part AS (SELECT *, unnest(range(2, words)) AS m FROM split),
+        inside AS (SELECT lang, a, m, w, unnest(range(1, words - m + 2)) AS i FROM part),
+        longer AS (SELECT lang, list_aggregate(w[i:i + m - 1], 'string_agg', ' ') AS phrase, max(a) AS most FROM inside GROUP BY 1, 2),
+        kept AS (SELECT x.* FROM lowest x LEFT JOIN longer USING (lang, phrase) WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
+        SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score FROM kept JOIN total USING (lang)
+        WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000""",
     "op13_hard_negatives": """
         WITH row_of AS (
             SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
