@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterkeep.llm import ann, collocations, decontam, hard_negatives, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats
+from rosterkeep.llm import ann, collocations, decontam, hard_negatives, hmm, langid, license_scan, line_dedup, minmax_dedup, packing, quality, repeats, winnowing
 from rosterkeep.llm.common import pick, remainder, table
 
 
@@ -87,6 +87,10 @@ def suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), bytes_too=False)
 
 
+def winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_windows": license_windows,
     "op9_suffix_repeats": suffix_repeats,
     "op10_quality_classifier": quality_classifier,
+    "op11_winnowing_fingerprints": winnowing_fingerprints,
     "op12_son_collocations": son_collocations,
     "op13_hard_negatives": hard_negatives_by_rtree,
 }

@@ -14,11 +14,12 @@ def plain(rows, top=2000, support=30):
     """Counts of all phrases in one dictionary."""
     counts, totals = Counter(), Counter()
     for _, text, lang in rows:
+        lang = "und" if lang is None else lang
         for piece in re.split(rb"[.,;:!?\x0a-\x0d]", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())):
             words = re.findall(rb"[^\x20\x09]+", piece)
-            totals[lang or "und"] += len(words)
+            totals[lang] += len(words)
             for n in range(1, 5):
-                counts.update((lang or "und", tuple(words[i : i + n])) for i in range(len(words) - n + 1))
+                counts.update((lang, tuple(words[i : i + n])) for i in range(len(words) - n + 1))
     found = {k: a for k, a in counts.items() if a >= support}
     absorbed = set()
     for (lang, w), a in found.items():
