@@ -10,10 +10,11 @@ fingerprints it is 1. Equal texts have equal fingerprints. Null texts count as e
 points at a time with the overlap a window needs, so memory follows the text only, not its hashes' steps.
 
 ``with_next`` brings each document and its successor by id together without a window over all documents: rows are dealt
-out and sorted by ranges of (id, hash of the text), so most successors are the next row of the same task; the last row of
-a task and the first of the following one, two for each task, meet by a join. The successor of the last document is the first;
-a single document is its own. Rows that share an id are in the order of the hashes of their texts; null ids come first. An
-empty table gives no rows. Other columns are ignored.
+out and sorted by ranges of (id, hash of the text), so most successors are the next row of the same task. The first row of
+each range, found beforehand from ids and hashes alone, goes to the range before as well; these keys, one a range, are the
+only thing collected. Texts are shuffled once. The successor of the last document is the first; a single document is its
+own. Rows that share an id are in the order of the hashes of their texts; a null id counts as the least. An empty table
+gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,15 +24,17 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rosterkeep.llm.common import pick, stored
+from rosterkeep.llm.common import groups_for, pick
 
 GRAM = 10
 WINDOW = 30
 CHUNK = 1 << 18
+#: Bytes of text in a range, about, where the session's number of shuffle partitions would give more.
+RANGE = 64 << 20
 #: Rows of this many bytes are handed on together.
 GIVEN = 2 << 20
 
@@ -121,63 +124,79 @@ def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> Dat
 # --- A document and its successor ---------------------------------------------------------------------------------
 
 
+def _part_of(ids: np.ndarray, hashes: np.ndarray, first_ids: np.ndarray, first_hashes: np.ndarray) -> np.ndarray:
+    """The range each (id, hash) lies in, by the first one of every range."""
+    low, high = np.searchsorted(first_ids, ids, "left"), np.searchsorted(first_ids, ids, "right")
+    part = high - 1
+    for start in np.unique(low[low < high]):  # ids a range begins with: their hashes tell
+        rows = np.flatnonzero((low == start) & (low < high))
+        end = high[rows[0]]
+        part[rows] = start + np.searchsorted(first_hashes[start:end], hashes[rows], "right") - 1
+    return part
+
+
 def with_next(docs: DataFrame, compare: Callable, schema: str) -> DataFrame:
     """``doc_id`` and what ``compare(text, next_text)`` returns, for each document by ascending id.
 
     ``schema`` names the columns of the values returned. ``compare`` gets and returns plain values; it may keep what it made
     of a text for the following call, where that is the first argument.
     """
-    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = [F.col("doc_id"), F.xxhash64("text")]
-    names = [part.strip().split(" ")[0] for part in schema.split(",")]
-    kind = f"doc_id long, {schema}"
-    border = "part int, first boolean, text string"
     spark = docs.sparkSession
-    arrow = {f.name: f.dataType for f in spark.createDataFrame([], kind).schema.fields}
-    types = [_arrow_type(t) for t in arrow.values()] + [pa.int32(), pa.bool_(), pa.string()]
-
-    def batch_of(held: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*held))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", *names, "part", "first", "text"])
+    least = F.lit(-(2**63)).cast("long")
+    rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.coalesce("doc_id", least).alias("id"), F.xxhash64("text").alias("hash"), "text")
 
-    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows whose successor is in the same task; its first and its last row wait for those of other tasks."""
-        part = TaskContext.get().partitionId()
-        nothing = (None,) * len(names)
-        before, held, size = None, [], 0
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                text = text.as_py()
-                if before is None:
-                    held.append((doc_id, *nothing, part, True, text))
-                else:
-                    held.append((before[0], *compare(before[1], text), None, None, None))
-                before = doc_id, text
-                size += 64 + len(text)
-                if size >= GIVEN:
-                    yield batch_of(held)
-                    held, size = [], 0
-        if before is not None:
-            held.append((before[0], *nothing, part, False, before[1]))
-            yield batch_of(held)
+            order = np.lexsort((batch["hash"].to_numpy(), batch["id"].to_numpy()))[:1]
+            yield batch.take(pa.array(order))
+
+    # The first document of each range; ids and hashes only are shuffled for that.
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups_for(size, RANGE))
+    keys = rows.select("id", "hash").repartitionByRange(ranges, "id", "hash")
+    found = keys.mapInArrow(first, "id long, hash long").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("id", "hash")).alias("k"))
+    firsts = sorted((r["k"]["id"], r["k"]["hash"]) for r in found.collect())
+    if not firsts:
+        return spark.createDataFrame([], f"doc_id long, {schema}")
+    first_ids, first_hashes = (np.array(c, np.int64) for c in zip(*firsts))
+    n = len(firsts)
+
+    @F.pandas_udf("int")
+    def part_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(_part_of(ids.to_numpy(), hashes.to_numpy(), first_ids, first_hashes).astype(np.int32))
+
+    # The first document of a range also follows the range before, and that of the first one the last.
+    before = spark.createDataFrame([(*key, (i - 1) % n) for i, key in enumerate(firsts)], "id long, hash long, part int")
+    heads = rows.join(before, ["id", "hash"]).dropDuplicates(["part"])
+    every = rows.withColumn("part", part_of("id", "hash")).select("part", F.lit(False).alias("head"), "doc_id", "id", "hash", "text")
+    every = every.unionByName(heads.select("part", F.lit(True).alias("head"), "doc_id", "id", "hash", "text"))
+    dealt = every.repartitionById(n, F.col("part")).sortWithinPartitions("part", "head", "id", "hash")
 
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    done = stored(dealt.mapInArrow(neighbours, f"{kind}, {border}"), "neighbours")
+    names = [part.strip().split(" ")[0] for part in schema.split(",")]
+    kinds = [_arrow_type(f.dataType) for f in spark.createDataFrame([], f"doc_id long, {schema}").schema.fields]
 
-    # The numbers of the tasks that had rows; each task's last row takes the first row of the next such task.
-    parts = sorted(r["part"] for r in done.where("first").select("part").collect())
-    follows = list(zip(parts, parts[1:] + parts[:1]))
-    after = spark.createDataFrame(follows, "part int, after int")
-    firsts = done.where("first").select(F.col("part").alias("after"), F.col("text").alias("next_text"))
-    borders = done.where(~F.col("first")).select("doc_id", "part", "text").join(after, "part").join(firsts, "after")
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row with the row that follows in its range; the last one of a range is the one that follows it."""
 
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(held: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds, strict=True)], names=["doc_id", *names])
+
+        last, held, size = None, [], 0
         for batch in batches:
-            for doc_id, text, following in zip(batch["doc_id"].to_pylist(), batch["text"], batch["next_text"]):
-                yield batch_of([(doc_id, *compare(text.as_py(), following.as_py()), None, None, None)])
+            for part, head, doc_id, text in zip(*(batch[c].to_pylist() for c in ("part", "head", "doc_id")), batch["text"]):
+                text = text.as_py()
+                if last is not None and last[0] == part:
+                    held.append((last[1], *compare(last[2], text)))
+                    size += 64 + len(text)
+                    if size >= GIVEN:
+                        yield batch_of(held)
+                        held, size = [], 0
+                last = None if head else (part, doc_id, text)
+        if held:
+            yield batch_of(held)
 
-    rest = borders.select("doc_id", "text", "next_text").mapInArrow(across, f"{kind}, {border}")
-    return done.where("part is null").unionByName(rest).select("doc_id", *names)
+    return dealt.select("part", "head", "doc_id", "text").mapInArrow(neighbours, f"doc_id long, {schema}")
 
 
 def _arrow_type(kind) -> pa.DataType:
