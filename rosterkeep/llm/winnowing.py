@@ -168,7 +168,8 @@ def with_next(docs: DataFrame, compare: Callable, schema: str) -> DataFrame:
 
     # The first document of a range also follows the range before, and that of the first one the last.
     before = spark.createDataFrame([(*key, (i - 1) % n) for i, key in enumerate(firsts)], "id long, hash long, part int")
-    heads = rows.join(before, ["id", "hash"]).dropDuplicates(["part"])
+    # One row a range: small enough to broadcast, and the texts stay where they are.
+    heads = rows.join(F.broadcast(before), ["id", "hash"]).dropDuplicates(["part"])
     every = rows.withColumn("part", part_of("id", "hash")).select("part", F.lit(False).alias("head"), "doc_id", "id", "hash", "text")
     every = every.unionByName(heads.select("part", F.lit(True).alias("head"), "doc_id", "id", "hash", "text"))
     dealt = every.repartitionById(n, F.col("part")).sortWithinPartitions("part", "head", "id", "hash")
