@@ -4,7 +4,7 @@ A text is lower-cased (A-Z), split at ``[.,;:!?]`` and line breaks into pieces a
 phrase is 1 to ``LONGEST`` words in a row within a piece. Everything is per language; a null language is ``und``.
 
 1. *Mine each shard completely.* A document belongs to one of ``SHARDS`` shards by a hash of its id. A task counts the
-   phrases of one shard and language in blocks of text, as sorted 64-bit keys, and deals them out in buckets by their
+   phrases of each shard and language in blocks of text, as sorted 64-bit keys, and deals them out in buckets by their
    leading bits. A bucket gathers the keys of all blocks, so counts of a key are whole there: first each shard's own.
    A phrase with the support asked for in all has, in at least one shard, its proportional part of it; so a shard keeps
    the phrases with at least ``support * (words of the shard) / (words of the language)``.
@@ -41,8 +41,9 @@ LONGEST = 4
 SUPPORT = 30
 SHARDS = 8
 #: Bytes of text counted at once: when keys are dealt out, and in the last pass.
-BLOCK, LAST_BLOCK = 4 << 20, 8 << 20
+BLOCK, LAST_BLOCK = 4 << 20, 4 << 20
 BUCKET_KEYS = 1 << 20
+ROW_BITS = 11
 FILTER_BITS = 27
 MOST_BUCKET_BITS = 24
 
@@ -52,7 +53,7 @@ _STOP = b"."
 #: Odd numbers for the places of words in a phrase and its length.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
-_DEALT = "bucket int, shard int, lang string, n int, keys binary, counts binary"
+_DEALT = "bucket int, lang string, n int, keys binary, shards binary, counts binary"
 
 
 # --- Words and keys -----------------------------------------------------------------------------------------------
@@ -64,36 +65,36 @@ def _documents(docs: DataFrame) -> DataFrame:
     return rows.select(shard.alias("shard"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], by: list[str], size: int) -> Iterator[tuple[tuple, list[bytes], int]]:
-    """Words of one group of documents, stops among them, about ``size`` bytes at a time, and how many were seen before.
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[tuple[int, list[bytes], int]]]]:
+    """A language, and for each shard the words of some documents, stops among them, and how many were seen before.
 
-    Of a text that goes on from one block to the next, the last words are seen again, so that phrases across are counted.
+    A block has about ``size`` bytes. Of a text that goes on from one block to the next, the last words are seen again, so
+    that phrases across are counted.
     """
-    waiting: dict[tuple, list[bytes]] = {}
-    held: dict[tuple, int] = {}
+    waiting: dict[str, dict[int, list[bytes]]] = {}
+    held: dict[str, int] = {}
 
     def words(parts: list[bytes]) -> list[bytes]:
         return b"\n".join(parts).translate(_PIECES).replace(_STOP, b" . ").split()
 
-    def block(group: tuple) -> tuple[tuple, list[bytes], int]:
-        held.pop(group)
-        return group, words(waiting.pop(group)), 0
+    def block(lang: str) -> tuple[str, list[tuple[int, list[bytes], int]]]:
+        held.pop(lang)
+        return lang, [(shard, words(texts), 0) for shard, texts in waiting.pop(lang).items()]
 
     for batch in batches:
-        groups = list(zip(*(batch[c].to_pylist() for c in by)))
-        for group, value in zip(groups, batch["text"]):
+        for shard, lang, value in zip(batch["shard"].to_pylist(), batch["lang"].to_pylist(), batch["text"]):
             text = value.as_buffer().to_pybytes()
             if len(text) > size:
-                yield from ((group, *part) for part in _long(text, size, words))
+                yield from ((lang, [(shard, *part)]) for part in _long(text, size, words))
                 continue
-            waiting.setdefault(group, []).append(text)
-            held[group] = held.get(group, 0) + len(text)
-            if held[group] >= size:
-                yield block(group)
+            waiting.setdefault(lang, {}).setdefault(shard, []).append(text)
+            held[lang] = held.get(lang, 0) + len(text)
+            if held[lang] >= size:
+                yield block(lang)
             elif sum(held.values()) >= 4 * size:
                 yield block(max(held, key=held.get))
-    for group in list(waiting):
-        yield block(group)
+    for lang in list(waiting):
+        yield block(lang)
 
 
 def _long(text: bytes, size: int, words) -> Iterator[tuple[list[bytes], int]]:
@@ -161,9 +162,10 @@ def _unpack(data: bytes, n: int, kind) -> np.ndarray:
 
 def _words_by_shard(rows: DataFrame) -> dict[tuple[int, str], int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (shard, lang), words, seen in _blocks(batches, ["shard", "lang"], BLOCK):
-            n = len(words) - words.count(_STOP) - (seen - words[:seen].count(_STOP))
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([lang]), pa.array([n], pa.int64())], names=["shard", "lang", "n"])
+        for lang, parts in _blocks(batches, BLOCK):
+            n = [len(words) - words.count(_STOP) - (seen - words[:seen].count(_STOP)) for _, words, seen in parts]
+            shards = pa.array([shard for shard, *_ in parts], pa.int32())
+            yield pa.RecordBatch.from_arrays([shards, pa.array([lang] * len(n)), pa.array(n, pa.int64())], names=["shard", "lang", "n"])
 
     found = rows.mapInArrow(count, "shard int, lang string, n long").groupBy("shard", "lang").agg(F.sum("n").alias("n"))
     return {(r["shard"], r["lang"]): r["n"] for r in found.collect()}
@@ -171,48 +173,62 @@ def _words_by_shard(rows: DataFrame) -> dict[tuple[int, str], int]:
 
 def _dealt(bits: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each block and bucket: the keys in order, as differences, and their counts."""
-        for (shard, lang), words, seen in _blocks(batches, ["shard", "lang"], BLOCK):
-            ids, _, hashes = _numbered(words, lang)
-            del words
-            keys, counts = np.unique(np.concatenate([k for _, k, _ in _phrases(ids, hashes, seen)] or [np.zeros(0, np.uint64)]), return_counts=True)
-            buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
-            borders = np.flatnonzero(np.diff(buckets, prepend=-1))
+        """The keys of a block in order, as differences, with shards and counts: a row for each of ``2 ** ROW_BITS`` ranges.
+
+        So a block is as many rows however large the corpus is, until a bucket is less than a range.
+        """
+        row_bits = max(bits, ROW_BITS)
+        for lang, parts in _blocks(batches, BLOCK):
+            found = []
+            for shard, words, seen in parts:
+                ids, _, hashes = _numbered(words, lang)
+                keys = np.concatenate([k for _, k, _ in _phrases(ids, hashes, seen)] or [np.zeros(0, np.uint64)])
+                keys, counts = np.unique(keys, return_counts=True)
+                found.append((keys, np.full(len(keys), shard, np.uint8), counts.astype(np.uint32)))
+            del parts
+            keys, shards, counts = (np.concatenate(c) for c in zip(*found))
+            order = np.argsort(keys, kind="stable")
+            keys, shards, counts = keys[order], shards[order], counts[order]
+            ranges = (keys >> np.uint64(64 - row_bits)).astype(np.int64)
+            borders = np.flatnonzero(np.diff(ranges, prepend=-1))
             rows = []
             for a, b in zip(borders, [*borders[1:], len(keys)]):
                 steps = np.diff(keys[a:b], prepend=np.uint64(0))
-                rows.append((int(buckets[a]), shard, lang, int(b - a), _pack(steps), _pack(counts[a:b].astype(np.uint32))))
+                rows.append((int(ranges[a]) >> (row_bits - bits), lang, int(b - a), _pack(steps), shards[a:b].tobytes(), _pack(counts[a:b])))
             for at in range(0, len(rows), 512):
                 part = list(zip(*rows[at : at + 512]))
-                kinds = [pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, kinds, strict=True)], names=["bucket", "shard", "lang", "n", "keys", "counts"])
+                kinds = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, kinds, strict=True)], names=["bucket", "lang", "n", "keys", "shards", "counts"])
 
     return deal
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(first) else count
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def _frequent(support: int, least: dict[tuple[int, str], int], bits: int):
     def mine(table: pa.Table) -> pa.Table:
         """The part of the filter that a bucket's keys fall into."""
-        by_shard: dict[tuple, list] = {}
-        for shard, lang, n, keys, counts in zip(*(table[c].to_pylist() for c in ("shard", "lang", "n", "keys", "counts"))):
-            of = by_shard.setdefault((shard, lang), [])
-            of.append((np.cumsum(_unpack(keys, n, np.uint64), dtype=np.uint64), _unpack(counts, n, np.uint32).astype(np.int64)))
-        whole, candidates = [], []
-        for group in list(by_shard):
-            keys, counts = _summed(*zip(*by_shard.pop(group)))
-            candidates.append(keys[counts >= least[group]])
-            whole.append((keys, counts))
-        united = np.unique(np.concatenate(candidates))
-        keys, counts = _summed(*zip(*whole))
-        kept = keys[(counts >= support) & np.isin(keys, united, assume_unique=True)]
+        by_lang: dict[str, list] = {}
+        for lang, n, keys, shards, counts in zip(*(table[c].to_pylist() for c in ("lang", "n", "keys", "shards", "counts"))):
+            entry = np.cumsum(_unpack(keys, n, np.uint64), dtype=np.uint64), np.frombuffer(shards, np.uint8), _unpack(counts, n, np.uint32).astype(np.int64)
+            by_lang.setdefault(lang, []).append(entry)
+        kept = []
+        for lang in list(by_lang):
+            keys, shards, counts = (np.concatenate(c) for c in zip(*by_lang.pop(lang)))
+            locally = []
+            for shard in np.unique(shards):
+                own = shards == shard
+                key, count = _summed(keys[own], counts[own])
+                locally.append(key[count >= least[int(shard), lang]])
+            united = np.unique(np.concatenate(locally))
+            key, count = _summed(keys, counts)
+            kept.append(key[(count >= support) & np.isin(key, united, assume_unique=True)])
+        kept = np.concatenate(kept)
         bucket = table["bucket"][0].as_py()
         places = (kept >> np.uint64(64 - FILTER_BITS)).astype(np.int64) - (bucket << (FILTER_BITS - bits))
         flags = np.zeros(1 << (FILTER_BITS - bits), np.uint8)
@@ -226,7 +242,7 @@ def _counted(known):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Phrases the filter has, with their number in each block."""
         bits = np.frombuffer(known.value, np.uint8)
-        for (lang,), words, seen in _blocks(batches, ["lang"], LAST_BLOCK):
+        for lang, [(_, words, seen)] in _blocks(batches, LAST_BLOCK):
             ids, distinct, hashes = _numbered(words, lang)
             del words
             for n, keys, starts in _phrases(ids, hashes, seen):
@@ -267,7 +283,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     for row in parts.collect():
         known[row["bucket"]] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
     known = spark.sparkContext.broadcast(known.tobytes())
-    counted = rows.select("lang", "text").mapInArrow(_counted(known), "lang string, phrase string, words int, a long")
+    counted = rows.withColumn("shard", F.lit(0)).mapInArrow(_counted(known), "lang string, phrase string, words int, a long")
     summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
     found = stored(summed, "phrases")
     known.unpersist()
