@@ -279,6 +279,17 @@ ORACLE: dict[str, str] = {
     "report_parts": """
         SELECT o_custkey::VARCHAR AS username, CASE WHEN o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW' THEN o_orderpriority END AS role,
                o_orderstatus AS login_type FROM orders""",
+    "malformed_report_rows": """
+        WITH made AS (
+            SELECT o_orderkey::VARCHAR AS key, o_orderpriority || ',' || chr(10) || chr(34) || o_orderstatus || chr(34) AS note,
+                   o_custkey % 11 <> 0 AS owned, o_custkey % 7 = 0 AS more, o_custkey::VARCHAR AS cust
+            FROM orders
+        )
+        SELECT key AS username, note AS name, CASE WHEN owned THEN cust ELSE 'more' END AS email, '' AS reason FROM made WHERE owned <> more
+        UNION ALL
+        SELECT key, concat_ws(',', key, chr(34) || replace(note, chr(34), chr(34) || chr(34)) || chr(34), CASE WHEN owned THEN cust END, CASE WHEN more THEN 'more' END),
+               '', 'number of fields'
+        FROM made WHERE owned = more""",
     "written_reports": f"{_QUOTA} SELECT * FROM report",
     "directory_exports": f"""
         WITH {_DIRECTORY} SELECT key, user_id, p.department, boss.mail AS manager_email

@@ -150,6 +150,22 @@ def report_parts(t):
     return back.select("username", "role", "login_type")
 
 
+@query
+def malformed_report_rows(t):
+    """Rows of a report with too many or too few fields, among rows whose quoted fields hold line feeds and commas."""
+    path = paths.scratch(t.spark, "malformed")
+    note = F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(',\n""'), F.col("o_orderstatus"), F.lit('"""'))
+    fields = F.concat_ws(",", text("o_orderkey"), note, F.when(F.col("o_custkey") % 11 != 0, text("o_custkey")), F.when(F.col("o_custkey") % 7 == 0, F.lit("more")))
+    t.orders.select(fields.alias("value")).withColumn("value", F.concat(F.lit("Username,Name,Email\n"), "value")).write.text(path, lineSep="\n")
+    # Each row brings a header line, which only the first of a file is; the others are rows of the right length.
+    found = reports.read_rows(t.spark, path, MEMBERS)
+    wrong = reports.malformed_rows(found)
+    kept = found.where(F.col(reports.MALFORMED).isNull() & (F.col("username") != "Username"))
+    return kept.select("username", "name", "email", F.lit("").alias("reason")).unionByName(
+        wrong.select(F.substring_index("record", ",", 1).alias("username"), F.col("record").alias("name"), F.lit("").alias("email"), "reason")
+    )
+
+
 @query
 def written_reports(t):
     """Quota reports of two dates written, the newest one found and read."""

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from rosterkeep.functions.typing import DATE_FORMATS, apply_types
 from rosterkeep.model import (
@@ -46,6 +46,8 @@ class RunConfig:
     na_tokens: Sequence[str] = ()
     multi_line: bool = True
     line_sep: str | None = None
+    #: So many malformed rows of a report are listed and left out; with more the report is not taken in.
+    max_malformed: int = 0
     templates: Mapping[str, Template] = field(default_factory=lambda: DEFAULT_TEMPLATES)
 
 
@@ -75,9 +77,17 @@ def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
     return pending
 
 
+class TooManyMalformed(ValueError):
+    """A report with more malformed rows than the run allows."""
+
+
 def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
-    """One report as the snapshot of the run date; rows with unreadable values are listed besides."""
-    df = reports.read_report(
+    """One report as the snapshot of the run date.
+
+    Malformed rows are counted while the snapshot is written and listed with file and line; if there are more than
+    ``max_malformed``, the snapshot does not come into force. Rows with unreadable values are in it, and listed besides.
+    """
+    rows = reports.read_report(
         store.spark,
         path,
         layout,
@@ -87,8 +97,20 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
         config.multi_line,
         config.line_sep,
         note_unreadable=True,
+        note_malformed=True,
     )
-    store.write_snapshot(layout.name, config.run_date, df)
+    seen = Observation()
+    wrong = F.col(reports.MALFORMED).isNotNull()
+    counted = rows.observe(seen, F.count_if(wrong).alias("malformed"))
+
+    def judge() -> None:
+        if seen.get["malformed"]:
+            listed = store.report_path(reports.dated_name(f"malformed_{layout.name}", config.run_date))
+            reports.write_csv(reports.malformed_rows(rows), listed)
+            if seen.get["malformed"] > config.max_malformed:
+                raise TooManyMalformed(f"{seen.get['malformed']} malformed rows in {path}, listed in {listed}")
+
+    store.write_snapshot(layout.name, config.run_date, counted.where(~wrong).drop(reports.MALFORMED), judge)
     written = store.snapshot(layout.name, config.run_date)
     listed = written.where(F.size("unreadable") > 0).withColumn("unreadable", F.concat_ws("; ", "unreadable"))
     reports.write_csv(listed, store.report_path(reports.dated_name(f"unreadable_{layout.name}", config.run_date)), layout)

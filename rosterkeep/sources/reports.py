@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
+from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +14,10 @@ from rosterkeep.functions.text import snapshot_name
 from rosterkeep.functions.typing import DATE_FORMATS, apply_types, na_to_null
 from rosterkeep.model import Layout, kind_column
 from rosterkeep.operators.latest import latest_per_kind
-from rosterkeep.sources import paths
+from rosterkeep.sources import paths, records
+
+#: The column that tells what is wrong with a row.
+MALFORMED = "_malformed"
 
 
 class NoReport(FileNotFoundError):
@@ -61,35 +66,77 @@ def latest_report_paths(reports: DataFrame, kinds: Sequence[str]) -> dict[str, s
 # --- Reading ------------------------------------------------------------------------------------------------------
 
 
-def read_text_columns(
+def _column_names(header: str) -> list[str]:
+    """Names of a header's fields; an empty one goes by its place, and so do several that differ at most in case."""
+    names = next(csv.reader(io.StringIO(header, newline="")), [])
+    seen = Counter(name.lower() for name in names)
+    return [f"_c{i}" if not name else f"{name}{i}" if seen[name.lower()] > 1 else name for i, name in enumerate(names)]
+
+
+def read_rows(
     spark: SparkSession,
     path: str | list[str],
     layout: Layout | None = None,
     multi_line: bool = True,
     line_sep: str | None = None,
 ) -> DataFrame:
-    """A CSV report with every column as text, bound by header name, quoted line feeds and doubled quotes kept.
+    """Every row of a CSV report, with every column as text, and ``MALFORMED``: NULL, or what is wrong with the row.
+
+    ``MALFORMED`` has the row's ``file``, the ``line`` it begins in, the ``reason`` and its whole text as ``record``. A row is
+    malformed if it has more or fewer fields than its file's header, or a quote that is never closed.
 
-    Blank fields are NULL. Files of a report may have other columns or another order; those with the same header are one
-    scan, and a file whose header changes meanwhile is an error. Where rows may hold line feeds, a file is read by one
-    task, so a large report should come as a directory of part files. Files are split over many tasks where rows end
-    differently from the line feeds within them (``line_sep="\r\n"``), or are known to hold none (``multi_line=False``).
+    Columns are bound by the header of each file, whose order and number may differ between files; quoted line feeds and
+    doubled quotes are kept, blank fields are NULL, blank lines are left out. A file is read by as many tasks as it has
+    splits, also where rows may hold line feeds (``records``). Files whose rows end differently from the line feeds within
+    them (``line_sep="\r\n"``), or are known to hold none (``multi_line=False``), are spared the search for open quotes.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False)
-    if line_sep:
-        reader = reader.option("lineSep", line_sep)
-    elif multi_line:
-        reader = reader.option("multiLine", True)
-    by_header: dict[str, list[str]] = {}
-    for part in [path] if isinstance(path, str) else path:
-        for file in paths.data_files(spark, part):
-            by_header.setdefault(paths.first_line(spark, file).rstrip("\r"), []).append(file)
-    if not by_header:
+    files = [file for part in ([path] if isinstance(path, str) else path) for file in paths.data_files(spark, part)]
+    if not files:
         raise NoReport(f"no file in {path}")
-    # A file without a line has no header, and no rows.
-    parts = [reader.csv(files) for header, files in sorted(by_header.items()) if header or len(by_header) == 1]
-    raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return raw.withColumnsRenamed(layout.from_header) if layout else raw
+    rows, headers = records.records(spark, files, multi_line and not line_sep, line_sep or "\n")
+    of_header = [_column_names(header) for header in headers]
+    names = list(dict.fromkeys(name for found in of_header for name in found))
+    parsed = {}
+    for number, found in enumerate(of_header):
+        # One more field, so that every real one ends at a comma: a text that just stops is parsed in a way of its own.
+        schema = ", ".join(f"f{i} string" for i in range(len(found) + 1)) + ", corrupt string"
+        fields = F.from_csv(F.concat("record", F.lit(",")), schema, {"escape": '"', "columnNameOfCorruptRecord": "corrupt"})
+        parsed[f"_{number}"] = F.when(F.col("layout") == number, fields)
+    rows = rows.withColumns(parsed)
+    columns = []
+    for name in names:
+        held = [F.col(f"_{n}.f{found.index(name)}") for n, found in enumerate(of_header) if name in found]
+        columns.append(F.coalesce(*held).alias(name))
+    corrupt = [F.col(f"_{n}.corrupt") for n in range(len(of_header))]
+    reason = F.when(F.col("unclosed"), "quote never closed")
+    if corrupt:
+        reason = reason.when(F.coalesce(*corrupt).isNotNull(), "number of fields")
+    wrong = F.when(reason.isNotNull(), F.struct("file", "line", reason.alias("reason"), "record"))
+    out = rows.select(*columns, wrong.alias(MALFORMED))
+    return out.withColumnsRenamed(layout.from_header) if layout else out
+
+
+def read_text_columns(
+    spark: SparkSession,
+    path: str | list[str],
+    layout: Layout | None = None,
+    multi_line: bool = True,
+    line_sep: str | None = None,
+) -> DataFrame:
+    """The columns of a CSV report as text (S2); a malformed row is an error when it is read (``read_rows`` gives such rows)."""
+    return whole_rows(read_rows(spark, path, layout, multi_line, line_sep))
+
+
+def whole_rows(rows: DataFrame) -> DataFrame:
+    """The columns of ``read_rows``; a malformed row is an error."""
+    wrong = F.col(MALFORMED)
+    text = F.concat_ws(" ", F.lit("malformed row:"), wrong["reason"], wrong["file"], F.lit("line"), wrong["line"].cast("string"))
+    return rows.where(F.when(wrong.isNull(), True).otherwise(F.raise_error(text).cast("boolean"))).drop(MALFORMED)
+
+
+def malformed_rows(rows: DataFrame) -> DataFrame:
+    """``file, line, reason, record`` of the malformed rows among those of ``read_rows``."""
+    return rows.where(F.col(MALFORMED).isNotNull()).select(f"{MALFORMED}.*")
 
 
 def stamp(df: DataFrame, run_date: dt.date) -> DataFrame:
@@ -107,9 +154,12 @@ def read_report(
     multi_line: bool = True,
     line_sep: str | None = None,
     note_unreadable: bool = False,
+    note_malformed: bool = False,
 ) -> DataFrame:
-    """A report typed and stamped (S2, S3, T2-T6), on request with the values that could not be typed."""
-    raw = read_text_columns(spark, path, layout, multi_line, line_sep)
+    """A report typed and stamped (S2, S3, T2-T6), on request with the values that could not be typed, and with malformed
+    rows marked by ``MALFORMED`` rather than an error."""
+    rows = read_rows(spark, path, layout, multi_line, line_sep)
+    raw = rows if note_malformed else whole_rows(rows)
     if na_tokens:
         raw = na_to_null(raw, na_tokens)
     return stamp(apply_types(raw, layout, formats, note_unreadable), run_date)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -72,10 +72,10 @@ class Store:
 
     # --- Snapshots ---
 
-    def write_snapshot(self, kind: str, date: dt.date, df: DataFrame) -> str:
+    def write_snapshot(self, kind: str, date: dt.date, df: DataFrame, judge: Callable[[], None] | None = None) -> str:
         """A snapshot of a date; written again it is a new writing, which counts from then on.
 
-        A date that is in the history stays as it is: its states could not be taken out again.
+        ``judge`` runs when the rows are written; if it raises, they do not come into force. A date that is in the history stays as it is: its states could not be taken out again.
         """
         if date.isoformat() in self._folded(kind):
             raise AlreadyFolded(f"{kind} of {date} is in the history")
@@ -83,6 +83,8 @@ class Store:
         number = 1 + max([0, *(int(n[len(WRITING):]) for n in paths.names(self.spark, folder) if n.startswith(WRITING))])
         path = f"{folder}/{WRITING}{number:06d}"
         df.write.parquet(path)
+        if judge:
+            judge()
         self.commit(f"snapshots-{kind}", f"{date.isoformat()}.{number:06d}", path)
         return path
 

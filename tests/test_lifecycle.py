@@ -170,4 +170,3 @@ def test_overrides(spark):
     asked = spark.createDataFrame([("a@d", True), ("a@d", False), ("c@d", False), (None, True)], "working_email string, override boolean")
     assert rows(lifecycle.apply_overrides(state, asked), "username", "override") == [("a", True), ("b", None), ("c", False), ("d", False)]
     assert rows(lifecycle.by_working_email(state, "a@d"), "username") == [("a",)]
-    assert rows(lifecycle.without_address(state), "username") == [("d",)]

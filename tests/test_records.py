@@ -1,0 +1,123 @@
+"""Records of CSV files read by many tasks, against the reader that takes a file as one."""
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from rosterkeep.model import MEMBERS
+from rosterkeep.sources import records, reports
+
+
+@pytest.fixture
+def small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    yield lambda size: spark.conf.set(key, str(size))
+    spark.conf.set(key, before)
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+def by_one_task(spark, path):
+    df = spark.read.options(header=True, escape='"', multiLine=True).csv(path)
+    return rows(df)
+
+
+def quoted(text):
+    return '"' + text.replace('"', '""') + '"'
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [40, 97, 1000, 1 << 20])
+def test_equal_to_the_read_by_one_task(spark, tmp_path, small_splits, split, newline):
+    r = random.Random(split)
+    texts = ["plain", f"two{newline}lines", f'"{newline}"', "a,b", f"{newline}{newline}", 'say "hi"', "", "x" * 60, f'end"{newline},"', "ünï", " padded "]
+    lines = ["Username,Name,Email"] + [",".join(quoted(r.choice(texts)) if r.random() < 0.7 else f"u{i}" for _ in range(3)) for i in range(300)]
+    path = write(tmp_path / "r.csv", newline.join(lines) + (newline if split % 2 else ""))
+    small_splits(split)
+    df = reports.read_text_columns(spark, path)
+    assert df.columns == ["Username", "Name", "Email"] and rows(df) == by_one_task(spark, path)
+    found, _ = records.records(spark, [path])
+    assert found.rdd.getNumPartitions() > 5 or split > 5000
+
+
+@pytest.mark.parametrize("seed", range(4, 7))
+def test_stray_quotes_as_the_read_by_one_task(spark, tmp_path, small_splits, seed):
+    """Quotes within unquoted fields, text after a closing quote, blanks around: any text whose last record is closed."""
+    r = random.Random(seed)
+    parts = ['a', '"', '""', ",", "\n", ' ', '"b"', ',"c"', "d\n", '"e\nf"', '5" pipe', '"g" ,', "\n\n"]
+    small_splits(16)
+    for k in range(10):
+        text = "A,B\n" + "".join(r.choices(parts, k=40))
+        is_open = False
+        for line in text.split("\n"):
+            is_open = records.ends_open(line.encode(), is_open)
+        text += '"\n' if is_open else "\n"
+        if records.ends_open(b'"', True):
+            continue
+        path = write(tmp_path / f"{k}.csv", text)
+        all_rows = reports.read_rows(spark, path)
+        want = by_one_task(spark, path)
+        assert rows(all_rows, "A", "B") == want, text
+
+
+def test_malformed_rows_are_listed(spark, tmp_path, small_splits):
+    text = 'Username,Name,Email\nu1,n1,e1\nu2,n2,e2,extra\nu3,n3\n"u4","two\nlines",e4\nu5,"never\nu6,n6,e6\nu7,n7,e7\n'
+    path = write(tmp_path / "m.csv", text)
+    for size in (12, 1 << 20):
+        small_splits(size)
+        found = reports.read_rows(spark, path, MEMBERS)
+        assert rows(found.where("_malformed is null"), "username", "name", "email") == [("u1", "n1", "e1"), ("u4", "two\nlines", "e4")]
+        wrong = reports.malformed_rows(found)
+        assert rows(wrong, "line", "reason", "record") == [
+            (3, "number of fields", "u2,n2,e2,extra"),
+            (4, "number of fields", "u3,n3"),
+            (7, "quote never closed", 'u5,"never'),
+            (8, "quote never closed", "u6,n6,e6"),
+            (9, "quote never closed", "u7,n7,e7"),
+        ]
+        assert wrong.where(F.col("file").endswith("/m.csv")).count() == 5
+    with pytest.raises(Exception, match="malformed row"):
+        reports.read_text_columns(spark, path).collect()
+
+
+def test_files_with_other_headers(spark, tmp_path, small_splits):
+    small_splits(45)
+    write(tmp_path / "r" / "a.csv", "﻿Name,Username\nn1,u1\n")
+    write(tmp_path / "r" / "b.csv", '\n\nUsername,"Extra, of\ntwo lines",Name\nu2,x,n2\nu3,y\n')
+    write(tmp_path / "r" / "c.csv", "")
+    write(tmp_path / "r" / "d.csv", "\n\n")
+    write(tmp_path / "r" / "e.csv", "Name,Username\r\n\"n\r\n4\",u4\r\n")
+    found = reports.read_rows(spark, str(tmp_path / "r"))
+    assert rows(found.where("_malformed is null"), "Username", "Name", "`Extra, of\ntwo lines`") == [("u1", "n1", None), ("u2", "n2", "x"), ("u4", "n\n4", None)]
+    assert rows(reports.malformed_rows(found), "line", "record") == [(6, "u3,y")]
+
+
+def test_header_without_end(spark, tmp_path, small_splits):
+    path = write(tmp_path / "r.csv", 'A,"B\n' + "C\n" * 100)
+    for size in (10, 1 << 20):
+        small_splits(size)
+        with pytest.raises(records.NoHeader):
+            reports.read_text_columns(spark, path)
+
+
+def test_headers(spark, tmp_path):
+    path = write(tmp_path / "h.csv", "A,,a,B`c\n1,2,3,4\n")
+    assert reports.read_text_columns(spark, path).columns == ["A0", "_c1", "a2", "B`c"]
+    assert rows(reports.read_text_columns(spark, path)) == [("1", "2", "3", "4")]
+    assert rows(reports.read_text_columns(spark, write(tmp_path / "e.csv", "A,B\n"))) == []
+
+
+def test_changed_splits_are_an_error(spark, tmp_path, small_splits):
+    path = write(tmp_path / "r.csv", "A,B\n" + 'x,"y\nz"\n' * 200)
+    small_splits(100)
+    df = reports.read_text_columns(spark, path)
+    small_splits(70)
+    with pytest.raises(Exception, match="split otherwise"):
+        df.collect()
