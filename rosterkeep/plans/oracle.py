@@ -274,6 +274,16 @@ ORACLE: dict[str, str] = {
     "history_bootstrap": _IDENTITY_HISTORY,
     "history_incremental": _IDENTITY_HISTORY,
     "history_compacted": _IDENTITY_HISTORY,
+    "history_tiers": _IDENTITY_HISTORY,
+    "history_expired": f"""
+        WITH {_IDENTITY_ROWS},
+        dated AS (SELECT *, least(greatest(coalesce(year(updated_date), 0), 1995), 2001) AS y FROM identity_rows),
+        snapshot AS (SELECT d.*, s.year FROM dated d, (SELECT unnest(range(1995, 2002)) AS year) s WHERE y = s.year OR (y < s.year AND username::INTEGER % 8 = s.year % 8)),
+        seen AS (SELECT username, count(DISTINCT year) AS n FROM snapshot GROUP BY username)
+        SELECT 'history' AS part, username, concat_ws(' ', manager_email, entra_status, max(updated_date)::VARCHAR) AS value
+        FROM identity_rows GROUP BY username, manager_email, entra_status
+        UNION ALL SELECT 'snapshot', username, count(*)::VARCHAR FROM snapshot WHERE year = 2001 GROUP BY username
+        UNION ALL SELECT 'state', c_custkey::VARCHAR, coalesce(n, 0)::VARCHAR FROM customer LEFT JOIN seen ON username = c_custkey::VARCHAR""",
     "streaming_intake": _IDENTITY_HISTORY,
     "streaming_rewritten": _IDENTITY_HISTORY,
     "report_parts": """

@@ -380,7 +380,7 @@ def history_incremental(t):
 
 @query
 def history_compacted(t):
-    """H6: the same, with the parts summed up in between; states come back after that."""
+    """H6: the same, with all parts summed up as one in between; states come back after that."""
     store = Store(t.spark, paths.scratch(t.spark, "history"))
     rows = b.identity_rows(t)
     config = runs.RunConfig(RUN_DATE, SUFFIX, DOMAIN, QUOTA)
@@ -388,10 +388,56 @@ def history_compacted(t):
     for part, date in ((~early, "2001-07-30"), (early, "2001-07-31")):
         store.write_snapshot("identity", runs.dt.date.fromisoformat(date), rows.where(part))
         runs.fold_history(store, config, "identity")
-        store.compact_history("identity")
+        store.compact_history("identity", whole=True)
+    return _shown(store.history("identity"), IDENTITY_SHOWN)
+
+
+def _year(rows: DataFrame, year: int) -> DataFrame:
+    """Rows of a year, the first and the last one with those before and after; in between one customer in eight comes back."""
+    dated = F.least(F.greatest(F.coalesce(F.year("updated_date"), F.lit(0)), F.lit(1995)), F.lit(2001))
+    return rows.where((dated == year) | (dated < year) & (F.col("username").cast("int") % 8 == year % 8))
+
+
+def _folded_by_year(t, each) -> Store:
+    """A snapshot for each year of orders folded, with ``each`` done after every fold."""
+    store = Store(t.spark, paths.scratch(t.spark, "tiers"))
+    rows = b.identity_rows(t)
+    config = runs.RunConfig(RUN_DATE + runs.dt.timedelta(days=365), SUFFIX, DOMAIN, QUOTA)
+    for year in range(1995, 2002):
+        store.write_snapshot("identity", runs.dt.date(year, 12, 31), _year(rows, year))
+        runs.fold_history(store, config, "identity")
+        each(store)
+    return store
+
+
+@query
+def history_tiers(t):
+    """H6: seven folds, parts summed up tier by tier; states come back years later."""
+    store = _folded_by_year(t, lambda store: store.compact_history("identity"))
     return _shown(store.history("identity"), IDENTITY_SHOWN)
 
 
+@query
+def history_expired(t):
+    """What was folded, summed up or replaced is dropped; history, newest snapshot and state stay as they are."""
+
+    def each(store: Store) -> None:
+        state = store.read("seen") if store.has("seen") else t.customer.select(text("c_custkey").alias("username"), F.lit(0).alias("n"))
+        here = store.snapshot("identity").select("username").distinct().withColumn("here", F.lit(1))
+        store.replace("seen", state.join(here, "username", "left").select("username", (F.col("n") + F.coalesce("here", F.lit(0))).alias("n")))
+        store.compact_history("identity")
+        store.expire(runs.dt.datetime(9999, 1, 1, tzinfo=runs.dt.timezone.utc))
+
+    store = _folded_by_year(t, each)
+    parts = {
+        "history": store.history("identity").select("username", F.concat_ws(" ", "manager_email", "entra_status", "updated_date")),
+        "snapshot": store.snapshot("identity").groupBy("username").agg(F.count(F.lit(1)).cast("string")),
+        "state": store.read("seen").select("username", F.col("n").cast("string")),
+    }
+    named = [df.toDF("username", "value").select(F.lit(part).alias("part"), "username", "value") for part, df in parts.items()]
+    return reduce(DataFrame.unionAll, named)
+
+
 @query
 def streaming_intake(t):
     """§2.12: snapshots folded by a stream of their records, each once."""

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,15 +39,56 @@ def make_folder(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, there as a whole or not at all; one that exists is an error."""
+    """A small file, there as a whole or not at all; one that exists is an error, also where two write it at a time.
+
+    On a local folder a finished file gets its name by a link, on HDFS by a rename, which both refuse to replace a file;
+    elsewhere (object stores) a file appears when it is closed, and creating it without overwriting is left to the store.
+    """
     fs, hadoop = _fs(spark, path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{hadoop.getParent()}/.{hadoop.getName()}.{uuid.uuid4().hex}")
     fs.mkdirs(hadoop.getParent())
-    out = fs.create(part, False)
+    scheme = fs.getUri().getScheme()
+    if scheme not in ("file", "hdfs", "viewfs", "webhdfs"):
+        try:
+            _create(fs, hadoop, text)
+        except Py4JJavaError as error:
+            raise FileExistsError(path) from error
+        return
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{hadoop.getParent()}/.{hadoop.getName()}.{uuid.uuid4().hex}")
+    _create(fs, part, text)
+    try:
+        if scheme == "file":
+            jvm = spark._jvm.java.nio.file
+            names = [jvm.Path.of(p.toUri().getPath(), spark.sparkContext._gateway.new_array(spark._jvm.String, 0)) for p in (hadoop, part)]
+            try:
+                jvm.Files.createLink(*names)
+            except Py4JJavaError as error:
+                raise FileExistsError(path) from error
+        elif not fs.rename(part, hadoop):
+            raise FileExistsError(path)
+    finally:
+        fs.delete(part, False)
+
+
+def _create(fs, path, text: str) -> None:
+    out = fs.create(path, False)
     out.write(bytearray(text.encode()))
     out.close()
-    if not fs.rename(part, hadoop):
-        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, hadoop = _fs(spark, path)
+    opened = fs.open(hadoop)
+    try:
+        return bytes(spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(opened)).decode()
+    finally:
+        opened.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder; one that is not there is no error."""
+    fs, hadoop = _fs(spark, path)
+    fs.delete(hadoop, True)
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
@@ -84,9 +127,21 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(hadoop)
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster whose session names no folder that all its machines share."""
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``, or where it is unset the warehouse, which is shared too."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or where it is unset the warehouse.
+
+    A warehouse on a local disk will do on one machine only; on a cluster it is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        on_disk = _fs(spark, folder)[0].getUri().getScheme() == "file"
+        if on_disk and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise NoSharedFolder(f"set spark.checkpoint.dir: {folder} is local to each machine of {spark.sparkContext.master}")
     return folder.rstrip("/")
 
 
