@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rosterkeep.sources.paths import shared_folder
+
 #: A-Z to a-z, all other bytes as they are.
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: The same, and every byte that is neither a digit, a letter nor part of a character beyond ASCII becomes a space.
@@ -24,12 +28,6 @@ def blank_words(text: bytes) -> list[bytes]:
     return text.translate(LOWER_BLANKS).split()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where that is unset, the warehouse, which all executors share as well."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written as Parquet in the shared folder and read again.
 
@@ -53,8 +51,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch that goes to Python; Spark's own bound is many times that, and a worker holds a batch several times.
+BATCH = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH`` bytes; lower bounds stay."""
+    before = spark.conf.get(_BATCH, None)
+    size = re.fullmatch(r"(\d+)b?", before or "", re.IGNORECASE)
+    if not size or not 0 < int(size[1]) <= BATCH:
+        spark.conf.set(_BATCH, str(BATCH))
+
+
+#: What operators keep in a worker process from one task to the next, and how it is dropped.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def begin(operator: str, forget: Callable[[], None] | None = None) -> None:
+    """Called by a task that begins: what other operators kept in this process is dropped."""
+    for other in [o for o in _kept if o != operator]:
+        _kept.pop(other)()
+        pa.default_memory_pool().release_unused()
+    if forget:
+        _kept[operator] = forget
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Columns by their exact names, whatever else the frame has (also names that differ only in case)."""
+    """Columns by their exact names, whatever else the frame has (also names that differ only in case).
+
+    They are what an operator sends to Python, so batches are made small.
+    """
+    small_batches(df.sparkSession)
     places = [df.columns.index(n) for n in names]
     numbered = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
     return numbered.select(*[F.col(f"_{i}").alias(n) for i, n in zip(places, names, strict=True)])

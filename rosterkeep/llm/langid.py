@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from rosterkeep.llm.common import pick, pieces_of_bytes, stored, with_columns_by_place
+from rosterkeep.llm.common import begin, pick, pieces_of_bytes, stored, with_columns_by_place
 
 PER_LANGUAGE = 800
 MAX_WORDS = 60_000
@@ -107,6 +107,7 @@ class Model:
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Words (length 0) and n-grams of some texts with their number by language; of about a megabyte at a time."""
+    begin("langid")
     for batch in batches:
         for lang, texts in batch.groupby("lang")["text"]:
             texts = texts.tolist()
@@ -160,6 +161,7 @@ def predictor(spark, model: Model):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
+        begin("langid", shared.value._seen.clear)
         values = texts.tolist()
         sizes = (bytes(0) if t is None else t for t in values)
         return pd.concat([shared.value.predict(values[a:b]) for a, b in pieces_of_bytes(sizes)], ignore_index=True) if values else shared.value.predict([])

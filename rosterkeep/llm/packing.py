@@ -31,7 +31,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from rosterkeep.llm.common import groups_for, pick, pieces_of_bytes, stored
+from rosterkeep.llm.common import begin, groups_for, pick, pieces_of_bytes, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -123,6 +123,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """``doc_id``, ``piece``, ``start``, ``length`` and ``ids_crc32`` of each piece of each document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing", _encoder.cache_clear)
         encoder = _encoder(tokenizer or tokenizer_path())
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
@@ -140,7 +141,6 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                     [batch.column("doc_id").take(pa.array(place)), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
-        encoder.forget()  # the process goes on with other work
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(cut, _PIECES)
