@@ -22,6 +22,18 @@ def ordered_distinct(df: DataFrame, key: str, value: str, order: Sequence[str],
     return listed.select(key, F.col("_list._value").alias(name))
 
 
+def first_seen(known: DataFrame | None, arrived: DataFrame, key: str, value: str, date: str) -> DataFrame:
+    """``key``, ``value`` and the first ``date`` each pair was seen on, from the pairs known so far and rows that arrived.
+
+    It can be brought up to date with any number of rows at a time, in any order and again: the result is that of all rows at
+    once. Repeats are merged before the shuffle. ``ordered_distinct`` takes it in place of the rows it stands for.
+    """
+    pairs = arrived.select(key, strip(F.col(value)).alias(value), date).where(F.col(key).isNotNull() & (F.col(value) != ""))
+    if known is not None:
+        pairs = known.select(key, value, date).unionByName(pairs)
+    return pairs.groupBy(key, value).agg(F.min(date).alias(date))
+
+
 def with_contacts(df: DataFrame, contacts: DataFrame, key: str, name: str) -> DataFrame:
     """Rows with their contact array; an empty one where there is none."""
     listed = contacts.where(F.col(key).isNotNull()).select(F.col(key).alias("_user"), F.col(name).alias("_list"))

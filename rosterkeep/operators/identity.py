@@ -11,10 +11,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterkeep.functions.addresses import CANDIDATES, with_candidates
-from rosterkeep.functions.text import blank_to_null, cut, lookup_key, strip
+from rosterkeep.functions.text import blank_to_null, cut, is_blank, lookup_key, strip
 from rosterkeep.model import IDENTITY
 from rosterkeep.operators.keys import same_key
 from rosterkeep.operators.latest import first_per_key
@@ -188,6 +188,11 @@ def identity_status(
     )
 
 
+def is_error() -> Column:
+    """Whether a row cannot be used further: it has no user name, or nothing to try."""
+    return is_blank(F.col("username")) | (F.coalesce(F.col("emails_tried"), F.lit("")) == "")
+
+
 def error_rows(identity: DataFrame) -> DataFrame:
     """User names of rows that cannot be used further: those without a user name or without anything to try."""
-    return identity.where((F.coalesce(strip(F.col("username")), F.lit("")) == "") | (F.coalesce(F.col("emails_tried"), F.lit("")) == ""))
+    return identity.where(is_error())

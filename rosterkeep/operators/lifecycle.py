@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -163,10 +164,12 @@ def _effect(position: int, current: Column, run_date: dt.date) -> Column:
     return result.otherwise(current)
 
 
-def transition(state: DataFrame, facts: DataFrame, run_date: dt.date, grace_days: int = 30) -> DataFrame:
+def transition(
+    state: DataFrame, facts: DataFrame, run_date: dt.date, grace_days: int = 30, keep: Sequence[str] = ()
+) -> DataFrame:
     """The state after one run, each row with its ``old_status`` and the ``rule`` applied (L1).
 
-    One left join to the facts and one projection; rows are neither lost nor added.
+    One left join to the facts and one projection; rows are neither lost nor added. ``keep`` names facts to be kept.
     """
     joined = state.withColumn("_key", null_safe_key(F.col("username"))).join(
         facts, same_key(F.col("_key"), F.col("_user")), "left"
@@ -193,6 +196,7 @@ def transition(state: DataFrame, facts: DataFrame, run_date: dt.date, grace_days
         *[changed.get(name, F.col(name)).alias(name) for name in state.columns],
         F.col("delete_status").alias("old_status"),
         "rule",
+        *keep,
     )
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterkeep.functions.typing import DATE_FORMATS, apply_types
 from rosterkeep.model import (
@@ -23,8 +23,9 @@ from rosterkeep.model import (
     STATE,
     TITLE_MARKS,
 )
-from rosterkeep.operators import history, identity as ids, lifecycle, notify, quota
+from rosterkeep.operators import contacts, history, identity as ids, lifecycle, notify, quota
 from rosterkeep.operators.notify import Template
+from rosterkeep.plans.counts import RunCounts, rows_counted, rule_metrics
 from rosterkeep.session import sized_shuffles
 from rosterkeep.sources import paths, reports
 from rosterkeep.sources.store import Store, empty_frame
@@ -61,10 +62,15 @@ class Directory:
     whitelist: DataFrame
 
 
-def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
+#: The table of every manager address a user ever had, with the date it was first seen.
+CONTACTS = "contacts"
+
+
+def fold_history(store: Store, config: RunConfig, kind: str, counts: RunCounts | None = None) -> list[dt.date]:
     """Take every earlier snapshot that is pending into the history of a kind, in one pass (H2, H6).
 
-    Snapshots of the run date itself wait, so a run can be repeated on its date.
+    Snapshots of the run date itself wait, so a run can be repeated on its date. With the identities the table of contacts is
+    brought up to date; a fold that is run again changes neither.
     """
     pending = [date for date in store.pending_dates(kind) if date < config.run_date]
     if pending:
@@ -72,16 +78,25 @@ def fold_history(store: Store, config: RunConfig, kind: str) -> list[dt.date]:
         opened = store.open_states(kind)
         if opened is None:
             opened = empty_frame(store.spark, layout.schema)
-        store.add_fold(kind, history.fold_open(opened, [store.snapshots(kind, pending)], layout, config.match))
+        arrived = store.snapshots(kind, pending)
+        folded = history.fold_open(opened, [arrived], layout, config.match)
+        store.add_fold(kind, _counted(counts, folded, f"fold {kind}", states=rows_counted(), open=F.count_if("open")))
+        if kind == "identity":
+            known = store.read(CONTACTS) if store.has(CONTACTS) else None
+            store.replace(CONTACTS, contacts.first_seen(known, arrived, "username", "manager_email", "updated_date"))
         store.mark_folded(kind, pending)
     return pending
 
 
+def _counted(counts: RunCounts | None, df: DataFrame, step: str, **metrics: Column) -> DataFrame:
+    return counts.observe(df, step, **metrics) if counts else df
+
+
 class TooManyMalformed(ValueError):
     """A report with more malformed rows than the run allows."""
 
 
-def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
+def take_in(store: Store, config: RunConfig, layout: Layout, path: str, counts: RunCounts | None = None) -> None:
     """One report as the snapshot of the run date.
 
     Malformed rows are counted while the snapshot is written and listed with file and line; if there are more than
@@ -99,18 +114,22 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
         note_unreadable=True,
         note_malformed=True,
     )
-    seen = Observation()
     wrong = F.col(reports.MALFORMED).isNotNull()
-    counted = rows.observe(seen, F.count_if(wrong).alias("malformed"))
+    seen = RunCounts()
+    unreadable = F.count_if(~wrong & (F.size("unreadable") > 0))
+    read = seen.observe(rows, layout.name, rows=F.count_if(~wrong), malformed=F.count_if(wrong), unreadable=unreadable)
 
     def judge() -> None:
-        if seen.get["malformed"]:
+        malformed = {name: value for _, name, value in seen.rows()}["malformed"]
+        if malformed:
             listed = store.report_path(reports.dated_name(f"malformed_{layout.name}", config.run_date))
             reports.write_csv(reports.malformed_rows(rows), listed)
-            if seen.get["malformed"] > config.max_malformed:
-                raise TooManyMalformed(f"{seen.get['malformed']} malformed rows in {path}, listed in {listed}")
+            if malformed > config.max_malformed:
+                raise TooManyMalformed(f"{malformed} malformed rows in {path}, listed in {listed}")
 
-    store.write_snapshot(layout.name, config.run_date, counted.where(~wrong).drop(reports.MALFORMED), judge)
+    store.write_snapshot(layout.name, config.run_date, read.where(~wrong).drop(reports.MALFORMED), judge)
+    if counts:
+        counts.add(seen)
     written = store.snapshot(layout.name, config.run_date)
     listed = written.where(F.size("unreadable") > 0).withColumn("unreadable", F.concat_ws("; ", "unreadable"))
     reports.write_csv(listed, store.report_path(reports.dated_name(f"unreadable_{layout.name}", config.run_date)), layout)
@@ -119,7 +138,7 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str) -> None:
     )
 
 
-def resolve_members(store: Store, config: RunConfig, directory: Directory) -> None:
+def resolve_members(store: Store, config: RunConfig, directory: Directory, counts: RunCounts | None = None) -> None:
     """Identity status of the current members as the snapshot of the run date."""
     status = ids.identity_status(
         store.snapshot("members", config.run_date),
@@ -131,7 +150,8 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory) -> No
         config.address_domain,
         config.legacy_truncate,
     )
-    store.write_snapshot("identity", config.run_date, status)
+    found = F.count_if(F.col("entra_status"))
+    store.write_snapshot("identity", config.run_date, _counted(counts, status, "identity", rows=rows_counted(), found=found, errors=F.count_if(ids.is_error())))
     written = store.snapshot("identity", config.run_date)
     reports.write_csv(
         written.drop("directory_id"), store.report_path(reports.dated_name(TITLE_MARKS["identity"], config.run_date)), IDENTITY
@@ -141,48 +161,53 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory) -> No
     )
 
 
-def catalogue(store: Store, config: RunConfig, report_folder: str, directory: Directory) -> None:
+def catalogue(store: Store, config: RunConfig, report_folder: str, directory: Directory, counts: RunCounts | None = None) -> None:
     """Fold the earlier snapshots, take in the newest reports, resolve the members to directory users."""
     for kind in KINDS:
-        fold_history(store, config, kind)
+        fold_history(store, config, kind, counts)
     newest = reports.latest_report_paths(reports.manifest(store.spark, report_folder), ["items", "members"])
     for layout in (ITEMS, MEMBERS):
-        take_in(store, config, layout, newest[layout.name])
-    resolve_members(store, config, directory)
+        take_in(store, config, layout, newest[layout.name], counts)
+    resolve_members(store, config, directory, counts)
 
 
-def update_state(store: Store, config: RunConfig, directory: Directory) -> DataFrame:
+def update_state(store: Store, config: RunConfig, directory: Directory, counts: RunCounts | None = None) -> DataFrame:
     """Add new accounts, move every account by the rules, write the new state. Returns the counts by rule.
 
     The moves are written once and read back for the state and the counts, so nothing is computed twice.
     """
     identity = store.snapshot("identity", config.run_date)
     state = store.read("state") if store.has("state") else empty_frame(store.spark, STATE.schema)
-    state = lifecycle.add_new_accounts(state, identity, config.run_date)
+    state = state.select(*STATE.columns, F.lit(False).alias("_new")).unionByName(
+        lifecycle.new_accounts(identity, state, config.run_date).withColumn("_new", F.lit(True))
+    )
     facts = lifecycle.account_facts(
         identity,
         lifecycle.users_without_items(store.snapshot("members", config.run_date), store.snapshot("items", config.run_date), config.match),
         directory.whitelist,
         None if config.legacy_truncate else directory.group_edges,
     )
-    moved = store.replace("moves", lifecycle.transition(state, facts, config.run_date, config.grace_days))
+    moved = lifecycle.transition(state, facts, config.run_date, config.grace_days, keep=("empty",))
+    metrics = {"accounts": rows_counted(), "new": F.count_if("_new"), "empty": F.count_if("empty")} | rule_metrics()
+    moved = store.replace("moves", _counted(counts, moved, "state", **metrics).drop("_new", "empty"))
     store.replace("state", moved.select(*STATE.columns))
     return lifecycle.rule_counts(moved)
 
 
-def write_delete_list(store: Store, config: RunConfig) -> str:
+def write_delete_list(store: Store, config: RunConfig, counts: RunCounts | None = None) -> str:
     """Sorted names of the accounts to delete, as CSV (L2)."""
     path = store.report_path(reports.dated_name(DELETE_LIST_NAME, config.run_date))
-    return reports.write_csv(lifecycle.delete_list(store.read("state")), path, DELETE_LIST)
+    listed = _counted(counts, lifecycle.delete_list(store.read("state")), "delete list", rows=rows_counted())
+    return reports.write_csv(listed, path, DELETE_LIST)
 
 
-def write_over_quota(store: Store, config: RunConfig) -> str:
+def write_over_quota(store: Store, config: RunConfig, counts: RunCounts | None = None) -> str:
     """Owners above the quota, largest first, as CSV."""
     report = quota.over_quota(
         store.snapshot("members", config.run_date), store.snapshot("items", config.run_date), config.quota_mb, config.match
     )
     path = store.report_path(reports.dated_name(OVER_QUOTA_NAME, config.run_date))
-    return reports.write_csv(report, path, OVER_QUOTA)
+    return reports.write_csv(_counted(counts, report, "over quota", rows=rows_counted()), path, OVER_QUOTA)
 
 
 def read_over_quota(store: Store) -> DataFrame:
@@ -193,10 +218,19 @@ def read_over_quota(store: Store) -> DataFrame:
 
 
 def queue_notifications(store: Store, config: RunConfig) -> DataFrame:
-    """Write the queue of messages for the current state and the newest quota report."""
-    known = store.history("identity", config.match)
+    """Write the queue of messages for the current state and the newest quota report, and what it counts.
+
+    The addresses in copy come from the table of contacts, which each fold of identities keeps up to date; the history is
+    not read.
+    """
+    known = store.read(CONTACTS) if store.has(CONTACTS) else empty_frame(store.spark, IDENTITY.schema)
     queue = notify.notification_queue(store.read("state"), known, read_over_quota(store), config.templates, config.quota_mb)
-    return store.replace("notifications", queue)
+    counts = RunCounts()
+    metrics = {kind: F.count_if(F.col("kind") == kind) for kind in (*notify.STATUS_KINDS, notify.QUOTA_KIND)}
+    metrics |= {"skipped": F.count("skip_reason"), "copies": F.sum("cc_count")}
+    written = store.replace("notifications", counts.observe(queue, "notifications", **metrics))
+    counts.write(store, config.run_date)
+    return written
 
 
 def override(store: Store, requests: DataFrame) -> DataFrame:
@@ -212,11 +246,15 @@ def _input_bytes(store: Store, report_folder: str, directory: Directory) -> int:
 
 
 def full_run(spark: SparkSession, root: str, config: RunConfig, report_folder: str, directory: Directory) -> DataFrame:
-    """Catalogue, lifecycle, delete list and quota report, in this order. Returns the counts by rule."""
-    store = Store(spark, root)
+    """Catalogue, lifecycle, delete list and quota report, in this order. Returns the counts by rule.
+
+    What every step counted while it wrote is left in the store (``counts.run_counts``).
+    """
+    store, counts = Store(spark, root), RunCounts()
     with sized_shuffles(spark, _input_bytes(store, report_folder, directory)):
-        catalogue(store, config, report_folder, directory)
-        counts = update_state(store, config, directory)
-        write_delete_list(store, config)
-        write_over_quota(store, config)
-    return counts
+        catalogue(store, config, report_folder, directory, counts)
+        by_rule = update_state(store, config, directory, counts)
+        write_delete_list(store, config, counts)
+        write_over_quota(store, config, counts)
+    counts.write(store, config.run_date)
+    return by_rule
