@@ -39,19 +39,42 @@ END_ID = 1
 GROUP = 20_000
 ROUNDS = 4
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct runs whose ids a process keeps.
-KEPT_RUNS = 300_000
+#: Distinct runs whose ids a process keeps, at about 50 bytes each.
+KEPT_RUNS = 2_000_000
+#: What stands between runs that are encoded together, and how many those are at most.
+_BETWEEN, _TOGETHER = "|", 1000
 
-_RUNS = re.compile(rb"[a-z\x80-\xff]+|[^\sa-z\x80-\xff]+")
-_WIDE = re.compile(rb"[\xe0-\xff]|'|<\|")
+#: What makes a text be cut at blanks only: beyond the letters of two bytes, contractions, the begin of special tokens.
+_WIDE = re.compile(rb"[\xe0-\xff]|\xc2[^\xaa\xb5\xba]|\xc3[\x97\xb7]|'|<\|")
+#: Of each byte: 0 white space, 1 a letter or part of one, 2 anything else.
+_KINDS = np.array([0 if b in b" \t\n\r\x0b\x0c" else 1 if b >= 0x80 or 0x61 <= b <= 0x7A else 2 for b in range(256)], np.uint8)
+#: Two odd numbers, whose powers weigh the bytes of a run in its two hashes.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Bytes of a longer text that are encoded at once.
+_SEGMENT = 4 << 20
 
 
-class Numbered(dict):
-    """Numbers keys as they are first asked for."""
-
-    def __missing__(self, key):
-        number = self[key] = len(self)
-        return number
+@lru_cache(maxsize=2)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a number and of its inverse, modulo 2^64."""
+    both = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        out = np.full(n, x, np.uint64)
+        out[0] = 1
+        both.append(np.multiply.accumulate(out))
+    return both[0], both[1]
+
+
+def _segments(text: bytes) -> list[bytes]:
+    """A text, cut at white space where it is long."""
+    out, start = [], 0
+    while len(text) - start > _SEGMENT:
+        end = start + _SEGMENT
+        while end < len(text) and _KINDS[text[end]]:
+            end += 1
+        out.append(text[start:end])
+        start = end
+    return [*out, text[start:]]
 
 
 class Encoder:
@@ -60,52 +83,112 @@ class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        alone = [self._ids(text) for text in ("ab", _BETWEEN, "ba")]
+        #: The one id of what stands between runs; None if the tokenizer does not keep it apart.
+        self.between = alone[1][0] if len(alone[1]) == 1 and self._ids(f"ab {_BETWEEN} ba") == sum(alone, []) else None
         self.forget()
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def forget(self) -> None:
-        self.places: dict[bytes, int] = Numbered()
-        #: Runs with letters of two bytes and nothing else beyond ASCII.
-        self.letters: set[bytes] = set()
-        self.ids = [np.zeros(0, np.uint32)]
-        self.lengths = [np.zeros(0, np.int64)]
-
-    def runs(self, text: bytes) -> list[bytes]:
-        """Parts of a text that are encoded by themselves."""
-        if not _WIDE.search(text):
-            out = _RUNS.findall(text.lower())  # of bytes: A-Z only
-            if text.isascii():
-                return out
-            fresh = {r for r in out if r not in self.letters and not r.isascii()}
-            if all(r.decode().isalpha() for r in fresh):
-                self.letters |= fresh
-                return out
-        return text.split()
+        #: Of each run known, in order of its first hash: both hashes, its number, and whether it may stand in a plain text.
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.numbers, self.plain = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.ids, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the number of each text."""
-        if len(self.places) > KEPT_RUNS:
+        parts = [_segments(t) for t in texts]
+        flat = [part for own in parts for part in own]
+        found = [self._encode(flat[a:b]) for a, b in pieces_of_bytes(flat, _SEGMENT)]
+        if not found:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        sizes = np.concatenate([n for _, n in found])
+        starts = np.cumsum([0, *map(len, parts)])
+        return np.concatenate([ids for ids, _ in found]), np.diff(np.concatenate(([0], np.cumsum(sizes)))[starts])
+
+    def _encode(self, texts: list[bytes], at_blanks: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.keys) > KEPT_RUNS:
             self.forget()
-        places, known, runs, sizes = self.places, len(self.places), [], []
-        for text in texts:
-            own = self.runs(text)
-            sizes.append(len(own))
-            runs += map(places.__getitem__, own)
-        fresh = list(places)[known:] if len(places) > known else []
-        if fresh:
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in fresh], add_special_tokens=False)]
-            self.lengths.append(np.array([len(c) for c in coded], dtype=np.int64))
-            self.ids.append(np.fromiter(chain.from_iterable(coded), np.uint32))
-            self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
-        ids, lengths = self.ids[-1], self.lengths[-1]
-        starts = np.cumsum(lengths) - lengths
-        of_run = np.array(runs, dtype=np.int64)
-        n = lengths[of_run]
+        at_blanks = at_blanks or [bool(_WIDE.search(t)) for t in texts]
+        # Of bytes, so A-Z only; as the tokenizer does it.
+        joined = b"\n".join([t if wide else t.lower() for t, wide in zip(texts, at_blanks)]) + b"\n"
+        data = np.frombuffer(joined, np.uint8)
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        kinds = _KINDS[data]
+        for i in np.flatnonzero(at_blanks).tolist():
+            kinds[bounds[i] : bounds[i + 1]] = kinds[bounds[i] : bounds[i + 1]] != 0
+        change = np.flatnonzero(kinds[1:] != kinds[:-1]) + 1
+        starts, ends = np.concatenate(([0], change)), np.append(change, len(data))
+        some = kinds[starts] != 0
+        starts, ends = starts[some], ends[some]
+        sizes = np.diff(np.searchsorted(starts, bounds))
+
+        keys = self._hashes(data, starts, ends)
+        distinct, first, run = np.unique(keys[0], return_index=True, return_inverse=True)
+        checks = keys[1][first]
+        place = np.searchsorted(self.keys, distinct)
+        inside = place < len(self.keys)
+        known = np.zeros(len(distinct), bool)
+        known[inside] = self.keys[place[inside]] == distinct[inside]
+        if (checks[run] != keys[1]).any() or (self.checks[place[known]] != checks[known]).any():
+            raise ArithmeticError("two runs of characters have the same hash")  # of 64 bits, on one machine
+        if not known.all():
+            self._learn([joined[starts[i] : ends[i]] for i in first[~known].tolist()], distinct[~known], checks[~known], place[~known])
+            place = np.searchsorted(self.keys, distinct)
+        odd = ~self.plain[place][run] & (kinds[starts] == 1)
+        if odd.any():
+            texts_of_odd = np.searchsorted(bounds, starts[odd], "right") - 1
+            again = [wide or i in set(texts_of_odd.tolist()) for i, wide in enumerate(at_blanks)]
+            if again != at_blanks:
+                return self._encode(texts, again)
+        of_run = self.numbers[place][run]
+        n = self.lengths[of_run]
         ends = np.cumsum(n)
-        flat = ids[np.repeat(starts[of_run] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        before = np.concatenate(([0], ends))
-        edges = before[np.cumsum([0, *sizes])]
+        begins = np.cumsum(self.lengths) - self.lengths
+        flat = self.ids[np.repeat(begins[of_run] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate(([0], ends))[np.cumsum([0, *sizes])]
         return flat, np.diff(edges)
 
+    @staticmethod
+    def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each run: its bytes weighed by powers, wherever it stands."""
+        out = []
+        size = 1 << max(_SEGMENT, len(data)).bit_length()
+        for base in _BASES:
+            powers, inverse = _powers(base, size)
+            sums = np.cumsum((data + np.uint64(1)) * powers[: len(data)])
+            before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+            mixed = (sums[ends - 1] - before) * inverse[starts]
+            out.append((mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD) + (ends - starts).astype(np.uint64))
+        return out
+
+    def _learn(self, runs: list[bytes], keys: np.ndarray, checks: np.ndarray, place: np.ndarray) -> None:
+        """Encode runs that are new, in order of their first hash, and keep them."""
+        texts = [r.decode() for r in runs]
+        plain = np.array([t.isascii() or t.isalpha() for t in texts])
+        joined = plain & np.array([_BETWEEN not in t for t in texts]) & (self.between is not None)
+        together = [texts[i] for i in np.flatnonzero(joined).tolist()]
+        apart = [texts[i] for i in np.flatnonzero(~joined).tolist()]
+        rows = [f" {_BETWEEN} ".join([*together[i : i + _TOGETHER], ""]) for i in range(0, len(together), _TOGETHER)]
+        flat, lengths = [], np.zeros(len(texts), np.int64)
+        if rows:
+            ids = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)), np.uint32)
+            ends = np.flatnonzero(ids == self.between)
+            lengths[joined] = np.diff(ends, prepend=-1) - 1
+            flat.append(np.delete(ids, ends))
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)]
+        lengths[~joined] = [len(c) for c in coded]
+        flat.append(np.fromiter(chain.from_iterable(coded), np.uint32))
+        numbers = np.empty(len(texts), np.int64)
+        numbers[joined] = len(self.lengths) + np.arange(len(together))
+        numbers[~joined] = len(self.lengths) + len(together) + np.arange(len(apart))
+        self.lengths = np.concatenate((self.lengths, lengths[joined], lengths[~joined]))
+        self.ids = np.concatenate((self.ids, *flat))
+        self.keys, self.checks = np.insert(self.keys, place, keys), np.insert(self.checks, place, checks)
+        self.numbers, self.plain = np.insert(self.numbers, place, numbers), np.insert(self.plain, place, plain)
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
