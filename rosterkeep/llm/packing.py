@@ -51,7 +51,7 @@ _KINDS = np.array([0 if b in b" \t\n\r\x0b\x0c" else 1 if b >= 0x80 or 0x61 <= b
 #: Two odd numbers, whose powers weigh the bytes of a run in its two hashes.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes of a longer text that are encoded at once.
-_SEGMENT = 4 << 20
+_SEGMENT = 1 << 19
 
 
 @lru_cache(maxsize=2)
