@@ -62,11 +62,30 @@ def alternate_index(directory: DataFrame, principals: DataFrame) -> DataFrame:
     )
 
 
+def resolution_index(directory: DataFrame) -> DataFrame:
+    """``key, led, address, user_id, department``: both ways from an address to a user, directly or ``led`` by another one."""
+    principals = principal_index(directory)
+    index = principals.select("key", F.lit(False).alias("led"), F.lit(None).cast("string").alias("address"), "user_id", "department")
+    alternates = alternate_index(directory, principals)
+    return index.unionByName(alternates.select("key", F.lit(True).alias("led"), "address", "user_id", "department"))
+
+
 # --- Resolution ---------------------------------------------------------------------------------------------------
 
 
+def _tries(accounts: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """A narrow row for each address an account tries."""
+    listed = F.posexplode(F.array(*candidates)).alias("pos", "tried")
+    return accounts.select("username", "email", listed).where("tried is not null").withColumn("_key", lookup_key(F.col("tried")))
+
+
 def resolve(accounts: DataFrame, directory: DataFrame, candidates: Sequence[str]) -> DataFrame:
-    """Directory user per distinct (username, email) that leads to one, or to an alternate address.
+    """Directory user per distinct (username, email) that leads to one, or to an alternate address."""
+    return resolve_by(accounts, resolution_index(directory), candidates)
+
+
+def resolve_by(accounts: DataFrame, index: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """The same by a ``resolution_index``.
 
     Result: ``username, email, address, user_id, department, alternate``. ``candidates`` are columns of the accounts, in
     the order they are tried, NULL where there is none. They are spread out as narrow rows and meet one index of both
@@ -74,12 +93,7 @@ def resolve(accounts: DataFrame, directory: DataFrame, candidates: Sequence[str]
     is keyed by the account's own values, not by a generated row number, so a task that is run again cannot give other
     keys. A key that very many accounts try, as the bare ``@domain``, is split by adaptive execution.
     """
-    listed = F.posexplode(F.array(*candidates)).alias("pos", "tried")
-    tries = accounts.select("username", "email", listed).where("tried is not null").withColumn("_key", lookup_key(F.col("tried")))
-    principals = principal_index(directory)
-    alternates = alternate_index(directory, principals)
-    index = principals.select("key", F.lit(None).cast("string").alias("address"), "user_id", "department", F.lit(False).alias("led"))
-    index = index.unionByName(alternates.select("key", "address", "user_id", "department", F.lit(True).alias("led")))
+    tries = _tries(accounts, candidates)
     hit = F.struct("pos", F.when(F.col("led"), F.col("address")).otherwise(F.col("tried")).alias("address"), "user_id", "department", "tried")
     first = (
         tries.join(index, same_key(F.col("_key"), F.col("key")))
@@ -157,11 +171,26 @@ def identity_status(
     ``legacy_truncate`` cuts them to the former lengths. Manager and groups are joined to the accounts that were found
     only; accounts without a directory user never meet under a NULL id.
     """
-    tried = with_candidates(members.select("username", "email", "name"), suffix, domain)
-    found = resolve(tried, directory, CANDIDATES)
+    profiles = user_profiles(directory, manager_edges, group_edges, legacy_truncate)
+    return status_rows(members, resolution_index(directory), profiles, run_date, suffix, domain, legacy_truncate)
+
+
+def user_profiles(directory: DataFrame, manager_edges: DataFrame, group_edges: DataFrame, legacy_truncate: bool = False) -> DataFrame:
+    """``user_id, manager_email, manager_department, groups`` of the users that have either.
+
+    Both sides have one row per user and the same partitioning, so the join shuffles nothing.
+    """
     groups = group_text(group_edges, LEGACY_GROUPS if legacy_truncate else None)
-    # Both have one row per user and the same partitioning, so that join shuffles nothing.
-    profiles = managers(manager_edges, directory).join(groups, "user_id", "full").withColumnRenamed("user_id", "_id")
+    return managers(manager_edges, directory).join(groups, "user_id", "full")
+
+
+def status_rows(
+    members: DataFrame, index: DataFrame, profiles: DataFrame, run_date: dt.date, suffix: str, domain: str, legacy_truncate: bool = False
+) -> DataFrame:
+    """``identity_status`` from a ``resolution_index`` and ``user_profiles``."""
+    tried = with_candidates(members.select("username", "email", "name"), suffix, domain)
+    found = resolve_by(tried, index, CANDIDATES)
+    profiles = profiles.withColumnRenamed("user_id", "_id")
     profile = found.join(profiles, same_key(F.col("user_id"), F.col("_id")), "left").withColumnsRenamed(
         {"username": "_username", "email": "_email"}
     )
@@ -188,6 +217,51 @@ def identity_status(
     )
 
 
+# --- Only what changed --------------------------------------------------------------------------------------------
+
+
+def changed_keys(before: DataFrame, now: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys whose row is new, gone or different: two tables with a row a key, compared by a digest of the rest."""
+    rest = [name for name in now.columns if name not in key]
+
+    def digests(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*key, F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in rest]).alias(name))
+
+    both = digests(before, "_before").join(digests(now, "_now"), list(key), "full")
+    return both.where(~F.col("_before").eqNullSafe(F.col("_now"))).select(*key)
+
+
+def _account_key() -> Column:
+    """Digest of the values an account is known by."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in ("username", "email", "name")]
+    return F.sha2(F.concat_ws("\0", *[F.concat(F.length(v).cast("string"), F.lit(":"), v) for v in values]), 256)
+
+
+def split_affected(
+    members: DataFrame, previous: DataFrame, addresses: DataFrame, users: DataFrame, suffix: str, domain: str
+) -> tuple[DataFrame, DataFrame]:
+    """Member rows that have to be resolved again, and the rows of the ``previous`` status that others keep (I4).
+
+    An account is affected if it is new, if it tries an address (``key``) whose place in the index changed, or if it led to
+    a user (``user_id``) whose manager or groups changed. Its other values cannot have changed: the status of an account is
+    a function of its own values, the index at its addresses, and its user's profile.
+    """
+    known = previous.withColumn("_account", _account_key()).dropDuplicates(["_account"])
+    people = members.select("username", "email", "name").withColumn("_account", _account_key())
+    tries = _tries(with_candidates(people, suffix, domain).drop("_account"), CANDIDATES).select("username", "email", "_key")
+    touched = tries.join(addresses.select("key").distinct(), same_key(F.col("_key"), F.col("key")), "left_semi")
+    moved = known.join(users.select(F.col("user_id").alias("_user")).distinct(), same_key(F.col("directory_id"), F.col("_user")), "left_semi")
+    pairs = touched.select("username", "email").unionByName(moved.select("username", "email")).distinct().withColumn("_affected", F.lit(True))
+    pairs = pairs.withColumnsRenamed({"username": "_username", "email": "_email"})
+    marked = people.join(
+        pairs, F.col("username").eqNullSafe(F.col("_username")) & F.col("email").eqNullSafe(F.col("_email")), "left"
+    ).drop("_username", "_email")
+    kept = known.select(F.col("_account").alias("_known"), F.struct(*previous.columns).alias("_row"))
+    both = marked.join(kept, same_key(F.col("_account"), F.col("_known")), "left")
+    stays = F.col("_affected").isNull() & F.col("_known").isNotNull()
+    return both.where(~stays).select("username", "email", "name"), both.where(stays).select("_row.*")
+
+
 def is_error() -> Column:
     """Whether a row cannot be used further: it has no user name, or nothing to try."""
     return is_blank(F.col("username")) | (F.coalesce(F.col("emails_tried"), F.lit("")) == "")

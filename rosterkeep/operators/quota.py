@@ -14,17 +14,29 @@ SIZE = "decimal(28,6)"
 def storage_by_owner(items: DataFrame, match: str = "binary") -> DataFrame:
     """Total feature storage per owner (A1): ``_owner``, ``_total`` and ``_beyond``.
 
-    Sizes that no decimal holds, as infinite ones, are added in ``_beyond``, NULL without any. An owner whose sizes are
-    all NULL has NULL in both.
+    Sizes that no decimal holds are added in ``_beyond``, NULL without any: finite ones as whole multiples of a power of two,
+    a sum for each power, which is exact; the few sums of an owner are then put together in order of their powers. So no
+    total depends on the order of the rows, at any scale. Infinite ones stay infinite. An owner whose sizes are all NULL has
+    NULL in both.
     """
     owner = caseless(F.col("owner")) if match == "caseless" else F.col("owner")
-    size = F.col("feature_storage_size")
-    exact = size.try_cast(SIZE)
-    return (
-        items.where("owner is not null")
-        .groupBy(owner.alias("_owner"))
-        .agg(F.sum(exact).alias("_total"), F.sum(F.when(exact.isNull(), size.cast("double"))).alias("_beyond"))
+    size = F.col("feature_storage_size").cast("double")
+    exact = F.col("feature_storage_size").try_cast(SIZE)
+    finite = F.abs(size) < float("inf")
+    beyond = exact.isNull() & size.isNotNull()
+    # 53 bits below the leading one: the size is a whole multiple of that power, also if the logarithm is off by one.
+    power = F.when(beyond & finite, F.floor(F.log2(F.abs(size))).cast("int") - 53)
+    rows = items.where("owner is not null").select(
+        owner.alias("_owner"), power.alias("_power"), exact.alias("_exact"), size.alias("_size"), F.when(beyond & ~finite, size).alias("_infinite")
     )
+    times = (F.col("_size") / F.pow(F.lit(2.0), "_power")).cast("decimal(20,0)")
+    sums = rows.groupBy("_owner", "_power").agg(F.sum("_exact").alias("_exact"), F.sum(times).alias("_times"), F.sum("_infinite").alias("_infinite"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_power").isNotNull(), F.struct("_power", "_times"))))
+    of_owner = sums.groupBy("_owner").agg(F.sum("_exact").alias("_total"), listed.alias("_list"), F.sum("_infinite").alias("_infinite"))
+    added = F.aggregate("_list", F.lit(0.0), lambda total, x: total + x["_times"].cast("double") * F.pow(F.lit(2.0), x["_power"]))
+    finite_part = F.when(F.size("_list") > 0, added)
+    whole = F.when(F.col("_infinite").isNull(), finite_part).otherwise(F.coalesce(finite_part, F.lit(0.0)) + F.col("_infinite"))
+    return of_owner.select("_owner", "_total", whole.alias("_beyond"))
 
 
 def total_size(times: Column) -> Column:

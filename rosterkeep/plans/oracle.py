@@ -363,6 +363,8 @@ ORACLE: dict[str, str] = {
     "group_concat": """
         SELECT l_orderkey, string_agg(l_partkey::VARCHAR, ', ' ORDER BY l_linenumber, l_partkey) AS parts FROM lineitem GROUP BY l_orderkey""",
     "identity_resolution": f"{_STATUS} SELECT * FROM status",
+    "identity_later_listing": f"{_STATUS} SELECT * FROM status",
+    "contacts_maintained": f"WITH {_CONTACTS} SELECT username, cc AS manager_emails FROM contacts",
     "identity_resolution_legacy": f"""
         {_STATUS} SELECT * REPLACE (substr(emails_tried, 1, 500) AS emails_tried, substr(groups, 1, 1000) AS groups) FROM status""",
     "history_late_group": f"""
@@ -403,6 +405,26 @@ ORACLE: dict[str, str] = {
                  WHEN directory_id IN (SELECT user_id FROM urgent) THEN 'R4' ELSE 'R5' END AS rule FROM status)
         SELECT username, working_email, rule, CASE rule WHEN 'R2' THEN 2 WHEN 'R4' THEN 0 ELSE 1 END AS delete_status,
                CASE WHEN rule <> 'R4' THEN '2001-08-01' END AS flag_date FROM ruled""",
+    "run_counts": f"""
+        {_STATUS},
+        owned AS (SELECT c_name || '_ORG' AS owner, o_totalprice AS size FROM orders LEFT JOIN customer ON c_custkey = o_custkey),
+        urgent AS (SELECT DISTINCT o_custkey::VARCHAR AS user_id FROM orders WHERE o_orderpriority = '1-URGENT'),
+        ruled AS (
+          SELECT username NOT IN (SELECT owner FROM owned WHERE owner IS NOT NULL) AS empty, entra_status, emails_tried,
+                 CASE WHEN username NOT IN (SELECT owner FROM owned WHERE owner IS NOT NULL) THEN 'R2' WHEN NOT entra_status THEN 'R3'
+                      WHEN directory_id IN (SELECT user_id FROM urgent) THEN 'R4' ELSE 'R5' END AS rule
+          FROM status),
+        over AS (
+          SELECT username FROM accounts JOIN owned ON username = owner GROUP BY username, email, name HAVING sum(size::DECIMAL(28,6)) > 3700000),
+        n AS (SELECT count(*) AS accounts, count(*) FILTER (WHERE entra_status) AS found, count(*) FILTER (WHERE empty) AS empty,
+                     count(*) FILTER (WHERE rule = 'R4') AS s0, count(*) FILTER (WHERE rule IN ('R3', 'R5')) AS s1, count(*) FILTER (WHERE rule = 'R2') AS s2 FROM ruled)
+        SELECT 'items' AS step, unnest(['rows', 'malformed', 'unreadable']) AS name, unnest([count(*), 0, 0]) AS value FROM orders
+        UNION ALL SELECT 'members', unnest(['rows', 'malformed', 'unreadable']), unnest([accounts, 0, 0]) FROM n
+        UNION ALL SELECT 'identity', unnest(['rows', 'found', 'errors', 'resolved']), unnest([accounts, found, 0, accounts]) FROM n
+        UNION ALL SELECT 'state', unnest(['accounts', 'new', 'empty', 'status 0', 'status 1', 'status 2']), unnest([accounts, accounts, empty, s0, s1, s2]) FROM n
+        UNION ALL SELECT 'state', r.rule, count(ruled.rule) FROM (SELECT unnest(['R1', 'R2', 'R3', 'R4', 'R5', 'R6', 'R7', 'R8']) AS rule) r LEFT JOIN ruled ON ruled.rule = r.rule GROUP BY r.rule
+        UNION ALL SELECT 'delete list', 'rows', s2 FROM n
+        UNION ALL SELECT 'over quota', 'rows', count(*) FROM over""",
     "second_run": f"""
         {_STATUS},
         owned AS (SELECT c_name || '_ORG' AS owner, o_totalprice AS size, c_custkey % 2 = 0 AS still FROM customer JOIN orders ON c_custkey = o_custkey),

@@ -11,7 +11,7 @@ from rosterkeep.functions import addresses, templates, text as tx, typing as ty
 from rosterkeep.model import IDENTITY, ITEMS, MEMBERS, OVER_QUOTA, Field, Layout, kind_column
 from rosterkeep.operators import contacts, history, identity, latest, lifecycle, notify, quota
 from rosterkeep.operators.keys import mark_listed, missing_from
-from rosterkeep.plans import bindings as b, runs
+from rosterkeep.plans import bindings as b, counts, runs
 from rosterkeep.plans.bindings import DOMAIN, QUOTA, RUN_DATE, SUFFIX, Tables, text
 from rosterkeep.sources import directory, paths, reports
 from rosterkeep.sources.store import Store, typed_scan
@@ -684,6 +684,28 @@ def identity_resolution(t):
     return dates_as_text(_status(t, False))
 
 
+@query
+def identity_later_listing(t):
+    """Accounts resolved by a listing, then by a later one: only those a difference touches are resolved anew.
+
+    The first listing lacks some users, has other departments and fewer memberships, and some accounts had another e-mail.
+    """
+    store = Store(t.spark, paths.scratch(t.spark, "listings"))
+    key = F.col("id").cast("long")
+    people = b.directory(t)
+    older = people.where(key % 10 != 3).withColumn("department", F.when(key % 10 == 7, F.lit("OLD")).otherwise(F.col("department")))
+    none = t.orders.select(text("o_orderkey").alias("id")).where("id is null")
+    listings = {
+        RUN_DATE - runs.dt.timedelta(days=30): (older, b.many_groups(t).where(F.col("pos") % 50 != 7)),
+        RUN_DATE: (people, b.many_groups(t)),
+    }
+    for date, (users, groups) in listings.items():
+        accounts = b.accounts(t).withColumn("email", F.when((F.length("name") % 2 == 0) | (date == RUN_DATE), F.col("email")).otherwise(F.lit("x@y")))
+        store.write_snapshot("members", date, b.in_layout(accounts, MEMBERS))
+        runs.resolve_members(store, runs.RunConfig(date, SUFFIX, DOMAIN, QUOTA), runs.Directory(users, b.manager_edges(t), groups, none))
+    return dates_as_text(store.snapshot("identity", RUN_DATE))
+
+
 @query
 def identity_resolution_legacy(t):
     """The same with texts cut to the former lengths."""
@@ -742,6 +764,13 @@ def notification_queue(t):
     return dates_as_text(_queue(t))
 
 
+@query
+def contacts_maintained(t):
+    """Manager addresses by first appearance, from a table that each of seven folds brought up to date."""
+    store = _folded_by_year(t, lambda store: None)
+    return dates_as_text(contacts.ordered_distinct(store.read(runs.CONTACTS), "username", "manager_email", ["updated_date"], "manager_emails"))
+
+
 @query
 def quota_notices(t):
     """N4, N6."""
@@ -801,6 +830,12 @@ def whole_run(t):
     return dates_as_text(store.read("moves").select("username", "working_email", "rule", "delete_status", "flag_date"))
 
 
+@query
+def run_counts(t):
+    """A4: everything a run counted, taken in the jobs that wrote its tables."""
+    return counts.run_counts(_first_run(t, _read_directory(t))).select("step", "name", "value")
+
+
 @query
 def second_run(t):
     """A second run 35 days later over the first one's store: overrides, aging, history, reports and notifications.

@@ -138,20 +138,50 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str, counts:
     )
 
 
+#: What the last resolution went by: the index of addresses, the users' profiles, and for which snapshot and settings.
+INDEX, PROFILES, RESOLVED = "directory_index", "directory_profiles", "resolved"
+
+
+def _resolved_before(store: Store, settings: str) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Index and profiles that the newest identity snapshot was made by, and that snapshot; None if that is not known."""
+    if not store.snapshot_dates("identity") or not store.has(RESOLVED):
+        return None
+    row = store.read(RESOLVED).first()
+    if (row["path"], row["settings"]) != (store.newest_path("identity"), settings):
+        return None
+    wanted = {INDEX: row["index"], PROFILES: row["profiles"]}
+    if any(f"{version:06d}" not in store.committed(f"table-{table}") for table, version in wanted.items()):
+        return None
+    return *[store.spark.read.parquet(store.version_path(t, v)) for t, v in wanted.items()], store.snapshot("identity")
+
+
 def resolve_members(store: Store, config: RunConfig, directory: Directory, counts: RunCounts | None = None) -> None:
-    """Identity status of the current members as the snapshot of the run date."""
-    status = ids.identity_status(
-        store.snapshot("members", config.run_date),
-        directory.users,
-        directory.manager_edges,
-        directory.group_edges,
-        config.run_date,
-        config.address_suffix,
-        config.address_domain,
-        config.legacy_truncate,
-    )
-    found = F.count_if(F.col("entra_status"))
-    store.write_snapshot("identity", config.run_date, _counted(counts, status, "identity", rows=rows_counted(), found=found, errors=F.count_if(ids.is_error())))
+    """Identity status of the current members as the snapshot of the run date.
+
+    The directory's index and the users' profiles are kept. If the newest identity snapshot was made by them, only accounts
+    that are new, or that a difference between the two listings touches, are resolved again; the others keep their row. The
+    result is the same as that of resolving everybody.
+    """
+    members = store.snapshot("members", config.run_date)
+    args = (config.run_date, config.address_suffix, config.address_domain, config.legacy_truncate)
+    settings = f"{config.address_suffix} {config.address_domain} {config.legacy_truncate}"
+    before = _resolved_before(store, settings)
+    index = store.replace(INDEX, ids.resolution_index(directory.users))
+    profiles = ids.user_profiles(directory.users, directory.manager_edges, directory.group_edges, config.legacy_truncate)
+    profiles = store.replace(PROFILES, profiles)
+    if before:
+        addresses = ids.changed_keys(before[0], index, ["key", "led"])
+        users = ids.changed_keys(before[1], profiles, ["user_id"])
+        again, kept = ids.split_affected(members, before[2], addresses, users, config.address_suffix, config.address_domain)
+        anew = ids.status_rows(again, index, profiles, *args).withColumn("_anew", F.lit(True))
+        kept = kept.withColumns({"updated_date": F.lit(config.run_date).cast("date"), "_anew": F.lit(False)})
+        status = anew.unionByName(kept.select(*anew.columns))
+    else:
+        status = ids.status_rows(members, index, profiles, *args).withColumn("_anew", F.lit(True))
+    metrics = {"rows": rows_counted(), "found": F.count_if("entra_status"), "errors": F.count_if(ids.is_error()), "resolved": F.count_if("_anew")}
+    path = store.write_snapshot("identity", config.run_date, _counted(counts, status, "identity", **metrics).drop("_anew"))
+    by = (path, settings, store.current_version(INDEX), store.current_version(PROFILES))
+    store.replace(RESOLVED, store.spark.createDataFrame([by], "path string, settings string, index int, profiles int"))
     written = store.snapshot("identity", config.run_date)
     reports.write_csv(
         written.drop("directory_id"), store.report_path(reports.dated_name(TITLE_MARKS["identity"], config.run_date)), IDENTITY

@@ -151,6 +151,11 @@ class Store:
         date = date or max(writings)
         return self.spark.read.parquet(self.snapshot_path(kind, date, writings[date]))
 
+    def newest_path(self, kind: str) -> str:
+        """Where the newest snapshot is."""
+        writings = self._writings(kind)
+        return self.snapshot_path(kind, max(writings), writings[max(writings)])
+
     def snapshots(self, kind: str, dates: Iterable[dt.date]) -> DataFrame:
         """Several snapshots in one scan, in the kind's columns."""
         writings = self._writings(kind)
