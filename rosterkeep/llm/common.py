@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import re
 import uuid
@@ -70,13 +72,25 @@ _kept: dict[str, Callable[[], None]] = {}
 
 def begin(operator: str, forget: Callable[[], None] | None = None) -> None:
     """Called by a task that begins: what other operators kept in this process is dropped."""
-    for other in [o for o in _kept if o != operator]:
+    others = [o for o in _kept if o != operator]
+    for other in others:
         _kept.pop(other)()
-        pa.default_memory_pool().release_unused()
+    if others:
+        give_back()
     if forget:
         _kept[operator] = forget
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, which allocators otherwise keep for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Columns by their exact names, whatever else the frame has (also names that differ only in case).
 
@@ -94,6 +108,16 @@ def with_columns_by_place(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return df.toDF(*numbered), dict(zip(df.columns, numbered, strict=True))
 
 
+def join_reduced(df: DataFrame, reduced: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Join by columns with a side that was aggregated by them.
+
+    Spark would reuse the partitioning of that aggregate, and adaptive execution then cannot split a hot key. The digest as one
+    more key makes Spark shuffle the reduced side too, which has one row a key by then, so that it can.
+    """
+    digest = F.xxhash64(*names)
+    return df.withColumn("_digest", digest).join(reduced.withColumn("_digest", digest), [*names, "_digest"], how).drop("_digest")
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

@@ -5,13 +5,17 @@ Tokens are the words between blanks, A-Z lower-cased, and one end. The unigram b
 ``STATES`` hidden states; a state emits a class, and the class its tokens in proportion to their base. The end, each of the
 ``TOP`` most frequent words and all unknown words together are classes of their own; the others are dealt by their last
 three bytes into ``BUCKETS`` classes. So every word of the corpus has its exact count, the model's size is fixed, and the
-probabilities of all token sequences sum to one. Unknown words get the share of words seen once (Good and Turing).
+probabilities of all token sequences sum to one, with all unknown words as one token. That token has the base's probability
+in every state: a text is not made likelier by words nobody knows, and ranks below texts of known ones.
 
 1. Texts are encoded by batches of about ``BATCH`` bytes, each with its own word list. Only one row for each word of a
    batch is shuffled, to be counted, and back to its batch; that grows with the corpus, but no word has more rows than there
    are batches.
-2. Baum-Welch starts from a small sample of texts and then makes ``PASSES`` passes over all training texts, in segments of
-   ``SEGMENT`` tokens; each task sends one row of expected counts for each class.
+2. Baum-Welch starts from the company of the classes: how often each class has neighbours of each of ``CONTEXTS`` groups,
+   counted over all training texts, is grouped into as many clusters as there are states. Then it makes passes over all
+   training texts until the likelihood of a pass is less than ``SETTLED`` better than that of the one before, ``PASSES`` at
+   most; the rule is the same for every size. Texts are passed in segments of ``SEGMENT`` tokens, which overlap by one so
+   that every move is counted; each task sends one row of expected counts for each class.
 3. Scores are exact sequence likelihoods of whole texts by the scaled forward recursion, for all texts of a batch at once.
 
 A null text is empty: its only token is the end. Without training texts every token is unknown and every score 0. Repeated
@@ -28,18 +32,19 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterkeep.llm.common import blank_words, pick, stored
+from rosterkeep.llm.common import blank_words, join_reduced, pick, stored
 
 STATES = 8
 TOP = 4096
 BUCKETS = 512
 SEGMENT = 64
-PASSES = 2
+PASSES = 6
+SETTLED = 0.0002
 BATCH = 6 << 20
-#: Documents and rounds from which Baum-Welch starts.
-START_DOCUMENTS, START_ROUNDS = 300, 25
+#: Groups of neighbours by which classes are told apart at the start, and rounds of that.
+CONTEXTS, CLUSTER_ROUNDS = 32, 30
 SMOOTHING = 0.5
 
 END = b""
@@ -116,10 +121,10 @@ def count_corpus(docs: DataFrame, train: Column) -> Corpus:
     """Tokens counted exactly over the training texts; every text with its base score and its classes."""
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"), train.alias("train"))
     encoded = stored(rows.mapInArrow(_encode, _ENCODED), "encoded")
-    of_word = Window.partitionBy("word")
-    counted = encoded.where("word is not null").select("batch", "idx", "word", "n").withColumns(
-        {"c": F.sum("n").over(of_word), "first": F.col("batch") == F.min("batch").over(of_word)}
-    )
+    words = encoded.where("word is not null").select("batch", "idx", "word", "n")
+    # Summed before the shuffle; joined back so that adaptive execution can split a word that every batch has.
+    totals = words.groupBy("word").agg(F.sum("n").alias("c"), F.min("batch").alias("least"))
+    counted = join_reduced(words, totals, ["word"]).select("batch", "idx", "word", "n", "c", (F.col("batch") == F.col("least")).alias("first"))
     counted = stored(counted, "counted")
     figures = counted.agg(F.sum("n"), F.count_if(F.expr("first and c > 0")), F.count_if(F.expr("first and c = 1"))).first()
     n, v, once = (int(x or 0) for x in figures)
@@ -191,23 +196,26 @@ class Model:
         return back
 
     def expected(self, classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected numbers of starts, moves and emissions (by class) over texts cut into segments."""
+        """Expected numbers of starts, moves and emissions (by class) over texts cut into segments.
+
+        A segment but the first of a text begins with the last token of the one before, whose emission counts there.
+        """
         cut = -(-lengths // SEGMENT)
         first = np.concatenate(([True], np.zeros(cut.sum() - 1, bool))) if cut.sum() else np.zeros(0, bool)
         first[np.cumsum(cut)[:-1]] = True
         of_text = np.repeat(np.arange(len(lengths)), cut)
         number = np.arange(len(of_text)) - np.repeat(np.cumsum(cut) - cut, cut)
-        begins = (np.cumsum(lengths) - lengths)[of_text] + number * SEGMENT
-        sizes = np.minimum(SEGMENT, lengths[of_text] - number * SEGMENT)
+        begins = (np.cumsum(lengths) - lengths)[of_text] + number * SEGMENT - (number > 0)
+        sizes = np.minimum(SEGMENT, lengths[of_text] - number * SEGMENT) + (number > 0)
         k = len(self.start)
-        starts, moves, emitted = np.zeros(k), np.zeros((k, k)), np.zeros((self.emit.shape[1], k))
+        starts, moves, emitted, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((self.emit.shape[1], k)), np.zeros(1)
         for i in range(0, len(begins), 2048):
             part = slice(i, i + 2048)
             order = np.argsort(-sizes[part], kind="stable")
-            self._segments(classes, begins[part][order], sizes[part][order], first[part][order], starts, moves, emitted)
-        return starts, moves, emitted
+            self._segments(classes, begins[part][order], sizes[part][order], first[part][order], starts, moves, emitted, likelihood)
+        return starts, moves, emitted, likelihood
 
-    def _segments(self, classes, begins, sizes, first, starts, moves, emitted) -> None:
+    def _segments(self, classes, begins, sizes, first, starts, moves, emitted, likelihood) -> None:
         active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right")
         emit = np.ascontiguousarray(self.emit.T)
         seen = [classes[begins[:s] + t] for t, s in enumerate(active)]
@@ -217,6 +225,7 @@ class Model:
             alpha = before * emit[seen[t]]
             scales.append(alpha.sum(axis=1))
             alphas.append(alpha / scales[-1][:, None])
+            likelihood += np.log10(scales[-1] if t else scales[0][first]).sum()
         gammas = [None] * len(active)
         beta = np.ones((active[-1], len(self.start)))
         for t in range(len(active) - 1, -1, -1):
@@ -228,6 +237,7 @@ class Model:
                 beta[:s] = ahead @ self.move.T
             gammas[t] = alphas[t] * beta
         starts += gammas[0][first].sum(axis=0)
+        gammas[0] = gammas[0] * first[:, None]
         every, gamma = np.concatenate(seen), np.concatenate(gammas)
         for j in range(len(self.start)):
             emitted[:, j] += np.bincount(every, weights=gamma[:, j], minlength=len(emitted))
@@ -250,46 +260,74 @@ def _next(model: Model, corpus: Corpus, starts: np.ndarray, moves: np.ndarray, e
 
 
 def _unknown_share(corpus: Corpus) -> float:
-    return float(np.clip(corpus.once / corpus.train_tokens, corpus.mass[-1], 0.5))
-
+    return float(corpus.mass[-1])
 
-def _first(corpus: Corpus, states: int) -> Model:
-    """States that differ at random from the base."""
-    rng = np.random.default_rng(6)
-    emitted = corpus.mass[:, None] * corpus.train_tokens * rng.uniform(0.5, 1.5, (len(corpus.mass), states)) / states
-    moves = np.full((states, states), 1.0) + 9 * states * np.eye(states)
-    return _next(None, corpus, np.ones(states), moves * 100, emitted)
 
+def _company(corpus: Corpus) -> np.ndarray:
+    """For each class how often each group of contexts comes before and after it, over all training texts.
 
-def _sample(corpus: Corpus, n_train: int) -> tuple[np.ndarray, np.ndarray]:
-    """Some training texts, chosen by their ids and their place in a batch."""
-    share = min(1.0, START_DOCUMENTS / max(n_train, 1))
+    The most frequent words are groups of their own, the other classes are dealt among the rest.
+    """
+    own = CONTEXTS // 2
+    ranks = np.argsort(np.argsort(-corpus.mass, kind="stable"), kind="stable")
+    group = np.where(ranks < own, ranks, own + ranks % (CONTEXTS - own))
+    shared = corpus.batches.sparkSession.sparkContext.broadcast(group)
+    n = len(group)
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2 * CONTEXTS, n), np.int64)
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
                 x = _unpacked(blob)
-                chance = ((x["ids"].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) / (1 << 24)
-                ends = np.cumsum(x["lengths"])
-                own = [x["classes"][ends[i] - x["lengths"][i] : ends[i]].tobytes() for i in np.flatnonzero(x["train"] & (chance < share))]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], names=["classes"])
+                of_train = np.repeat(x["train"], x["lengths"])
+                classes = x["classes"][of_train].astype(np.int64)
+                ends = np.cumsum(x["lengths"][x["train"]])[:-1]
+                inside = np.ones(max(len(classes) - 1, 0), bool)
+                inside[ends - 1] = False
+                left, right = classes[:-1][inside], classes[1:][inside]
+                for side, (these, those) in enumerate(((right, left), (left, right))):
+                    places = (shared.value[those] + side * CONTEXTS) * n + these
+                    total += np.bincount(places, minlength=total.size).reshape(total.shape)
+        columns = [pa.array(np.arange(n), pa.int32()), *[pa.array(c) for c in total]]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", *[f"s{j}" for j in range(len(total))]])
+
+    names = [f"s{j}" for j in range(2 * CONTEXTS)]
+    summed = corpus.batches.mapInArrow(count, "row int, " + ", ".join(f"{c} long" for c in names)).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
+    return np.array(sorted(tuple(r) for r in summed.collect()), float)[:, 1:]
 
-    found = sorted(bytes(r[0]) for r in corpus.batches.mapInArrow(some, "classes binary").collect())
-    texts = [np.frombuffer(x, np.uint16) for x in found]
-    return (np.concatenate(texts) if texts else np.zeros(0, np.uint16)), np.array([len(t) for t in texts], np.int64)
 
-
-def train(corpus: Corpus, states: int = STATES, passes: int = PASSES) -> Model | None:
+def _first(corpus: Corpus, states: int) -> Model:
+    """States of classes that keep like company: clusters of their contexts, weighed by how often the classes occur."""
+    company = _company(corpus)
+    seen = company.sum(axis=1)
+    expected = company.sum(axis=0, keepdims=True) / max(company.sum(), 1)
+    share = (company + 10 * expected) / (seen[:, None] + 10 * expected.sum())
+    points = np.sqrt(share)
+    # The class farthest from the centres so far, by its weight, is the next centre: no chance in it.
+    centres = [np.average(points, axis=0, weights=seen + 1e-9)]
+    while len(centres) < states:
+        far = np.min([((points - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        centres.append(points[np.argmax(far * seen)])
+    centres = np.array(centres)
+    for _ in range(CLUSTER_ROUNDS):
+        nearest = np.argmin(((points[:, None, :] - centres[None]) ** 2).sum(axis=2), axis=1)
+        for j in range(states):
+            if seen[nearest == j].sum() > 0:
+                centres[j] = np.average(points[nearest == j], axis=0, weights=seen[nearest == j])
+    belongs = np.full((len(points), states), 0.2 / states)
+    belongs[np.arange(len(points)), nearest] += 0.8
+    emitted = corpus.mass[:, None] * corpus.train_tokens * belongs
+    moves = np.full((states, states), 100.0) + np.eye(states)
+    return _next(None, corpus, np.ones(states), moves, emitted)
+
+
+def train(corpus: Corpus, states: int = STATES, passes: int = PASSES, settled: float = SETTLED) -> Model | None:
     """Baum-Welch; None without training tokens."""
     if not corpus.train_tokens:
         return None
     model, k = _first(corpus, states), states
-    n_train = round(corpus.mass[_END_CLASS] * (corpus.train_tokens + 0.5 * (corpus.distinct + 1)) - 0.5)
-    classes, lengths = _sample(corpus, n_train)
-    if len(lengths):
-        for _ in range(START_ROUNDS):
-            model = _next(model, corpus, *model.expected(classes, lengths))
     spark = corpus.batches.sparkSession
+    before = -np.inf
     for _ in range(passes):
         shared = spark.sparkContext.broadcast(model)
 
@@ -304,14 +342,19 @@ def train(corpus: Corpus, states: int = STATES, passes: int = PASSES) -> Model |
                     found = shared.value.expected(x["classes"][of_train], x["lengths"][x["train"]])
                     total = found if total is None else [a + b for a, b in zip(total, found, strict=True)]
             if total is not None:
-                rows = np.vstack((total[0][None, :], total[1], total[2]))
+                rows = np.vstack((np.full((1, k), total[3][0]), total[0][None, :], total[1], total[2]))
                 columns = [pa.array(np.arange(len(rows)), pa.int32()), *[pa.array(c) for c in rows.T]]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *[f"s{j}" for j in range(k)]])
 
         kind = "row int, " + ", ".join(f"s{j} double" for j in range(k))
         summed = corpus.batches.mapInArrow(count, kind).groupBy("row").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(k)])
         rows = np.array(sorted(tuple(r) for r in summed.collect()))[:, 1:]
-        model = _next(model, corpus, rows[0], rows[1 : k + 1], rows[k + 1 :])
+        shared.unpersist()
+        model = _next(model, corpus, rows[1], rows[2 : k + 2], rows[k + 2 :])
+        likelihood = rows[0][0]
+        if likelihood - before < settled * abs(likelihood):
+            break
+        before = likelihood
     return model
 
 
