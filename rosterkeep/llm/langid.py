@@ -2,7 +2,7 @@
 off to progressively shorter character n-grams.
 
 The model is fitted on a bounded sample of labelled documents: about ``PER_LANGUAGE`` of each language, chosen by a hash of
-the id, and of their words and n-grams the ``MAX_WORDS`` and ``MAX_GRAMS`` (of each length) most frequent. That bounds what
+id and text, and of their words and n-grams the ``MAX_WORDS`` and ``MAX_GRAMS`` (of each length) most frequent. That bounds what
 is collected and broadcast. Counting is a Spark aggregation over whole texts; every document is predicted from its whole
 text.
 
@@ -59,6 +59,9 @@ class Model:
     #: Score rows of unseen words met so far by this process, dropped when there are many.
     _seen: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
 
+    def forget(self) -> None:
+        self._seen.clear()
+
     def _unseen(self, word: str) -> np.ndarray:
         for n in range(LONGEST, 0, -1):
             known = [r for g in grams_of(word, n) if (r := self.grams.get(n, {}).get(g)) is not None]
@@ -132,8 +135,8 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         return Model([], {}, {}, np.zeros((0, 0)))
     languages = sorted(sizes)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
-    # The hash of the id is spread evenly over [0, 1).
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
+    # The hash of id and text is spread evenly over [0, 1).
+    chance = F.pmod(F.xxhash64("doc_id", "text", F.lit("langid")), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.where(chance < share[F.col("lang")]).select("lang", "text")
     counted = sample.mapInPandas(_counts, "lang string, n int, gram string, k long").groupBy("n", "gram", "lang").agg(F.sum("k").alias("k"))
     by_gram = counted.groupBy("n", "gram").agg(F.sum("k").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "k"))).alias("by"))
@@ -161,10 +164,10 @@ def predictor(spark, model: Model):
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        begin("langid", shared.value._seen.clear)
+        begin("langid", shared.value.forget)
         values = texts.tolist()
         sizes = (bytes(0) if t is None else t for t in values)
-        return pd.concat([shared.value.predict(values[a:b]) for a, b in pieces_of_bytes(sizes)], ignore_index=True) if values else shared.value.predict([])
+        return pd.concat([shared.value.predict(values[a:b]) for a, b in pieces_of_bytes(sizes, 1 << 20)], ignore_index=True) if values else shared.value.predict([])
 
     return predict
 

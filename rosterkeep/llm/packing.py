@@ -40,7 +40,7 @@ GROUP = 20_000
 ROUNDS = 4
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct runs whose ids a process keeps, at about 50 bytes each.
-KEPT_RUNS = 2_000_000
+KEPT_RUNS = 1_000_000
 #: What stands between runs that are encoded together, and how many those are at most.
 _BETWEEN, _TOGETHER = "|", 1000
 
