@@ -1,11 +1,10 @@
 """Line deduplication by a deletion-neighbourhood join, with built-in functions only.
 
-A line's words are its runs between blanks, lower-cased. A line with at least ``MIN_WORDS`` words is dropped if an earlier
-line (of a smaller doc_id, or further up in the same document) has the same words, or words within one edit: one word
-changed, inserted or removed. Shorter lines stay, unless ``every_line`` is asked for: then all lines that are not blank are
-dropped if an earlier one has the same words, and only the rule of one edit keeps its least length, since one edit would make
-shorter lines nearly anything. There a line of one word in a script written without blanks (Chinese, Japanese, Thai, Lao,
-Burmese, Khmer) has its characters for words, so it is deduplicated like others.
+A line's words are its runs between blanks, lower-cased. A line that is not blank is dropped if an earlier line (of a smaller
+doc_id, or further up in the same document) has the same words. A line with at least ``MIN_WORDS`` words is dropped too if an
+earlier one has words within one edit: one word changed, inserted or removed; in shorter lines one edit would make nearly
+anything of them. A line of one word in a script written without blanks (Chinese, Japanese, Thai, Lao, Burmese, Khmer) has
+its characters for words, so it is deduplicated like others.
 
 1. Equal lines are one class with its first place; all later work is on classes, so a line of a third of all rows is one.
 2. Two lines within one edit share their first or their last half, aligned for their lengths. Classes that share no half
@@ -14,7 +13,8 @@ Burmese, Khmer) has its characters for words, so it is deduplicated like others.
 3. Each remaining class emits itself or the variants without its i-th word, for every i, as hashed keys. Changing word i
    makes the variants without word i equal; removing word i makes the variant equal to the other line. So each key needs
    its earliest class only, not pairs: a template line with a million fillings is one group reduced by ``min``.
-4. Each class joins the earliest partner of its keys; the edit distance of the pair is then verified on the words.
+4. Each class joins the earliest partner of its keys; the edit distance of the pair is then verified on the words. Joins
+   with what was reduced to one row a key are such that adaptive execution can split a hot key, as that of a template line.
 
 Keys are pairs of 64-bit hashes. The hash of a variant is the exclusive or of the hashes of its words with their places, so
 all variants of a line come from running totals.
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rosterkeep.llm.common import pick, stored, with_columns_by_place
+from rosterkeep.llm.common import join_reduced, pick, stored, with_columns_by_place
 
 MIN_WORDS = 5
 _BLANKS = " \t\x0b\x0c\r"
@@ -73,13 +73,13 @@ def _half_keys(words: Column) -> Column:
     )
 
 
-def _numbered_lines(docs: DataFrame, min_words: int, every_line: bool, *more: str) -> DataFrame:
+def _numbered_lines(docs: DataFrame, *more: str) -> DataFrame:
     """Lines that can be dropped, with their words.
 
     The words are made before the lines become rows; made after that, the filter would make them once more.
     """
-    of_lines = F.transform(F.split("text", "\n", -1), parts_of if every_line else words_of)
-    return docs.select("doc_id", *more, F.posexplode(of_lines).alias("line_no", "words")).where(F.size("words") >= (1 if every_line else min_words))
+    of_lines = F.transform(F.split("text", "\n", -1), parts_of)
+    return docs.select("doc_id", *more, F.posexplode(of_lines).alias("line_no", "words")).where(F.size("words") > 0)
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -133,17 +133,15 @@ def _variants(lines: DataFrame) -> DataFrame:
     return totals.select(F.struct(*_PLACE).alias("place"), F.inline(keys))
 
 
-def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id``, ``line_no``, ``h1`` (the hash of its words) and ``near`` of each line to drop.
 
     ``near`` tells lines that are the first of their kind but within one edit of an earlier line.
     """
     docs = pick(docs, "doc_id", "text").where("doc_id is not null and text is not null")
     h1, h2 = _hashes(F.col("words"))
-    keys = _half_keys(F.col("words"))
-    if every_line:
-        keys = F.when(F.size("words") >= min_words, keys).otherwise(F.array().cast("array<bigint>"))
-    lines = _numbered_lines(docs, min_words, every_line).select("doc_id", "line_no", h1.alias("h1"), h2.alias("h2"), keys.alias("keys"))
+    keys = F.when(F.size("words") >= min_words, _half_keys(F.col("words"))).otherwise(F.array().cast("array<bigint>"))
+    lines = _numbered_lines(docs).select("doc_id", "line_no", h1.alias("h1"), h2.alias("h2"), keys.alias("keys"))
     lines = stored(lines, "lines")
     first = F.min(F.struct("doc_id", "line_no", "keys"))
     classes = stored(lines.groupBy("h1", "h2").agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "line-classes")
@@ -155,10 +153,10 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool
     shared = shared.where("n_own > 1 or (n_own > 0 and n_shorter > 0)")
     kinds = F.when(own & (F.col("n_own") > 1), _AS_LONG).otherwise(0) + F.when(own & (F.col("n_shorter") > 0), _SHORTER).otherwise(0)
     kinds = kinds + F.when(~own & (F.col("n_own") > 0), _LONGER).otherwise(0)
-    marked = halves.join(shared, "key").select(*_PLACE, kinds.alias("kinds")).where("kinds > 0")
+    marked = join_reduced(halves, shared, ["key"]).select(*_PLACE, kinds.alias("kinds")).where("kinds > 0")
     marked = marked.groupBy(*_PLACE).agg(F.bit_or("kinds").alias("kinds"))
     of_doc = marked.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "kinds")).alias("wanted"))
-    found = _numbered_lines(docs.join(of_doc, "doc_id"), min_words, every_line, "wanted").withColumn("h1", _hashes(F.col("words"))[0])
+    found = _numbered_lines(docs.join(of_doc, "doc_id"), "wanted").withColumn("h1", _hashes(F.col("words"))[0])
     own_mark = F.filter("wanted", lambda x: (x["line_no"] == F.col("line_no")) & (x["h1"] == F.col("h1")))
     found = found.select(*_PLACE, "words", F.try_element_at(own_mark["kinds"], F.lit(1)).alias("kinds")).where("kinds is not null")
     found = stored(found, "line-words").dropDuplicates(list(_PLACE))
@@ -170,14 +168,14 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool
         F.count(F.lit(1)).alias("n"),
     )
     partner = F.when((F.col("tag") > 0) | F.col("whole"), F.col("variant")).otherwise(F.col("line"))
-    met = keys.join(earliest.where("n > 1").drop("n"), ["v1", "v2", "tag"]).select("place", partner.alias("partner"))
+    met = join_reduced(keys, earliest.where("n > 1").drop("n"), ["v1", "v2", "tag"]).select("place", partner.alias("partner"))
     pairs = met.where("partner < place").groupBy("place").agg(F.min("partner").alias("partner"))
     words = found.select(F.struct(*_PLACE).alias("place"), "words")
     both = pairs.join(words, "place").join(words.select(F.col("place").alias("partner"), F.col("words").alias("others")), "partner")
     near = both.where(within_one_edit(F.col("words"), F.col("others"))).select("place.*", F.lit(True).alias("near"))
 
     several = classes.where("n > 1").select("h1", "h2", F.struct("first.doc_id", "first.line_no").alias("first"))
-    repeated = lines.select(*_PLACE, "h2").join(several, ["h1", "h2"]).where(F.struct("doc_id", "line_no") != F.col("first"))
+    repeated = join_reduced(lines.select(*_PLACE, "h2"), several, ["h1", "h2"]).where(F.struct("doc_id", "line_no") != F.col("first"))
     return repeated.select(*_PLACE, F.lit(False).alias("near")).unionByName(near)
 
 
@@ -185,11 +183,11 @@ def _by_document(dropped: DataFrame) -> DataFrame:
     return dropped.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h1")).alias("dropped"), F.count_if("near").alias("n_near"))
 
 
-def line_report(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
+def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Per document: ``doc_id``, ``n_lines``, ``n_removed``, ``n_near`` and the numbers of the lines to drop."""
     rows = pick(docs, "doc_id", "text").select("doc_id", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     rows = rows.withColumn("n_lines", F.greatest("n_lines", F.lit(0)).cast("long"))
-    of_doc = _by_document(dropped_lines(docs, min_words, every_line))
+    of_doc = _by_document(dropped_lines(docs, min_words))
     numbers = F.array_sort(F.transform("dropped", lambda x: x["line_no"]))
     out = rows.join(of_doc.select("doc_id", "n_near", F.array_distinct(numbers).alias("removed")), "doc_id", "left")
     return out.select(
@@ -201,17 +199,16 @@ def line_report(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool =
     )
 
 
-def drop_lines(docs: DataFrame, min_words: int = MIN_WORDS, every_line: bool = False) -> DataFrame:
+def drop_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents, with all their columns, without the lines to drop; ``n_chars``, if there, follows.
 
-    A document that loses lines and keeps none but blank ones goes. With ``every_line`` that holds for each document all of
-    whose lines were dropped, so an exact copy leaves nothing.
+    A document that loses lines and keeps none but blank ones goes; so an exact copy leaves nothing.
     """
-    of_doc = _by_document(dropped_lines(docs, min_words, every_line)).select(F.col("doc_id").alias("_doc"), "dropped")
+    of_doc = _by_document(dropped_lines(docs, min_words)).select(F.col("doc_id").alias("_doc"), "dropped")
     out, at = with_columns_by_place(docs)
     out = out.join(of_doc, F.col(at["doc_id"]) == F.col("_doc"), "left")
-    text, words = F.col(at["text"]), parts_of if every_line else words_of
-    kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("dropped", F.struct(i.alias("line_no"), _hashes(words(x))[0].alias("h1"))))
+    text = F.col(at["text"])
+    kept = F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains("dropped", F.struct(i.alias("line_no"), _hashes(parts_of(x))[0].alias("h1"))))
     out = out.withColumn(at["text"], F.when(F.col("dropped").isNull(), text).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in at:
         kind = docs.schema["n_chars"].dataType

@@ -67,16 +67,26 @@ def near_components(texts, size, percent=80):
     return components(ids, links)
 
 
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def lines_to_drop(texts, least=5):
-    """(doc_id, line_no) of lines with an earlier line within one edit of words, by full comparison."""
+    """(doc_id, line_no) of lines with an earlier equal line, or an earlier one within one edit of words where both have
+    ``least`` words, by full comparison."""
     lines = []
     for i, t in sorted((i, t) for i, t in texts if t is not None):
         for n, line in enumerate(t.split("\n")):
             words = tuple(w for w in re.split(r"[ \t\x0b\f\r]+", line.lower()) if w)
-            if len(words) >= least:
+            if len(words) == 1 and UNSPACED.search(words[0]):
+                words = tuple(words[0])
+            if words:
                 lines.append((i, n, words))
 
     def near(a, b):
+        if a == b:
+            return True
+        if min(len(a), len(b)) < least:
+            return False
         if len(a) == len(b):
             return sum(x != y for x, y in zip(a, b)) <= 1
         if abs(len(a) - len(b)) != 1:

@@ -2,34 +2,20 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from helpers import SMALL, documents, lines_to_drop, needs_tables, small_documents
+from helpers import documents, lines_to_drop, needs_tables, small_documents
 from rosterkeep.llm import line_dedup
-from rosterkeep.llm.queries import VARIANT_ORACLE, VARIANTS
-from tools.check import TABLES, compare
+from rosterkeep.llm.queries import ORACLE
 
 MENU = "Home\nAll rights reserved.\none two three four five six"
 
 
 def dropped(spark, rows):
-    return {(r["doc_id"], r["line_no"]) for r in line_dedup.dropped_lines(documents(spark, rows), every_line=True).collect()}
-
-
-def plain(rows):
-    """Lines with an earlier equal line of any length, or an earlier line within one edit where both have five words."""
-    seen, gone = set(), lines_to_drop(rows)
-    for i, t in sorted(r for r in rows if r[1] is not None):
-        for n, line in enumerate(t.split("\n")):
-            words = tuple(line.lower().split())
-            if words in seen:
-                gone.add((i, n))
-            if words:
-                seen.add(words)
-    return gone
+    return {(r["doc_id"], r["line_no"]) for r in line_dedup.dropped_lines(documents(spark, rows)).collect()}
 
 
 def test_short_lines(spark):
     rows = [(1, MENU), (2, "HOME\nall rights  reserved.\nother"), (3, "\n \nHome sweet\nHome\nother!"), (4, "Home\nHome")]
-    assert dropped(spark, rows) == plain(rows) == {(2, 0), (2, 1), (3, 3), (4, 0), (4, 1)}
+    assert dropped(spark, rows) == lines_to_drop(rows) == {(2, 0), (2, 1), (3, 3), (4, 0), (4, 1)}
     # Short lines one edit apart stay.
     assert dropped(spark, [(1, "one two three four"), (2, "one two three 4")]) == set()
 
@@ -43,24 +29,19 @@ def test_scripts_without_blanks(spark):
 @pytest.mark.skipif(needs_tables(), reason="no test tables")
 def test_test_documents(spark):
     rows = [(i, t) for i, t, _ in small_documents()]
-    assert dropped(spark, rows) == plain(rows) > lines_to_drop(rows)
+    assert dropped(spark, rows) == lines_to_drop(rows)
 
 
-@pytest.mark.skipif(needs_tables(), reason="no test tables")
-def test_query(spark):
+def test_sql_in_scripts_without_blanks():
     con = duckdb.connect()
-    for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
-    for name, run in VARIANTS.items():
-        assert compare(spark, con, SMALL, name, run, VARIANT_ORACLE[name])[0].startswith("ok")
-    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM (VALUES (1, '今天天气很好'), (2, '今天天气很坏'), (3, 'Les.'), (4, 'les. '), (5, '今')) AS t(doc_id, text)")
-    got = con.execute(VARIANT_ORACLE["op7_line_deletion_dedup_every_line"]).fetchall()
+    con.execute("CREATE VIEW documents AS SELECT * FROM (VALUES (1, '今天天气很好'), (2, '今天天气很坏'), (3, 'Les.'), (4, 'les. '), (5, '今')) AS t(doc_id, text)")
+    got = con.execute(ORACLE["op7_line_deletion_dedup"]).fetchall()
     assert {r[0] for r in got if r[2]} == {2, 4}
 
 
 def test_copies_leave_nothing(spark):
     rows = [(1, MENU), (2, MENU), (3, MENU + "\nan own line of its words"), (4, "Home\n\nAll rights reserved."), (5, "Les.")]
-    out = line_dedup.drop_lines(documents(spark, rows), every_line=True)
+    out = line_dedup.drop_lines(documents(spark, rows))
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: MENU, 3: "an own line of its words", 5: "Les."}
 
 
@@ -70,8 +51,7 @@ def test_pipeline_with_planted_copies(spark, tmp_path):
     texts = ["Home\nLes.\n" + " ".join(words[k * 40 : k * 40 + 40]) + "\nAll rights reserved." for k in range(5)]
     rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts + texts, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    stages = dict(corpus_pipeline.EVERY_LINE_STAGES)
+    stages = dict(corpus_pipeline.STAGES)
     lines = stages["line_dedup"](spark, docs, str(tmp_path))
     left = {r["doc_id"]: r["text"] for r in stages["near_dedup"](spark, lines, str(tmp_path)).collect()}
     assert left == {1: texts[0]} | {i + 1: texts[i].split("\n")[2] for i in range(1, 5)}
-    assert [n for n, _ in corpus_pipeline.EVERY_LINE_STAGES] == [n for n, _ in corpus_pipeline.STAGES]
