@@ -73,6 +73,13 @@ Groups                           | groups             | string
 updated_date                     | updated_date       | date
 """
 
+MEMBERSHIP_COLUMNS = """
+UserID                           | user_id      | string
+GroupID                          | group_id     | string
+Position                         | pos          | int
+updated_date                     | updated_date | date
+"""
+
 STATE_COLUMNS = """
 Username                         | username      | string
 Name                             | name          | string
@@ -108,6 +115,7 @@ NOT_STATE = {
     "items": ("title", "updated_date"),
     "members": ("updated_date",),
     "identity": ("updated_date",),
+    "memberships": ("updated_date",),
 }
 
 #: Names of the written reports; the run date follows.
@@ -179,11 +187,12 @@ class Layout:
 ITEMS = Layout("items", _parse(ITEM_COLUMNS), NOT_STATE["items"])
 MEMBERS = Layout("members", _parse(MEMBER_COLUMNS), NOT_STATE["members"])
 IDENTITY = Layout("identity", _parse(IDENTITY_COLUMNS), NOT_STATE["identity"])
+MEMBERSHIPS = Layout("memberships", _parse(MEMBERSHIP_COLUMNS), NOT_STATE["memberships"])
 STATE = Layout("state", _parse(STATE_COLUMNS))
 OVER_QUOTA = Layout("over_quota", _parse(OVER_QUOTA_COLUMNS))
 DELETE_LIST = Layout("delete_list", _parse(DELETE_LIST_COLUMNS))
 
-KINDS: dict[str, Layout] = {layout.name: layout for layout in (ITEMS, MEMBERS, IDENTITY)}
+KINDS: dict[str, Layout] = {layout.name: layout for layout in (ITEMS, MEMBERS, IDENTITY, MEMBERSHIPS)}
 
 
 def kind_of(title: str) -> Layout:

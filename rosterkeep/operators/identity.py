@@ -152,6 +152,24 @@ def group_text(group_edges: DataFrame, length: int | None = None) -> DataFrame:
     return text.withColumnRenamed("group_ids", "groups")
 
 
+def group_digest(group_edges: DataFrame) -> DataFrame:
+    """``user_id, groups``: number and digest of a user's groups (H5), which is the same however they are dealt out.
+
+    Two sums of hashes of group and position: any change of the text of the groups changes it, but nothing is gathered, and a
+    user of very many groups is one row a task in the shuffle.
+    """
+    listed = group_edges.where("user_id is not null and group_id is not null")
+    sums = [F.sum(F.xxhash64(F.lit(k), "pos", "group_id").cast("decimal(20,0)")).cast("string") for k in (1, 2)]
+    return listed.groupBy("user_id").agg(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums).alias("groups"))
+
+
+def with_group_text(identity: DataFrame, group_edges: DataFrame) -> DataFrame:
+    """Rows with the digest of the groups replaced by their text, for a report; nothing else gathers a user's groups."""
+    text = group_text(group_edges).select(F.col("user_id").alias("_user"), F.col("groups").alias("_text"))
+    joined = identity.join(text, same_key(F.col("directory_id"), F.col("_user")), "left")
+    return joined.withColumn("groups", F.when(F.col("groups").isNotNull(), F.col("_text"))).drop("_user", "_text")
+
+
 # --- The status table ---------------------------------------------------------------------------------------------
 
 
@@ -175,12 +193,14 @@ def identity_status(
     return status_rows(members, resolution_index(directory), profiles, run_date, suffix, domain, legacy_truncate)
 
 
-def user_profiles(directory: DataFrame, manager_edges: DataFrame, group_edges: DataFrame, legacy_truncate: bool = False) -> DataFrame:
-    """``user_id, manager_email, manager_department, groups`` of the users that have either.
+def user_profiles(
+    directory: DataFrame, manager_edges: DataFrame, group_edges: DataFrame, legacy_truncate: bool = False, digest: bool = False
+) -> DataFrame:
+    """``user_id, manager_email, manager_department, groups`` of the users that have either; the groups as text or ``digest``.
 
     Both sides have one row per user and the same partitioning, so the join shuffles nothing.
     """
-    groups = group_text(group_edges, LEGACY_GROUPS if legacy_truncate else None)
+    groups = group_digest(group_edges) if digest else group_text(group_edges, LEGACY_GROUPS if legacy_truncate else None)
     return managers(manager_edges, directory).join(groups, "user_id", "full")
 
 

@@ -702,7 +702,7 @@ def identity_later_listing(t):
     for date, (users, groups) in listings.items():
         accounts = b.accounts(t).withColumn("email", F.when((F.length("name") % 2 == 0) | (date == RUN_DATE), F.col("email")).otherwise(F.lit("x@y")))
         store.write_snapshot("members", date, b.in_layout(accounts, MEMBERS))
-        runs.resolve_members(store, runs.RunConfig(date, SUFFIX, DOMAIN, QUOTA), runs.Directory(users, b.manager_edges(t), groups, none))
+        runs.resolve_members(store, runs.RunConfig(date, SUFFIX, DOMAIN, QUOTA, group_digest=False), runs.Directory(users, b.manager_edges(t), groups, none))
     return dates_as_text(store.snapshot("identity", RUN_DATE))
 
 
@@ -714,15 +714,22 @@ def identity_resolution_legacy(t):
 
 @query
 def history_late_group(t):
-    """H5: only the last of very many groups changes; that is a state of its own."""
+    """H5: only the last of very many groups changes; that is a state of its own.
+
+    The state has the digest of the groups, and the memberships of each date are rows; their text is made for the result.
+    """
     edges = b.many_groups(t)
     last = edges.groupBy("user_id").agg(F.max("pos").alias("_last"))
     marked = edges.join(last, "user_id").withColumn("late", F.col("pos") == F.col("_last"))
-    rows = []
-    for day, part in (("2001-07-01", marked.where("not late")), ("2001-08-01", marked)):
-        groups = identity.group_text(part.select("user_id", "group_id", "pos"))
-        rows.append(b.in_layout(groups.select(F.col("user_id").alias("username"), "groups", F.lit(day).cast("date").alias("updated_date")), IDENTITY))
-    return dates_as_text(history.fold(rows[0], rows[1:], IDENTITY).select("username", "groups", "updated_date"))
+    parts = {"2001-07-01": marked.where("not late"), "2001-08-01": marked}
+    rows, texts = [], []
+    for day, part in parts.items():
+        date = F.lit(day).cast("date").alias("updated_date")
+        groups = identity.group_digest(part)
+        rows.append(b.in_layout(groups.select(F.col("user_id").alias("username"), "groups", date), IDENTITY))
+        texts.append(identity.group_text(part).select(F.col("user_id").alias("username"), "groups", date))
+    states = history.fold(rows[0], rows[1:], IDENTITY).select("username", "updated_date")
+    return dates_as_text(states.join(reduce(DataFrame.unionAll, texts), ["username", "updated_date"]).select("username", "groups", "updated_date"))
 
 
 @query

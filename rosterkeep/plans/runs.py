@@ -43,6 +43,9 @@ class RunConfig:
     grace_days: int = 30
     match: str = "binary"
     legacy_truncate: bool = False
+    #: The groups of a user are in the identity state as a digest, and dated memberships beside it; only reports have their
+    #: text. Without it, and with ``legacy_truncate``, the state has the text.
+    group_digest: bool = True
     date_formats: Sequence[str] = DATE_FORMATS
     na_tokens: Sequence[str] = ()
     multi_line: bool = True
@@ -164,11 +167,14 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory, count
     """
     members = store.snapshot("members", config.run_date)
     args = (config.run_date, config.address_suffix, config.address_domain, config.legacy_truncate)
-    settings = f"{config.address_suffix} {config.address_domain} {config.legacy_truncate}"
+    digest = config.group_digest and not config.legacy_truncate
+    settings = f"{config.address_suffix} {config.address_domain} {config.legacy_truncate} {digest}"
     before = _resolved_before(store, settings)
     index = store.replace(INDEX, ids.resolution_index(directory.users))
-    profiles = ids.user_profiles(directory.users, directory.manager_edges, directory.group_edges, config.legacy_truncate)
+    profiles = ids.user_profiles(directory.users, directory.manager_edges, directory.group_edges, config.legacy_truncate, digest)
     profiles = store.replace(PROFILES, profiles)
+    if digest:
+        store.write_snapshot("memberships", config.run_date, reports.stamp(directory.group_edges.select("user_id", "group_id", "pos"), config.run_date))
     if before:
         addresses = ids.changed_keys(before[0], index, ["key", "led"])
         users = ids.changed_keys(before[1], profiles, ["user_id"])
@@ -183,8 +189,9 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory, count
     by = (path, settings, store.current_version(INDEX), store.current_version(PROFILES))
     store.replace(RESOLVED, store.spark.createDataFrame([by], "path string, settings string, index int, profiles int"))
     written = store.snapshot("identity", config.run_date)
+    shown = ids.with_group_text(written, store.snapshot("memberships", config.run_date)) if digest else written
     reports.write_csv(
-        written.drop("directory_id"), store.report_path(reports.dated_name(TITLE_MARKS["identity"], config.run_date)), IDENTITY
+        shown.select(*IDENTITY.columns), store.report_path(reports.dated_name(TITLE_MARKS["identity"], config.run_date)), IDENTITY
     )
     reports.write_csv(
         ids.error_rows(written).select("username"), store.report_path(reports.dated_name(ERROR_LIST_NAME, config.run_date))

@@ -48,7 +48,7 @@ def test_later_runs_equal_full_ones(spark, tmp_path, seed):
         directory = listing(spark, people, groups)
         members = spark.createDataFrame(accounts, "username string, email string, name string")
         store.write_snapshot("members", day, in_layout(members, MEMBERS))
-        seen, config = counts.RunCounts(), runs.RunConfig(day, "_org", "d", 100)
+        seen, config = counts.RunCounts(), runs.RunConfig(day, "_org", "d", 100, group_digest=False)
         runs.resolve_members(store, config, directory, seen)
         want = identity.identity_status(members, directory.users, directory.manager_edges, directory.group_edges, day, "_org", "d")
         assert rows(store.snapshot("identity", day), *want.columns) == rows(want)
@@ -74,3 +74,39 @@ def test_other_settings_or_snapshots_resolve_everybody(spark, tmp_path):
     assert run(DAYS[3] + dt.timedelta(days=1), "other") == 1
     store.expire(dt.datetime(9999, 1, 1, tzinfo=dt.timezone.utc))
     assert run(DAYS[3] + dt.timedelta(days=2), "other") == 0
+
+
+def test_groups_as_digest_and_memberships(spark, tmp_path):
+    """The state has no text of the groups, yet every change of it is a state; reports have the text."""
+    from rosterkeep.sources import reports
+
+    store = Store(spark, str(tmp_path))
+    people = {"1": ("a@d", None, [], "A", None), "2": ("b@d", None, [], "A", None)}
+    members = in_layout(spark.createDataFrame([("a_org", None, "A"), ("b_org", None, "B"), ("c_org", None, "C")], "username string, email string, name string"), MEMBERS)
+    lists = [["g1", "g2"], ["g2", "g1"], ["g2", "g1"], ["g2", "g1", "g1"]]
+    for day, groups in zip(DAYS, lists):
+        config = runs.RunConfig(day, "_org", "d", 100)
+        for kind in ("identity", "memberships"):
+            runs.fold_history(store, config, kind)
+        store.write_snapshot("members", day, members)
+        runs.resolve_members(store, config, listing(spark, people, {"1": groups}))
+        path = store.report_path(reports.dated_name("EntraID_Status", day))
+        assert rows(reports.read_text_columns(spark, path), "Username", "Groups") == [("a_org", ", ".join(groups)), ("b_org", None), ("c_org", None)]
+    later = runs.RunConfig(DAYS[-1] + dt.timedelta(days=1), "_org", "d", 100)
+    for kind in ("identity", "memberships"):
+        runs.fold_history(store, later, kind)
+    history = store.history("identity").where("username = 'a_org'")
+    assert rows(history, "updated_date") == [(DAYS[0],), (DAYS[2],), (DAYS[3],)] and history.where("groups like '%g1%'").isEmpty()
+    assert rows(store.history("memberships"), "group_id", "pos", "updated_date") == [("g1", 0, DAYS[0]), ("g1", 1, DAYS[3]), ("g1", 2, DAYS[3]), ("g2", 0, DAYS[3]), ("g2", 1, DAYS[0])]
+
+
+def test_digest_is_of_all_groups_in_order(spark):
+    def digest(edges, parts=1):
+        df = spark.createDataFrame(edges, "user_id string, group_id string, pos int").repartition(parts)
+        return identity.group_digest(df).first()["groups"]
+
+    base = [("u", f"g{i}", i) for i in range(200)]
+    assert digest(base) == digest(base[::-1], 7)
+    others = [base[:-1], base + [base[0]], [("u", "x", 0), *base[1:]], [("u", "g0", 1), ("u", "g1", 0), *base[2:]]]
+    assert len({digest(e) for e in [base, *others]}) == 5
+    assert digest([("u", "a", 0)] * 2) != digest([("u", "b", 0)] * 2)
