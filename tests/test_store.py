@@ -129,7 +129,7 @@ def test_expiry(spark, tmp_path):
     assert store.expire(dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)) == []
     assert [rows(df) for df in running] == want[:2]
     gone = store.expire(EVER)
-    assert len([p for p in gone if "/tables/" in p]) == FANOUT and len([p for p in gone if "/history/" in p]) == FANOUT
+    assert len([p for p in gone if "/tables/t/" in p]) == len([p for p in gone if "/tables/contacts/" in p]) == FANOUT and len([p for p in gone if "/history/" in p]) == FANOUT
     assert len([p for p in gone if "/snapshots/" in p]) == FANOUT + 2
     assert [rows(store.history("identity")), rows(store.read("t")), rows(store.snapshot("identity"))] == want
     assert len(store.committed("table-t")) == 1 and store.pending_dates("identity") == [dt.date(2026, 2, 1)]
