@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from rosterkeep.llm.common import begin, pick, pieces_of_bytes, stored, with_columns_by_place
+from rosterkeep.llm.common import begin, give_back, pick, pieces_of_bytes, stored, with_columns_by_place
 
 PER_LANGUAGE = 800
 MAX_WORDS = 60_000
@@ -163,11 +163,16 @@ def predictor(spark, model: Model):
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        begin("langid", shared.value.forget)
-        values = texts.tolist()
-        sizes = (bytes(0) if t is None else t for t in values)
-        return pd.concat([shared.value.predict(values[a:b]) for a, b in pieces_of_bytes(sizes, 1 << 20)], ignore_index=True) if values else shared.value.predict([])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        begin("langid")
+        for texts in batches:
+            values = texts.tolist()
+            sizes = (bytes(0) if t is None else t for t in values)
+            parts = [shared.value.predict(values[a:b]) for a, b in pieces_of_bytes(sizes, 1 << 20)]
+            yield pd.concat(parts, ignore_index=True) if parts else shared.value.predict([])
+        # The process waits while other stages need the memory.
+        shared.value.forget()
+        give_back()
 
     return predict
 

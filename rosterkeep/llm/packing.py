@@ -31,7 +31,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from rosterkeep.llm.common import begin, groups_for, pick, pieces_of_bytes, stored
+from rosterkeep.llm.common import begin, give_back, groups_for, pick, pieces_of_bytes, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -224,6 +224,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                     [batch.column("doc_id").take(pa.array(place)), pa.array(number, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        give_back()
 
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(cut, _PIECES)
