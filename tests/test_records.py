@@ -34,26 +34,26 @@ def quoted(text):
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
-@pytest.mark.parametrize("split", [40, 97, 1000, 1 << 20])
+@pytest.mark.parametrize("split", [61, 1000, 1 << 20])
 def test_equal_to_the_read_by_one_task(spark, tmp_path, small_splits, split, newline):
     r = random.Random(split)
     texts = ["plain", f"two{newline}lines", f'"{newline}"', "a,b", f"{newline}{newline}", 'say "hi"', "", "x" * 60, f'end"{newline},"', "ünï", " padded "]
-    lines = ["Username,Name,Email"] + [",".join(quoted(r.choice(texts)) if r.random() < 0.7 else f"u{i}" for _ in range(3)) for i in range(300)]
+    lines = ["Username,Name,Email"] + [",".join(quoted(r.choice(texts)) if r.random() < 0.7 else f"u{i}" for _ in range(3)) for i in range(100)]
     path = write(tmp_path / "r.csv", newline.join(lines) + (newline if split % 2 else ""))
     small_splits(split)
     df = reports.read_text_columns(spark, path)
     assert df.columns == ["Username", "Name", "Email"] and rows(df) == by_one_task(spark, path)
     found, _ = records.records(spark, [path])
-    assert found.rdd.getNumPartitions() > 5 or split > 5000
+    assert found.rdd.getNumPartitions() > 3 or split > 5000
 
 
-@pytest.mark.parametrize("seed", range(4, 7))
+@pytest.mark.parametrize("seed", range(4, 6))
 def test_stray_quotes_as_the_read_by_one_task(spark, tmp_path, small_splits, seed):
     """Quotes within unquoted fields, text after a closing quote, blanks around: any text whose last record is closed."""
     r = random.Random(seed)
     parts = ['a', '"', '""', ",", "\n", ' ', '"b"', ',"c"', "d\n", '"e\nf"', '5" pipe', '"g" ,', "\n\n"]
     small_splits(16)
-    for k in range(10):
+    for k in range(8):
         text = "A,B\n" + "".join(r.choices(parts, k=40))
         is_open = False
         for line in text.split("\n"):
