@@ -100,9 +100,33 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array]]
                 yield (files.dictionary[int(codes[a])].as_py(), int(starts[a]), int(lengths[a])), batch["line"].slice(a, b - a)
 
 
-def _quoted(lines: pa.Array) -> list[int]:
-    """Numbers of the lines with a quote; over others an open field stays open, and a closed one closed."""
-    return np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)).tolist()
+#: A field with the comma behind it left out, and one that is open at the end of the line.
+_FIELD, _OPEN = r'(?:"(?:[^"]|"")*"(?:[^",][^,]*)?|[^",][^,]*)?', r'"(?:[^"]|"")*\z'
+#: Lines after which ``ends_open``, if no field was open before, and if one was.
+_FROM_CLOSED = rf"\A(?:{_FIELD},)*{_OPEN}"
+_FROM_OPEN = rf'\A(?:[^"]|"")*(?:\z|"(?:[^",][^,]*)?,(?:{_FIELD},)*{_OPEN})'
+
+
+def _moves(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``ends_open`` of each line, if no field was open before and if one was; a line without a quote changes nothing."""
+    quoted = pc.match_substring(lines, '"')
+    closed, opened = np.zeros(len(lines), bool), np.ones(len(lines), bool)
+    at = np.flatnonzero(quoted.to_numpy(zero_copy_only=False))
+    if len(at):
+        some = lines if len(at) == len(lines) else lines.filter(quoted)
+        closed[at] = pc.match_substring_regex(some, _FROM_CLOSED).to_numpy(zero_copy_only=False)
+        opened[at] = pc.match_substring_regex(some, _FROM_OPEN).to_numpy(zero_copy_only=False)
+    return closed, opened
+
+
+def _states(moves: tuple[np.ndarray, np.ndarray], is_open: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a field is open before and after each line, with the state before the first one given."""
+    closed, opened = moves
+    # The last line so far that leads to one state from both, and how often the state was turned over since.
+    last = np.maximum.accumulate(np.where(closed == opened, np.arange(len(closed)), -1))
+    turned = np.cumsum(closed & ~opened)
+    after = np.where(last >= 0, closed[last], is_open) ^ ((turned - np.where(last >= 0, turned[last], 0)) % 2 == 1)
+    return np.concatenate(([is_open], after[:-1])), after
 
 
 class _Survey:
@@ -126,11 +150,13 @@ class _Survey:
             if not (self.quoted_breaks and ends_open(b"\n".join(self.header), False)):
                 self.in_header = False
                 break
-        for i in _quoted(lines) if self.quoted_breaks else ():
-            line = lines[i].as_py()
+        if self.quoted_breaks:
+            moves = _moves(lines)
             for begin, (is_open, tail) in self.states.items():
-                after = ends_open(line, is_open)
-                self.states[begin] = after, (tail if is_open else self.lines + i) if after else None
+                before, after = _states(moves, is_open)
+                began = np.flatnonzero(after & ~before)
+                tail = self.lines + int(began[-1]) if len(began) else tail
+                self.states[begin] = bool(after[-1]), tail if after[-1] else None
         self.lines += len(lines)
 
     def row(self) -> tuple:
@@ -186,26 +212,22 @@ def _bare(header: bytes) -> bytes:
     return header.removeprefix(BYTE_ORDER_MARK).removesuffix(b"\r").replace(b"\r\n", b"\n")
 
 
+def _without_return(lines: pa.Array) -> pa.Array:
+    return pc.if_else(pc.ends_with(lines, b"\r"), pc.binary_slice(lines, 0, -1), lines)
+
+
 def _gathered(places: dict[tuple, Split], quoted_breaks: bool):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole records, and lines of those that go on over the border of a split or are never closed."""
         key = split = None
         number, is_open, in_head, began = 0, False, False, 0
         held: list[bytes] = []
-        rows: list[tuple] = []
-
-        def ended(line: bytes) -> bytes:
-            return line.removesuffix(b"\r") if split.crlf else line
 
-        def keep(i: int, line: bytes) -> None:
-            """A line of a record of several: held until its end, or given out where that is elsewhere, or nowhere."""
-            nonlocal began
-            if in_head or (split.tail_at is not None and i >= split.tail_at):
-                part = split.head if in_head else split.tail
-                rows.append((key[0], split.first_line + i, ended(line), part, part is None, split.layout))
-            else:
-                began = began if held else i
-                held.append(ended(line))
+        def rows(at, texts: pa.Array, part: str | None, unclosed: bool) -> pa.RecordBatch:
+            n = len(texts)
+            columns = [pa.repeat(key[0], n), pa.array(split.first_line + np.asarray(at, np.int64)), texts, pa.array([part] * n, pa.string())]
+            columns += [pa.array(np.full(n, unclosed)), pa.array(np.full(n, split.layout, np.int32))]
+            return pa.RecordBatch.from_arrays(columns, names=_names(_RECORD))
 
         for of, lines in _runs(batches):
             if of != key:
@@ -213,41 +235,40 @@ def _gathered(places: dict[tuple, Split], quoted_breaks: bool):
                     raise ChangedSplits(f"{of[0]} was split otherwise at first")
                 key, split, number, held = of, places[of], 0, []
                 is_open = in_head = split.open_before
-            at, plain = 0, []
-            # Where the state may change; in between all lines are alike.
-            for i in [*(_quoted(lines) if quoted_breaks else []), len(lines)]:
-                if is_open:
-                    for j in range(at, i):
-                        keep(number + j, lines[j].as_py())
-                elif at < i:
-                    plain.append((at, i))
-                if i == len(lines):
-                    break
-                line = lines[i].as_py()
-                after = ends_open(line, is_open)
-                if is_open or after:
-                    keep(number + i, line)
+            n = len(lines)
+            moves = _moves(lines) if quoted_breaks else (np.zeros(n, bool), np.ones(n, bool))
+            before, after = _states(moves, is_open)
+            if split.crlf:
+                # Breaks within a record are line feeds where the file's rows end in CRLF.
+                lines = _without_return(lines)
+            starts = np.flatnonzero(~before)
+            first = int(starts[0]) if len(starts) else n
+            tail = n if split.tail_at is None else min(max(split.tail_at - number, 0), n)
+            if first:  # lines of a record that began before
+                if in_head:
+                    yield rows(range(number, number + first), lines.slice(0, first), split.head, split.head is None)
+                elif tail == 0:
+                    yield rows(range(number, number + first), lines.slice(0, first), split.tail, split.tail is None)
                 else:
-                    plain.append((i, i + 1))
-                if is_open and not after:
+                    held += lines.slice(0, first).to_pylist()
+                if not after[first - 1]:
                     if held:
-                        # Breaks within a record are line feeds where the file's rows end in CRLF.
-                        rows.append((key[0], split.first_line + began, b"\n".join(held), None, False, split.layout))
+                        yield rows([began], pa.array([b"\n".join(held)], pa.binary()), None, False)
                     held, in_head = [], False
-                is_open, at = after, i + 1
-            for a, b in plain:
-                some = lines.slice(a, b - a)
-                if split.crlf:
-                    some = pa.array([ended(x) for x in some.to_pylist()], pa.binary())
-                n = split.first_line + number
-                columns = [pa.array([key[0]] * (b - a)), pa.array(range(n + a, n + b), pa.int64()), some, pa.nulls(b - a, pa.string())]
-                columns += [pa.array(np.zeros(b - a, bool)), pa.array(np.full(b - a, split.layout, np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=_names(_RECORD))
-            if rows:
-                kinds = [pa.string(), pa.int64(), pa.binary(), pa.string(), pa.bool_(), pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names=_names(_RECORD))
-                rows.clear()
-            number += len(lines)
+            if first < tail:
+                starts, end = starts[starts < tail], tail
+                if after[tail - 1]:  # its end comes with the next lines
+                    end, starts = int(starts[-1]), starts[:-1]
+                    began, held = number + end, lines.slice(end, tail - end).to_pylist()
+                if len(starts):
+                    texts = lines.slice(first, end - first)
+                    if len(starts) < end - first:
+                        offsets = pa.array(np.append(starts, end) - first, pa.int32())
+                        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, texts), b"\n")
+                    yield rows(number + starts, texts, None, False)
+            if (rest := max(first, tail)) < n:
+                yield rows(range(number + rest, number + n), lines.slice(rest), split.tail, split.tail is None)
+            number, is_open = number + n, bool(after[-1])
 
     return gather
 
