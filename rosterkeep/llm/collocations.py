@@ -12,7 +12,7 @@ phrase is 1 to ``LONGEST`` words in a row within a piece. Everything is per lang
    is left is one bit a key in a filter of ``2 ** FILTER_BITS`` bits, the only thing that is broadcast; its size does not
    depend on the corpus.
 3. *Count all candidates globally and exactly.* A second pass over the texts writes out the phrases the filter has, counted
-   block by block, and Spark sums them by their words. Keys that meet in a hash or a bit let through more to count, never
+   block by block and dealt out in the same buckets, and a bucket sums them by their words. Keys that meet in a hash or a bit let through more to count, never
    less, so the counts are exact.
 
 The number of shards is the same for every corpus, so the local support does not sink to one as the corpus grows; a shard
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -54,6 +55,7 @@ _STOP = b"."
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 
 _DEALT = "bucket int, lang string, n int, keys binary, shards binary, counts binary"
+_COUNTED = "bucket int, lang string, phrases binary, counts binary"
 
 
 # --- Words and keys -----------------------------------------------------------------------------------------------
@@ -238,16 +240,19 @@ def _frequent(support: int, least: dict[tuple[int, str], int], bits: int):
     return mine
 
 
-def _counted(known):
+def _counted(known, bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases the filter has, with their number in each block."""
-        bits = np.frombuffer(known.value, np.uint8)
+        """Phrases the filter has, with their number in each block: a row for each of ``2 ** ROW_BITS`` ranges of keys."""
+        flags = np.frombuffer(known.value, np.uint8)
+        row_bits = max(bits, ROW_BITS)
         for lang, [(_, words, seen)] in _blocks(batches, LAST_BLOCK):
             ids, distinct, hashes = _numbered(words, lang)
             del words
+            distinct = pa.array(distinct, pa.binary())
+            found = []
             for n, keys, starts in _phrases(ids, hashes, seen):
                 place = (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                kept = (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+                kept = (flags[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
                 # By the numbers of their words, which are exact: two words of four make one 64-bit number.
                 at = ids[starts[kept][:, None] + np.arange(n)].astype(np.int64)
                 pair = [(at[:, j] << 32) | (at[:, j + 1] if j + 1 < n else 0) for j in range(0, n, 2)]
@@ -256,18 +261,49 @@ def _counted(known):
                     continue
                 new = np.any([p[order][1:] != p[order][:-1] for p in pair], axis=0)
                 first = np.flatnonzero(np.concatenate(([True], new)))
-                counts = np.diff(np.append(first, len(order)))
-                texts = [b" ".join([distinct[i] for i in row]) for row in at[order[first]].tolist()]
-                for a in range(0, len(texts), 50_000):
-                    part = pa.array(texts[a : a + 50_000], pa.binary()).cast(pa.string())
-                    m = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * m), part, pa.array([n] * m, pa.int32()), pa.array(counts[a : a + 50_000], pa.int64())], names=["lang", "phrase", "words", "a"]
-                    )
+                counts = np.diff(np.append(first, len(order))).astype(np.uint32)
+                at = at[order[first]]
+                texts = pc.binary_join_element_wise(*[distinct.take(pa.array(at[:, j])) for j in range(n)], b" ")
+                found.append(((keys[kept][order[first]] >> np.uint64(64 - row_bits)).astype(np.int64), texts, counts))
+            if not found:
+                continue
+            ranges, counts = (np.concatenate([f[i] for f in found]) for i in (0, 2))
+            texts = pa.concat_arrays([f[1] for f in found])
+            del found
+            order = np.argsort(ranges, kind="stable")
+            ranges, counts, texts = ranges[order], counts[order], texts.take(pa.array(order))
+            borders = np.flatnonzero(np.diff(ranges, prepend=-1))
+            ends = np.append(borders[1:], len(ranges))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(borders, len(ranges)), pa.int32()), texts)
+            columns = [
+                pa.array(ranges[borders] >> (row_bits - bits), pa.int32()),
+                pa.repeat(lang, len(borders)),
+                pc.binary_join(lists, b"\n"),  # no word has a line feed
+                pa.array([_pack(counts[a:b]) for a, b in zip(borders, ends)], pa.binary()),
+            ]
+            batch = pa.RecordBatch.from_arrays(columns, names=["bucket", "lang", "phrases", "counts"])
+            yield from (batch.slice(a, 512) for a in range(0, len(batch), 512))
 
     return count
 
 
+def _totals(support: int):
+    def total(table: pa.Table) -> pa.Table:
+        """The phrases of a bucket that reach the support, by their words."""
+        table = table.combine_chunks()
+        lists = pc.split_pattern(table["phrases"].combine_chunks().cast(pa.string()), "\n")
+        sizes = pc.list_value_length(lists).to_pylist()
+        counts = np.concatenate([_unpack(c, n, np.uint32) for c, n in zip(table["counts"].to_pylist(), sizes)])
+        lang = table["lang"].combine_chunks().take(pc.list_parent_indices(lists))
+        every = pa.table([lang, pc.list_flatten(lists), pa.array(counts.astype(np.int64))], names=["lang", "phrase", "a"])
+        summed = every.group_by(["lang", "phrase"]).aggregate([("a", "sum")])
+        summed = summed.filter(pc.greater_equal(summed["a_sum"], support))
+        words = pc.add(pc.count_substring(summed["phrase"], " "), 1).cast(pa.int32())
+        return pa.table([summed["lang"], summed["phrase"], words, summed["a_sum"]], names=["lang", "phrase", "words", "a"])
+
+    return total
+
+
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, a`` of each phrase of 1 to ``LONGEST`` words that occurs ``support`` times, written; and
     ``lang, n``, the words of each language."""
@@ -283,8 +319,8 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT) -> tuple[DataFrame
     for row in parts.collect():
         known[row["bucket"]] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
     known = spark.sparkContext.broadcast(known.tobytes())
-    counted = rows.withColumn("shard", F.lit(0)).mapInArrow(_counted(known), "lang string, phrase string, words int, a long")
-    summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
+    counted = rows.withColumn("shard", F.lit(0)).mapInArrow(_counted(known, bits), _COUNTED)
+    summed = counted.groupBy("bucket").applyInArrow(_totals(support), "lang string, phrase string, words int, a long")
     found = stored(summed, "phrases")
     known.unpersist()
     return found, totals

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from rosterkeep.llm import collocations as co
@@ -105,3 +106,18 @@ def test_score_beyond_64_bits(spark):
     row = spark.createDataFrame([(big, big + 1, big + 3)], "a long, l long, r long")
     score = F.expr("(cast(2000000 as decimal(7,0)) * cast(a as decimal(20,0))) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")
     assert row.select(score).first()[0] == 2000000 * big // (2 * big + 4)
+
+
+def test_a_block_is_as_many_rows_however_many_phrases_it_has():
+    """Counted phrases were a row each, and those are more a text as the corpus grows."""
+
+    class Every:
+        value = b"\xff" * (1 << co.FILTER_BITS - 3)
+
+    text = b" ".join(b"w%d" % i for i in range(5000))
+    batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array(["en"]), pa.array([text], pa.binary())], names=["shard", "lang", "text"])
+    table = pa.Table.from_batches(list(co._counted(Every, 1)(iter([batch]))))
+    assert 0 < table.num_rows <= 2**co.ROW_BITS
+    found = co._totals(1)(table).to_pylist()
+    assert len(found) == 4 * 5000 - 6 and {r["a"] for r in found} == {1}
+    assert {(r["phrase"], r["words"]) for r in found} >= {("w7", 1), ("w3 w4 w5 w6", 4)}
