@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterkeep.llm.common import LOWER_WORDS, pick, stored, with_columns_by_place
+from rosterkeep.llm.common import LOWER_WORDS, begin, give_back, pick, small_batches, stored, with_columns_by_place
 
 WIDTH = 10
 #: Bytes of item text whose windows are broadcast at a time.
@@ -103,6 +104,10 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k) if n > 1 else items for k in range(n)]
 
 
+def _windows(block: DataFrame, width: int):
+    return block.sparkSession.sparkContext.broadcast(Windows([tuple(r) for r in block.toLocalIterator()], width))
+
+
 def _scanner(windows):
     @F.pandas_udf(_HITS)
     def scan(texts: pd.Series) -> pd.DataFrame:
@@ -120,6 +125,28 @@ def _cleaner(windows):
     return clean
 
 
+def _judge(windows, drop_from: float):
+    """Whether a text goes, and the text without the passages if it has any."""
+
+    @F.pandas_udf("gone boolean, text string")
+    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        begin("decontam")
+        known = windows.value
+
+        def judged(text: bytes | None) -> tuple[bool, str | None]:
+            n_words, spans, _ = (0, [], []) if text is None else known.hits(text)
+            n_hit = sum(end - start for start, end in spans)
+            gone = n_hit > 0 and n_hit >= drop_from * n_words
+            return gone, _cleaned(text, spans, known) if spans and not gone else None
+
+        for batch in texts:
+            yield pd.DataFrame([judged(text) for text in batch], columns=["gone", "text"]).astype({"gone": bool, "text": object})
+        give_back()
+
+    # Else a condition on its result would be moved below it, and run it a second time.
+    return judge.asNondeterministic()
+
+
 def _merger():
     @F.pandas_udf("array<struct<start: long, end: long>>")
     def merge(spans: pd.Series) -> pd.Series:
@@ -130,9 +157,9 @@ def _merger():
 
 def with_hits(docs: DataFrame, text: str, benchmark: DataFrame, into: str, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with a column ``into`` of their words, hit ranges of words and items, for all blocks of items."""
-    spark, out = docs.sparkSession, None
+    out = None
     for block in _blocks(benchmark, block_bytes):
-        scan = _scanner(spark.sparkContext.broadcast(Windows([tuple(r) for r in block.toLocalIterator()], width)))
+        scan = _scanner(_windows(block, width))
         if out is None:
             out = docs.withColumn(into, scan(F.col(text).cast("binary")))
         else:  # one block at a time in a task's memory
@@ -173,16 +200,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, dro
     out. Cutting can bring words together, so it is repeated until no window of the block of items occurs. ``n_chars``, if there, follows.
     """
     out, at = with_columns_by_place(docs)
+    small_batches(docs.sparkSession)
+    blocks = _blocks(benchmark, block_bytes)
+    if len(blocks) == 1:  # one worker and one copy of the windows a task
+        judge = _judge(_windows(blocks[0], width), drop_from)
+        out = out.withColumn("_judged", judge(F.col(at["text"]).cast("binary"))).where("not _judged.gone")
+        cut = F.col("_judged.text").isNotNull()
+        changed = {at["text"]: F.when(cut, F.col("_judged.text")).otherwise(F.col(at["text"]))}
+        if "n_chars" in at:
+            kind = docs.schema["n_chars"].dataType
+            changed[at["n_chars"]] = F.when(cut, F.length("_judged.text").cast(kind)).otherwise(F.col(at["n_chars"]))
+        return out.withColumns(changed).drop("_judged").toDF(*docs.columns)
     out = with_hits(out, at["text"], benchmark, "_hits", width, block_bytes)
     n_hit = F.aggregate("_hits.spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     out = out.where((n_hit == 0) | (n_hit < drop_from * F.col("_hits.n_words")))
     text = F.col(at["text"])
-    for block in _blocks(benchmark, block_bytes):
-        clean = _cleaner(docs.sparkSession.sparkContext.broadcast(Windows([tuple(r) for r in block.toLocalIterator()], width)))
-        text = F.when(F.size("_hits.spans") > 0, clean(text.cast("binary"), F.col("_hits.spans"))).otherwise(text)
-    out = out.withColumn(at["text"], text)
+    for block in blocks:
+        clean = _cleaner(_windows(block, width))
+        # One block at a time in a task's memory.
+        out = stored(out, "hits").withColumn(at["text"], F.when(F.size("_hits.spans") > 0, clean(text.cast("binary"), F.col("_hits.spans"))).otherwise(text))
     if "n_chars" in at:
         kind = docs.schema["n_chars"].dataType
+        out = stored(out, "hits")
         out = out.withColumn(at["n_chars"], F.when(F.size("_hits.spans") > 0, F.length(at["text"]).cast(kind)).otherwise(F.col(at["n_chars"])))
     return out.drop("_hits").toDF(*docs.columns)
 

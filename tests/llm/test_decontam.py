@@ -85,3 +85,11 @@ def test_cut_until_clean(spark):
 
 def test_digest_of_nothing():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_one_worker_a_task(spark):
+    """Pipeline: scan and cuts were three Python workers a task, each with the windows."""
+    docs = documents(spark, DOCS)
+    items = spark.createDataFrame([("i", "a b c")], "item_id string, text string")
+    plan = decontam.decontaminate(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
