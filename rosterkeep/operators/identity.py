@@ -140,9 +140,9 @@ def joined_in_order(edges: DataFrame, key: str, value: str, order: list[str], le
     if length is not None:
         rank = F.row_number().over(Window.partitionBy(key).orderBy(*order, value))
         listed = listed.withColumn("_rank", rank).where(F.col("_rank") <= (length + 1) // 2 + 1)
-    entry = F.struct(*order, F.col(value).alias("_plain"), F.col(value).cast("string").alias("_value"))
-    gathered = listed.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_list"))
-    text = F.array_join(F.col("_list._value"), ", ")
+    # A value is in its entry once; ``sort_array`` compares entries natively, ``array_sort`` by an interpreted function.
+    gathered = listed.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("_value")))).alias("_list"))
+    text = F.array_join(F.col("_list._value").cast("array<string>"), ", ")
     return gathered.select(key, (text if length is None else cut(text, length)).alias(f"{value}s"))
 
 
@@ -204,18 +204,25 @@ def user_profiles(
     return managers(manager_edges, directory).join(groups, "user_id", "full")
 
 
+#: Columns of the status that come from the profile of the directory user.
+OF_PROFILE = ("manager_email", "manager_department", "groups")
+
+
 def status_rows(
     members: DataFrame, index: DataFrame, profiles: DataFrame, run_date: dt.date, suffix: str, domain: str, legacy_truncate: bool = False
 ) -> DataFrame:
     """``identity_status`` from a ``resolution_index`` and ``user_profiles``."""
+    return with_profiles(found_rows(members, index, run_date, suffix, domain, legacy_truncate), profiles)
+
+
+def found_rows(
+    members: DataFrame, index: DataFrame, run_date: dt.date, suffix: str, domain: str, legacy_truncate: bool = False
+) -> DataFrame:
+    """The status without the columns of the profile."""
     tried = with_candidates(members.select("username", "email", "name"), suffix, domain)
-    found = resolve_by(tried, index, CANDIDATES)
-    profiles = profiles.withColumnRenamed("user_id", "_id")
-    profile = found.join(profiles, same_key(F.col("user_id"), F.col("_id")), "left").withColumnsRenamed(
-        {"username": "_username", "email": "_email"}
-    )
+    found = resolve_by(tried, index, CANDIDATES).withColumnsRenamed({"username": "_username", "email": "_email"})
     joined = tried.join(
-        profile,
+        found,
         F.col("username").eqNullSafe(F.col("_username")) & F.col("email").eqNullSafe(F.col("_email")),
         "left",
     )
@@ -225,16 +232,27 @@ def status_rows(
     row = {
         "emails_tried": cut(emails_tried, LEGACY_TRIED) if legacy_truncate else emails_tried,
         "entra_status": F.col("address").isNotNull(),
-        "manager_email": blank_to_null(F.col("manager_email")),
-        "manager_department": blank_to_null(F.col("manager_department")),
         "user_department": blank_to_null(F.col("department")),
         "working_email": F.col("address"),
-        "groups": blank_to_null(F.col("groups")),
         "updated_date": F.lit(run_date).cast("date"),
     }
-    return joined.select(
-        *[row.get(name, F.col(name)).alias(name) for name in IDENTITY.columns], F.col("user_id").alias("directory_id")
+    columns = [name for name in IDENTITY.columns if name not in OF_PROFILE]
+    return joined.select(*[row.get(name, F.col(name)).alias(name) for name in columns], F.col("user_id").alias("directory_id"))
+
+
+def with_profiles(rows: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``found_rows`` with manager and groups of their directory users; further columns stay, last.
+
+    This join comes last, so the text of a user's groups is shuffled once for the user and not with each account that leads
+    to them. Accounts without a directory user are spread over the tasks by their names.
+    """
+    spread = F.coalesce(F.col("directory_id"), F.concat_ws(" ", "username", "email", "name"))
+    profile = profiles.select(F.col("user_id").alias("_id"), *[blank_to_null(F.col(name)).alias(name) for name in OF_PROFILE])
+    joined = rows.withColumn("_probe", spread).join(
+        profile, same_key(F.col("_probe"), F.col("_id")) & F.col("directory_id").isNotNull(), "left"
     )
+    further = [name for name in rows.columns if name not in {*IDENTITY.columns, "directory_id"}]
+    return joined.select(*IDENTITY.columns, "directory_id", *further)
 
 
 # --- Only what changed --------------------------------------------------------------------------------------------
@@ -262,6 +280,8 @@ def split_affected(
 ) -> tuple[DataFrame, DataFrame]:
     """Member rows that have to be resolved again, and the rows of the ``previous`` status that others keep (I4).
 
+    Leave the columns of the profile out of ``previous`` and add them after (``with_profiles``): rows are shuffled here.
+
     An account is affected if it is new, if it tries an address (``key``) whose place in the index changed, or if it led to
     a user (``user_id``) whose manager or groups changed. Its other values cannot have changed: the status of an account is
     a function of its own values, the index at its addresses, and its user's profile.

@@ -178,12 +178,15 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory, count
     if before:
         addresses = ids.changed_keys(before[0], index, ["key", "led"])
         users = ids.changed_keys(before[1], profiles, ["user_id"])
-        again, kept = ids.split_affected(members, before[2], addresses, users, config.address_suffix, config.address_domain)
-        anew = ids.status_rows(again, index, profiles, *args).withColumn("_anew", F.lit(True))
+        # The profiles of users that no difference touches are as before, so kept rows take them from the same table.
+        previous = before[2].drop(*ids.OF_PROFILE)
+        again, kept = ids.split_affected(members, previous, addresses, users, config.address_suffix, config.address_domain)
+        anew = ids.found_rows(again, index, *args).withColumn("_anew", F.lit(True))
         kept = kept.withColumns({"updated_date": F.lit(config.run_date).cast("date"), "_anew": F.lit(False)})
-        status = anew.unionByName(kept.select(*anew.columns))
+        found = anew.unionByName(kept.select(*anew.columns))
     else:
-        status = ids.status_rows(members, index, profiles, *args).withColumn("_anew", F.lit(True))
+        found = ids.found_rows(members, index, *args).withColumn("_anew", F.lit(True))
+    status = ids.with_profiles(found, profiles)
     metrics = {"rows": rows_counted(), "found": F.count_if("entra_status"), "errors": F.count_if(ids.is_error()), "resolved": F.count_if("_anew")}
     path = store.write_snapshot("identity", config.run_date, _counted(counts, status, "identity", **metrics).drop("_anew"))
     by = (path, settings, store.current_version(INDEX), store.current_version(PROFILES))

@@ -1,7 +1,10 @@
 """Resolving only what two listings of the directory differ in, against resolving everybody."""
 
+import contextlib
 import datetime as dt
+import io
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -111,3 +114,30 @@ def test_digest_is_of_all_groups_in_order(spark):
     others = [base[:-1], base + [base[0]], [("u", "x", 0), *base[1:]], [("u", "g0", 1), ("u", "g1", 0), *base[2:]]]
     assert len({digest(e) for e in [base, *others]}) == 5
     assert digest([("u", "a", 0)] * 2) != digest([("u", "b", 0)] * 2)
+
+
+def test_groups_are_not_shuffled_with_the_accounts(spark, tmp_path):
+    """Very many accounts may lead to a user of very many groups; the text of them goes to the rows in the last join."""
+    plans = []
+
+    class Watched(Store):
+        def write_snapshot(self, kind, date, df, judge=None):
+            if kind == "identity":
+                out = io.StringIO()
+                with contextlib.redirect_stdout(out):
+                    df.explain("formatted")
+                plans.append(out.getvalue())
+            return super().write_snapshot(kind, date, df, judge)
+
+    store = Watched(spark, str(tmp_path))
+    people = {"1": ("a@d", None, [], "A", "2"), "2": ("b@d", "boss@d", [], "B", None)}
+    accounts = [("a_org", f"x{i}@y", f"N{i}") for i in range(30)] + [(None, None, "nobody")] * 2
+    for day, groups in zip(DAYS, (["g1"], ["g1"], ["g2", "g1"])):
+        store.write_snapshot("members", day, in_layout(spark.createDataFrame(accounts, "username string, email string, name string"), MEMBERS))
+        runs.resolve_members(store, runs.RunConfig(day, "_org", "d", 100, group_digest=False), listing(spark, people, {"1": groups}))
+        found = store.snapshot("identity", day).groupBy("username", "manager_email", "groups").count()
+        assert rows(found) == [(None, None, None, 2), ("a_org", "boss@d", ", ".join(groups), 30)]
+    for plan in plans:
+        shuffled = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert shuffled and not [columns for columns in shuffled if "groups#" in columns and "name#" in columns]
+        assert not [read for read in re.findall("ReadSchema: (.*)", plan) if "emails_tried" in read and "groups" in read]
