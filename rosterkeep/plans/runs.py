@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -171,10 +171,13 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory, count
     settings = f"{config.address_suffix} {config.address_domain} {config.legacy_truncate} {digest}"
     before = _resolved_before(store, settings)
     index = store.replace(INDEX, ids.resolution_index(directory.users))
-    profiles = ids.user_profiles(directory.users, directory.manager_edges, directory.group_edges, config.legacy_truncate, digest)
-    profiles = store.replace(PROFILES, profiles)
+    group_edges = directory.group_edges
     if digest:
-        store.write_snapshot("memberships", config.run_date, reports.stamp(directory.group_edges.select("user_id", "group_id", "pos"), config.run_date))
+        # Read back below, so the export is parsed once.
+        store.write_snapshot("memberships", config.run_date, reports.stamp(group_edges.select("user_id", "group_id", "pos"), config.run_date))
+        group_edges = store.snapshot("memberships", config.run_date)
+    profiles = ids.user_profiles(directory.users, directory.manager_edges, group_edges, config.legacy_truncate, digest)
+    profiles = store.replace(PROFILES, profiles)
     if before:
         addresses = ids.changed_keys(before[0], index, ["key", "led"])
         users = ids.changed_keys(before[1], profiles, ["user_id"])
@@ -192,7 +195,7 @@ def resolve_members(store: Store, config: RunConfig, directory: Directory, count
     by = (path, settings, store.current_version(INDEX), store.current_version(PROFILES))
     store.replace(RESOLVED, store.spark.createDataFrame([by], "path string, settings string, index int, profiles int"))
     written = store.snapshot("identity", config.run_date)
-    shown = ids.with_group_text(written, store.snapshot("memberships", config.run_date)) if digest else written
+    shown = ids.with_group_text(written, group_edges) if digest else written
     reports.write_csv(
         shown.select(*IDENTITY.columns), store.report_path(reports.dated_name(TITLE_MARKS["identity"], config.run_date)), IDENTITY
     )
@@ -293,6 +296,8 @@ def full_run(spark: SparkSession, root: str, config: RunConfig, report_folder: s
     store, counts = Store(spark, root), RunCounts()
     with sized_shuffles(spark, _input_bytes(store, report_folder, directory)):
         catalogue(store, config, report_folder, directory, counts)
+        if config.group_digest and not config.legacy_truncate:
+            directory = replace(directory, group_edges=store.snapshot("memberships", config.run_date))
         by_rule = update_state(store, config, directory, counts)
         write_delete_list(store, config, counts)
         write_over_quota(store, config, counts)

@@ -170,3 +170,17 @@ def test_drifting_columns_in_the_store(spark, tmp_path):
     assert runs.fold_history(store, config(dt.date(2026, 3, 1)), "members") == []
     assert store.history("members").columns == MEMBERS.columns
     assert rows(store.history("members"), "username", "updated_date") == [("a", day1), ("b", day2)]
+
+
+def test_a_run_parses_the_memberships_once(spark, tmp_path, exports):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(group):
+        seen.add(1)
+        return group
+
+    edges = exports.group_edges.withColumn("group_id", F.udf(note, "string")("group_id"))
+    watched = runs.Directory(exports.users, exports.manager_edges, edges, exports.whitelist)
+    counts = runs.full_run(spark, str(tmp_path / "store"), config(FIRST), deliver(tmp_path / "in", FIRST, [("ann_org", 1), ("bob_org", 5)]), watched)
+    assert rows(counts) == [("R2", 2, 2), ("R4", 0, 1), ("R5", 1, 1)]
+    assert seen.value == edges.count()
