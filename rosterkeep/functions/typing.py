@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -118,11 +119,13 @@ def apply_types(df: DataFrame, layout: Layout, formats: Sequence[str] = DATE_FOR
 
 def unreadable(pairs: Mapping[str, str]) -> Column:
     """``column: text`` for each pair of a text column and its typed column where only the text has a value."""
-    failed = [
-        F.when(F.col(f"`{done}`").isNull() & (strip(F.col(f"`{raw}`")) != F.lit("")), F.concat(F.lit(f"{raw}: "), F.col(f"`{raw}`")))
-        for raw, done in pairs.items()
-    ]
-    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    none = F.array().cast("array<string>")
+    if not pairs:
+        return none
+    failed = {raw: F.col(f"`{done}`").isNull() & (strip(F.col(f"`{raw}`")) != F.lit("")) for raw, done in pairs.items()}
+    listed = [F.when(is_failed, F.concat(F.lit(f"{raw}: "), F.col(f"`{raw}`"))) for raw, is_failed in failed.items()]
+    # ``array_compact`` is interpreted, so only rows that have something to list go through it.
+    return F.when(reduce(or_, failed.values()), F.array_compact(F.array(*listed))).otherwise(none)
 
 
 def too_long(df: DataFrame, limit: int = 255) -> Column:

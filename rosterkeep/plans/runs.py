@@ -105,22 +105,13 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str, counts:
     Malformed rows are counted while the snapshot is written and listed with file and line; if there are more than
     ``max_malformed``, the snapshot does not come into force. Rows with unreadable values are in it, and listed besides.
     """
-    rows = reports.read_report(
-        store.spark,
-        path,
-        layout,
-        config.run_date,
-        config.date_formats,
-        config.na_tokens,
-        config.multi_line,
-        config.line_sep,
-        note_unreadable=True,
-        note_malformed=True,
-    )
+    rows = reports.read_rows(store.spark, path, layout, config.multi_line, config.line_sep)
     wrong = F.col(reports.MALFORMED).isNotNull()
     seen = RunCounts()
-    unreadable = F.count_if(~wrong & (F.size("unreadable") > 0))
-    read = seen.observe(rows, layout.name, rows=F.count_if(~wrong), malformed=F.count_if(wrong), unreadable=unreadable)
+    # Counted between cutting and typing: one stage of generated code for both would be too long for the JVM to compile.
+    whole = seen.observe(rows, layout.name, rows=F.count_if(~wrong), malformed=F.count_if(wrong)).where(~wrong).drop(reports.MALFORMED)
+    typed = reports.typed_rows(whole, layout, config.run_date, config.date_formats, config.na_tokens, note_unreadable=True)
+    read = seen.observe(typed, layout.name, unreadable=F.count_if(F.size("unreadable") > 0))
 
     def judge() -> None:
         malformed = {name: value for _, name, value in seen.rows()}["malformed"]
@@ -130,7 +121,7 @@ def take_in(store: Store, config: RunConfig, layout: Layout, path: str, counts:
             if malformed > config.max_malformed:
                 raise TooManyMalformed(f"{malformed} malformed rows in {path}, listed in {listed}")
 
-    store.write_snapshot(layout.name, config.run_date, read.where(~wrong).drop(reports.MALFORMED), judge)
+    store.write_snapshot(layout.name, config.run_date, read, judge)
     if counts:
         counts.add(seen)
     written = store.snapshot(layout.name, config.run_date)
